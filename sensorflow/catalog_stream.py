@@ -1 +1,97 @@
-"""Streaming forms of the registered queries (filled in below)."""
+"""Streaming forms of the registered queries.
+
+Each replays the table folder as a file stream (``pathGlobFilter`` picks the
+table), runs to the end of the input with ``availableNow`` through an
+idempotent ``foreachBatch`` into Parquet under the shared checkpoint root,
+and returns the final result as a DataFrame. Its oracle is the batch
+operator's SQL: the stream must give the same final answer.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sensorflow import catalog as C
+from sensorflow.catalog import register
+from sensorflow.session import prepare, scratch_path
+from sensorflow.sinks.writers import stream_to_table
+from sensorflow.sources.readers import read_table_stream
+from sensorflow.streaming import ops as S
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    prepare(spark)
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
+    return read_table_stream(spark, sf_dir, schema, glob=f"{name}.parquet", max_files_per_trigger=max_files)
+
+
+def _run(spark, stream, name, mode="append", keys=None) -> DataFrame:
+    base = scratch_path(spark, name)
+    return stream_to_table(spark, stream, f"{base}/out", f"{base}/checkpoint", mode, keys)
+
+
+@register("word_count_stream", C.ORACLE["word_count"])
+def q_word_count_stream(spark, sf_dir):
+    docs = _stream(spark, sf_dir, "documents").select("text")
+    return _run(spark, S.word_count_stream(docs, "text", " "), "word-count", "update", ["word"])
+
+
+@register("keyed_running_count_stream", C.ORACLE["keyed_running_count"])
+def q_keyed_running_count_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "event_id")
+    return _run(spark, S.running_count_stream(e, "user_id", "event_id"), "running-count")
+
+
+@register("jump_alert_stream", C.ORACLE["jump_alert"])
+def q_jump_alert_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    return _run(spark, S.jump_alert_stream(e, "user_id", "event_id", "value", C.JUMP_THRESHOLD), "jump-alert")
+
+
+@register("count_window_avg_stream", C.ORACLE["count_window_avg"])
+def q_count_window_avg_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    out = _run(spark, S.count_window_avg_stream(e, "user_id", "event_id", "value", 5, 2), "count-window")
+    return out.select("user_id", "event_id", "n", C.r6("avg_value").alias("avg_value"))
+
+
+@register("over_rows_stream", C.ORACLE["over_rows"])
+def q_over_rows_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    out = _run(spark, S.over_rows_stream(e, "user_id", ["ts", "event_id"], "value", 2), "over-rows")
+    return out.select("user_id", "ts", "event_id", "cnt", C.r6("avg_value").alias("avg_value"))
+
+
+@register("udaf_avg_temp_stream", C.ORACLE["udaf_avg_temp"])
+def q_udaf_avg_temp_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "value")
+    out = _run(spark, S.avg_fold_stream(e, "user_id", "value", sum_digits=6), "udaf-avg", "update", ["user_id"])
+    return out.select("user_id", C.r6("avg_value").alias("avg_value"))
+
+
+@register("event_window_min_stream", C.ORACLE["event_window_min"])
+def q_event_window_min_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
+    s = S.event_window_min_stream(e, "user_id", "ts", C.WINDOW, "value", "event_id", f"{C.DELAY_S} seconds")
+    return _run(spark, s, "window-min", "update", ["user_id", "window_start", "window_end"])
+
+
+@register("resume_stream", C.ORACLE["keyed_running_count"])
+def q_resume_stream(spark, sf_dir):
+    """Fault tolerance (F-7): the input arrives in two halves; the query is
+    stopped after the first and restarted from its checkpoint for the second.
+    Counts must continue exactly where they stopped (no loss, no duplicates)."""
+    prepare(spark)
+    base = scratch_path(spark, "resume")
+    src, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
+    e = C.events(spark, sf_dir, "user_id", "event_id")
+    mid = e.approxQuantile("event_id", [0.5], 0.001)
+    mid = mid[0] if mid else 0
+    e.where(F.col("event_id") < mid).write.mode("overwrite").parquet(src)
+    for half in (0, 1):
+        if half == 1:
+            e.where(F.col("event_id") >= mid).write.mode("append").parquet(src)
+        stream = read_table_stream(spark, src, e.schema)
+        result = stream_to_table(spark, S.running_count_stream(stream, "user_id", "event_id"), out, ckpt)
+    return result

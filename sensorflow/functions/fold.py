@@ -76,6 +76,13 @@ def fold_by(df: DataFrame, keys: list[str], fold: Fold, inputs: list[str],
     return shuffled.mapInPandas(final, f"{key_ddl}, {fold.result}")
 
 
+def _round_half_up(s: pd.Series, digits: int) -> pd.Series:
+    """Decimal HALF_UP rounding of each value's shortest repr (Spark's ``round``)."""
+    from decimal import ROUND_HALF_UP, Decimal
+    q = Decimal(1).scaleb(-digits)
+    return s.map(lambda x: x if pd.isna(x) else float(Decimal(repr(float(x))).quantize(q, ROUND_HALF_UP)))
+
+
 def count_fold(name: str = "cnt") -> Fold:
     return Fold(
         acc="n bigint", result=f"{name} bigint",
@@ -85,8 +92,9 @@ def count_fold(name: str = "cnt") -> Fold:
     )
 
 
-def avg_fold(value: str, name: str = "avg_value") -> Fold:
-    """``sum / count`` of the non-null values (the reference's average UDAF)."""
+def avg_fold(value: str, name: str = "avg_value", sum_digits: int | None = None) -> Fold:
+    """``sum / count`` of the non-null values (the reference's average UDAF);
+    ``sum_digits`` rounds the sum first (see :func:`operators.aggregates.mean`)."""
     def add(g):
         s = g[value].sum(min_count=0)
         n = g[value].count()
@@ -94,7 +102,8 @@ def avg_fold(value: str, name: str = "avg_value") -> Fold:
 
     def finish(a):
         n = a["n"].astype("float64")
-        return pd.DataFrame({name: (a["s"] / n).where(n > 0)})
+        s = a["s"] if sum_digits is None else _round_half_up(a["s"], sum_digits)
+        return pd.DataFrame({name: (s / n).where(n > 0)})
 
     return Fold(acc="s double, n bigint", result=f"{name} double", add=add,
                 merge=lambda g: g[["s", "n"]].sum(), finish=finish)

@@ -27,10 +27,19 @@ def word_count(df: DataFrame, col: str, sep: str = " ") -> DataFrame:
     return words(df, col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def count_avg(df: DataFrame, key: str, value: str) -> DataFrame:
+def mean(value: str, sum_digits: int | None = None):
+    """``avg(value)``; with ``sum_digits`` the sum is rounded before dividing, so
+    an average whose exact value is a rounding tie (e.g. over 32 rows) does not
+    depend on summation order (which differs between plans and engines)."""
+    if sum_digits is None:
+        return F.avg(F.col(value))
+    return F.round(F.sum(F.col(value)), sum_digits) / F.count(F.col(value))
+
+
+def count_avg(df: DataFrame, key: str, value: str, sum_digits: int | None = None) -> DataFrame:
     """``groupBy(id).select(id, id.count, temperature.avg)`` (null-skipping)."""
     return df.groupBy(key).agg(F.count(F.col(key)).alias("cnt"),
-                               F.avg(F.col(value)).alias("avg_value"))
+                               mean(value, sum_digits).alias("avg_value"))
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, value: str) -> DataFrame:

@@ -32,10 +32,12 @@ def tumble_count(df: DataFrame, key: str, time: str, size: str) -> DataFrame:
     return tumble(df, key, time, size, [F.count(F.lit(1)).alias("cnt")])
 
 
-def tumble_count_avg(df: DataFrame, key: str, time: str, value: str, size: str) -> DataFrame:
+def tumble_count_avg(df: DataFrame, key: str, time: str, value: str, size: str,
+                     sum_digits: int | None = None) -> DataFrame:
     """Table/SQL group window: count and mean per key and window (W-6, W-7)."""
+    from sensorflow.operators.aggregates import mean
     return tumble(df, key, time, size, [F.count(F.col(key)).alias("cnt"),
-                                        F.avg(F.col(value)).alias("avg_value")])
+                                        mean(value, sum_digits).alias("avg_value")])
 
 
 def tumble_fold(df: DataFrame, key: str, time: str, size: str, fold: Fold,
