@@ -73,7 +73,7 @@ def q_udaf_avg_temp_stream(spark, sf_dir):
 @register("event_window_min_stream", C.ORACLE["event_window_min"])
 def q_event_window_min_stream(spark, sf_dir):
     e = _stream(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
-    s = S.event_window_min_stream(e, "user_id", "ts", C.WINDOW, "value", "event_id", f"{C.DELAY_S} seconds")
+    s = S.event_window_min_stream(e, "user_id", "ts", C.WINDOW, "value", "event_id", C.DELAY_S, C.LATENESS_S)
     return _run(spark, s, "window-min", "update", ["user_id", "window_start", "window_end"])
 
 

@@ -83,10 +83,16 @@ def idle_timer_stream(df: DataFrame, key: str, delay_ms: int = 1000) -> DataFram
 
 
 def event_window_min_stream(df: DataFrame, key: str, time: str, size: str, value: str, order: str,
-                            delay: str) -> DataFrame:
-    """Event-time tumbling window ``minBy(value)`` with a watermark (W-4),
-    update mode: each changed window is re-emitted, the last emission is final."""
-    src = df.withColumn("_sf_et", event_time(df, time)).withWatermark("_sf_et", delay)
+                            delay_s: int, lateness_s: int = 0) -> DataFrame:
+    """Event-time tumbling window ``minBy(value)`` with allowed lateness (W-4).
+
+    Spark has no allowed lateness: a window's state is dropped once the
+    watermark passes its end. Keeping the state for ``lateness`` longer is a
+    watermark of ``delay + lateness``; in update mode each changed window is
+    re-emitted (like the reference's re-firing), and the last emission is final.
+    """
+    src = df.withColumn("_sf_et", event_time(df, time)) \
+        .withWatermark("_sf_et", f"{delay_s + lateness_s} seconds")
     rec = F.struct(F.col(value).alias("v"), F.col(order).alias("o"), F.col(time).alias("t"))
     g = src.groupBy(F.col(key), F.window("_sf_et", size).alias("_sf_w")).agg(
         F.count(F.lit(1)).alias("cnt"), F.min(rec).alias("_sf_min"))
