@@ -22,6 +22,8 @@ from sensorflow.functions.fold import avg_fold, count_fold, fold_by
 from sensorflow.functions.text import java_hash
 from sensorflow.operators import aggregates as agg
 from sensorflow.operators import alerts, late, lateral, rolling, transforms, windows
+from sensorflow.plans.parallel import spread
+from sensorflow.plans.scan import quantile_bounds
 from sensorflow.schema import READING_SCHEMA
 from sensorflow.session import prepare, scratch_path
 from sensorflow.sources import readers
@@ -90,7 +92,7 @@ def q_parse_readings(spark, sf_dir):
 SELECT doc_id, CAST(length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) AS BIGINT) AS len
 FROM documents""")
 def q_map_length(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return transforms.line_length(d, "text", "len").select("doc_id", F.col("len").cast("bigint"))
 
 
@@ -203,16 +205,20 @@ SELECT doc_id, unnest(parts) AS word, unnest(generate_series(0, len(parts) - 1))
 
 @register("word_count", f"SELECT word, count(*) AS cnt FROM ({_WORDS_SQL}) GROUP BY word")
 def q_word_count(spark, sf_dir):
-    return agg.word_count(table(spark, sf_dir, "documents").select("text"), "text", " ")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return agg.word_count(d.select("text"), "text", " ")
 
 
 @register("word_count_running", f"""
 SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM ({_WORDS_SQL})""")
 def q_word_count_running(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    # Segment bounds from the documents (one small column), not from the exploded words.
+    bounds = quantile_bounds(d, "doc_id")
     w = agg.words(d, "text", " ", keep=["doc_id"], pos="pos").withColumn("pos", F.col("pos").cast("bigint"))
-    return rolling.running_count(w, ["word"], ["doc_id", "pos"]).select("doc_id", "pos", "word", "cnt")
+    return rolling.running_count(w, ["word"], ["doc_id", "pos"], segments=bounds) \
+        .select("doc_id", "pos", "word", "cnt")
 
 
 @register("group_count_avg", """
@@ -402,7 +408,7 @@ def q_java_hash(spark, sf_dir):
 @register("lateral_split", f"""
 SELECT doc_id, pos, word, CAST(length(word) AS INTEGER) AS length FROM ({_WORDS_SQL})""")
 def q_lateral_split(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     s = lateral.lateral_split(d, "text", " ", keep=["doc_id"])
     return s.select("doc_id", F.col("pos").cast("bigint"), "word", "length")
 

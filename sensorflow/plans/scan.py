@@ -134,6 +134,9 @@ def scan(df: DataFrame, keys: list[str], order: list[str], runs: list[Run],
             f"_sf_l_{r.name}",
             _local(r.kind, F.col(f"_sf_in_{r.name}")).over(w.rowsBetween(Window.unboundedPreceding, end)))
 
+    # Totals per (key, segment): a map-side combined aggregate, so its shuffle
+    # carries one row per group and input partition (Catalyst reads the
+    # source columns again rather than the windowed rows).
     totals = sdf.groupBy(*part).agg(
         *[_local(r.kind, F.col(f"_sf_in_{r.name}")).alias(f"_sf_t_{r.name}") for r in runs])
     ws = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(SEG)
@@ -143,7 +146,11 @@ def scan(df: DataFrame, keys: list[str], order: list[str], runs: list[Run],
             else ws.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_sf_c_{r.name}")
         for r in runs])
 
-    out = local.join(carries, part, "inner")
+    # Null-safe keys: rows with a null key form their own group, as in a window.
+    out = local.join(carries.select(*[F.col(c).alias(f"_sf_k_{c}") for c in part],
+                                    *[f"_sf_c_{r.name}" for r in runs]),
+                     [F.col(c).eqNullSafe(F.col(f"_sf_k_{c}")) for c in part], "inner")
+    out = out.drop(*[f"_sf_k_{c}" for c in part])
     for r in runs:
         out = out.withColumn(r.name, _combine(r.kind, F.col(f"_sf_c_{r.name}"), F.col(f"_sf_l_{r.name}")))
     tmp = [SEG] + [f"_sf_{p}_{r.name}" for r in runs for p in ("in", "l", "c")]
