@@ -95,3 +95,118 @@ def q_resume_stream(spark, sf_dir):
         stream = read_table_stream(spark, src, e.schema)
         result = stream_to_table(spark, S.running_count_stream(stream, "user_id", "event_id"), out, ckpt)
     return result
+
+
+@register("word_count_running_stream", C.ORACLE["word_count_running"])
+def q_word_count_running_stream(spark, sf_dir):
+    from sensorflow.operators.aggregates import words
+    docs = _stream(spark, sf_dir, "documents").select("doc_id", "text")
+    w = words(docs, "text", " ", keep=["doc_id"], pos="pos").withColumn("pos", F.col("pos").cast("bigint"))
+    base = scratch_path(spark, "word-running")
+    fn = S.running_count_batch_writer(spark, f"{base}/totals", f"{base}/out", ["word"], ["doc_id", "pos"])
+    q = (w.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(1800)
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{base}/out").select("doc_id", "pos", "word", "cnt")
+
+
+@register("rolling_max_by_stream", C.ORACLE["rolling_max_by"])
+def q_rolling_max_by_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    out = _run(spark, S.rolling_max_by_stream(e, "user_id", "event_id", "value", ["ts"]), "rolling-max-by")
+    return out.select("event_id", "user_id", "max_value", "max_event_id", "max_ts")
+
+
+@register("rolling_reduce_stream", C.ORACLE["rolling_reduce"])
+def q_rolling_reduce_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    out = _run(spark, S.rolling_max_by_stream(e, "user_id", "event_id", "value", [], keep=["ts"]),
+               "rolling-reduce")
+    return out.select("event_id", "user_id", "ts", "max_value")
+
+
+@register("changelog_count_avg_stream", C.ORACLE["changelog_count_avg"])
+def q_changelog_count_avg_stream(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    out = _run(spark, S.changelog_stream(e, "user_id", "event_id", "value", sum_digits=6), "changelog")
+    return out.select("user_id", "event_id", "change_seq", "is_insert", "cnt", C.r6("avg_value").alias("avg_value"))
+
+
+# End-of-input marker: a bounded source ends with an "infinite" watermark in the
+# reference's runtime, so every event-time timer fires. A file stream has no end,
+# so one far-future row (key -1) advances the watermark past all data; it is
+# filtered out of the result.
+_END_TS = "2100-01-01 00:00:00"
+
+
+def _with_end_marker(spark, sf_dir, name, cols):
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols).schema
+    marker_dir = scratch_path(spark, "end-marker")
+    row = spark.range(1).select(*[
+        (F.lit(_END_TS).cast(f.dataType) if f.name == "ts" else F.lit(-1).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
+    row.write.parquet(marker_dir)
+    data = _stream(spark, sf_dir, name).select(*cols)
+    return data.unionByName(read_table_stream(spark, marker_dir, schema))
+
+
+@register("tumble_apply_stream", C.ORACLE["tumble_apply"])
+def q_tumble_apply_stream(spark, sf_dir):
+    import pandas as pd
+    e = _with_end_marker(spark, sf_dir, "events", ["user_id", "ts"])
+    s = S.window_fold_stream(
+        e, "user_id", "ts", 6 * 3600, f"{C.DELAY_S} seconds", "n bigint",
+        add=lambda pdf: {"n": len(pdf)}, merge=lambda a, b: {"n": a["n"] + b["n"]},
+        finish=lambda acc: {"cnt": int(acc["n"])}, result_ddl="cnt bigint")
+    return _run(spark, s, "window-fold").where("user_id <> -1").select("user_id", "window_end", "cnt")
+
+
+@register("rise_alert_stream", C.ORACLE["rise_alert"])
+def q_rise_alert_stream(spark, sf_dir):
+    e = _with_end_marker(spark, sf_dir, "events", ["user_id", "event_id", "ts", "value"])
+    s = S.rise_alert_stream(e, "user_id", "event_id", "ts", "value", C.RISE_INTERVAL_S, f"{C.DELAY_S} seconds")
+    return _run(spark, s, "rise-alert").where("user_id <> -1").select("user_id", "event_id", "start_ts", "alert_ts")
+
+
+LATE_SLICES = 4
+
+
+@register("late_split_stream", f"""
+WITH a AS (SELECT event_id, user_id, ts, event_id + (event_id * {C.ARRIVAL_MULT}) % {C.ARRIVAL_MOD} AS arrival FROM events),
+s AS (SELECT a.*, CAST(floor(arrival * {LATE_SLICES} / (SELECT max(arrival) + 1 FROM a)) AS BIGINT) AS slice FROM a),
+h AS (SELECT slice, max(max(ts)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hwm
+      FROM s GROUP BY slice),
+w AS (SELECT s.*, h.hwm - INTERVAL {C.DELAY_S} SECOND AS wm,
+             time_bucket({C.WINDOW_SQL}, ts) + {C.WINDOW_SQL} AS window_end FROM s JOIN h USING (slice))
+SELECT event_id, user_id, ts, arrival,
+       CASE WHEN wm IS NULL THEN 'on_time'
+            WHEN window_end - INTERVAL 1 MILLISECOND + INTERVAL {C.LATENESS_S} SECOND <= wm THEN 'late'
+            WHEN window_end - INTERVAL 1 MILLISECOND <= wm THEN 'refire'
+            ELSE 'on_time' END AS status FROM w""")
+def q_late_split_stream(spark, sf_dir):
+    """Late-data split on a stream (W-5): the events arrive in {LATE_SLICES}
+    slices of the synthetic arrival order, one micro-batch each; rows of a
+    batch are split against the high-water mark of the earlier batches."""
+    prepare(spark)
+    base = scratch_path(spark, "late-split")
+    src, main, side, state = (f"{base}/{x}" for x in ("source", "main", "side", "hwm"))
+    e = C._arrival(C.events(spark, sf_dir, "event_id", "user_id", "ts"))
+    top = e.agg(F.max("arrival")).first()[0]
+    sliced = e.withColumn("_slice", F.floor(F.col("arrival") * LATE_SLICES / (F.lit(top) + 1)))
+    fn = S.late_split_batch_writer(spark, state, main, side, "ts", C.WINDOW, C.DELAY_S, C.LATENESS_S)
+    for b in range(LATE_SLICES):
+        sliced.where(F.col("_slice") == b).drop("_slice").write.mode("append").parquet(src)
+        q = (read_table_stream(spark, src, e.schema).writeStream.foreachBatch(fn)
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination(900)
+        if q.exception() is not None:
+            raise q.exception()
+    cols = ["event_id", "user_id", "ts", "arrival", "status"]
+    return spark.read.parquet(main).select(*cols).unionByName(spark.read.parquet(side).select(*cols))
+
+
+# Processing-time timers (F-4) are not registered as a query: their output is
+# wall-clock dependent and the query has no natural end; the operator
+# ``streaming.ops.idle_timer_stream`` is exercised by tests/test_streaming.py.

@@ -27,13 +27,49 @@ def word_count_stream(lines: DataFrame, col: str = "value", sep: str = " ") -> D
     return words(lines, col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def running_count_stream(df: DataFrame, key: str, order: str) -> DataFrame:
+def running_count_stream(df: DataFrame, key: str, order) -> DataFrame:
     prepare(df.sparkSession)
+    order = [order] if isinstance(order, str) else list(order)
     return df.groupBy(key).transformWithStateInPandas(
-        P.RunningCount(key, order), P.running_count_schema(_ddl(df, key), _ddl(df, order)),
+        P.RunningCount(key, order), f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
+
+
+def rolling_max_by_stream(df: DataFrame, key: str, order: str, value: str, carry: list[str],
+                          keep: list[str] | None = None) -> DataFrame:
+    """Per-record rolling ``maxBy`` (A-3) and reduce-max (A-4): for each row the
+    record holding the largest value so far (``carry`` fields), next to the
+    row's own ``keep`` fields."""
+    prepare(df.sparkSession)
+    keep = list(keep or [])
+    extra = "".join(f", `max_{c}` string" for c in carry)
+    out = df.groupBy(key).transformWithStateInPandas(
+        P.RollingMaxBy(key, order, value, carry, keep),
+        f"{_ddl(df, key, order, *keep)}, `max_{value}` double, `max_{order}` bigint{extra}", "Append", "None")
+    for c in carry:  # state keeps carried fields as text; restore their types
+        out = out.withColumn(f"max_{c}", F.col(f"max_{c}").cast(df.schema[c].dataType))
+    return out
+
+
+def changelog_stream(df: DataFrame, key: str, order: str, value: str, sum_digits: int | None = None) -> DataFrame:
+    """Retract stream of ``count, avg`` per key (A-6, ``toRetractStream``)."""
+    prepare(df.sparkSession)
+    return df.groupBy(key).transformWithStateInPandas(
+        P.Changelog(key, order, value, sum_digits),
+        f"{_ddl(df, key, order)}, change_seq int, is_insert boolean, cnt bigint, avg_value double",
         "Append", "None")
 
 
+def window_fold_stream(df: DataFrame, key: str, time: str, size_s: int, delay: str, acc_ddl: str,
+                       add, merge, finish, result_ddl: str) -> DataFrame:
+    """User fold per key and tumbling event-time window, emitted when the
+    watermark passes the window end (W-2 / UDF-4)."""
+    prepare(df.sparkSession)
+    src = df.withColumn(time, event_time(df, time)).withWatermark(time, delay)
+    return src.groupBy(key).transformWithStateInPandas(
+        P.WindowFold(key, time, size_s * 1000, acc_ddl, add, merge, finish),
+        f"{_ddl(df, key)}, window_end timestamp_ntz, {result_ddl}", "Append", "EventTime")
+
+
 def jump_alert_stream(df: DataFrame, key: str, order: str, value: str, threshold: float) -> DataFrame:
     prepare(df.sparkSession)
     return df.groupBy(key).transformWithStateInPandas(
@@ -139,3 +175,53 @@ def late_split_batch_writer(spark: SparkSession, state_path: str, main_path: str
         finally:
             b.unpersist()
     return fn
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids of the ``_v=<id>`` sub-folders of a state table (file-system
+    listing through Hadoop, so it works on any cluster file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("_v="):
+            out.append(int(name[3:]))
+    return sorted(out)
+
+
+def running_count_batch_writer(spark: SparkSession, state_path: str, out_path: str, keys: list[str],
+                               order: list[str], name: str = "cnt"):
+    """``foreachBatch`` function: per-record running count per key across
+    micro-batches (A-2 on a stream with one output per record).
+
+    Within a batch the count is the skew-safe segmented scan (a hot key is
+    spread over many tasks, unlike a per-key stateful processor); the totals
+    of earlier batches come from a small versioned table (``_v=<batch id>``,
+    one row per key), joined in by key. A replayed batch re-reads the same
+    earlier version and overwrites its own output and version.
+    """
+    from sensorflow.operators.rolling import running_count
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        prev = [v for v in _versions(spark, state_path) if v < batch_id]
+        b = batch.persist()
+        try:
+            local = running_count(b, keys, order, name)
+            counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+            if prev:
+                prior = spark.read.parquet(f"{state_path}/_v={prev[-1]}")
+                p = prior.select(*[F.col(k).alias(f"_sf_p_{k}") for k in keys], F.col(name).alias("_sf_prior"))
+                cond = [F.col(k).eqNullSafe(F.col(f"_sf_p_{k}")) for k in keys]
+                local = (local.join(p, cond, "left")
+                         .withColumn(name, F.col(name) + F.coalesce(F.col("_sf_prior"), F.lit(0)))
+                         .drop("_sf_prior", *[f"_sf_p_{k}" for k in keys]))
+                counts = counts.unionByName(prior).groupBy(*keys).agg(F.sum(name).cast("bigint").alias(name))
+            local.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
+            counts.write.mode("overwrite").parquet(f"{state_path}/_v={batch_id}")
+        finally:
+            b.unpersist()
+    return fn

@@ -25,20 +25,26 @@ def _rows(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 
 class RunningCount(StatefulProcessor):
-    """Keyed ValueState counter (F-1): emits ``(key, order, cnt)`` per row."""
+    """Keyed ValueState counter (F-1, and the per-record word count of A-2):
+    emits ``(key, *order, cnt)`` per row."""
 
-    def __init__(self, key: str, order: str):
-        self.key, self.order = key, order
+    def __init__(self, key: str, order):
+        self.key = key
+        self.order = [order] if isinstance(order, str) else list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
+        pdf = _rows(rows, self.order)
         base = self.count.get()[0] if self.count.exists() else 0
         cnt = base + np.arange(1, len(pdf) + 1, dtype="int64")
         self.count.update((int(cnt[-1]),))
-        yield pd.DataFrame({self.key: pdf[self.key], self.order: pdf[self.order], "cnt": cnt})
+        out = {self.key: pdf[self.key]}
+        for c in self.order:
+            out[c] = pdf[c]
+        out["cnt"] = cnt
+        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
@@ -156,38 +162,42 @@ class RiseAlert(StatefulProcessor):
     timer at ``row time + interval``. The run's break (next non-rising row)
     deletes the timer if its event time is at or before the deadline, and
     emits the alert at once if it is later. An expired timer emits the alert.
+    Times are kept in microseconds; only the timer is rounded up to ms.
     Output: ``(key, order of start, start_ts, alert_ts)``.
     """
 
     def __init__(self, key: str, order: str, time: str, value: str, interval_s: int):
         self.key, self.order, self.time, self.value = key, order, time, value
-        self.interval_ms = interval_s * 1000
+        self.interval_us = interval_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "v double")
-        self.run = handle.getValueState("run", "o bigint, t bigint, deadline bigint, fired boolean")
+        self.run = handle.getValueState(
+            "run", "o bigint, t bigint, deadline bigint, timer bigint, fired boolean")
 
-    def _alert(self, key, o, t, deadline) -> pd.DataFrame:
+    def _alert(self, key, o, t_us, deadline_us) -> pd.DataFrame:
         return pd.DataFrame({self.key: [key[0]], self.order: [o],
-                             "start_ts": [pd.Timestamp(t, unit="ms")],
-                             "alert_ts": [pd.Timestamp(deadline, unit="ms")]})
+                             "start_ts": [pd.Timestamp(t_us, unit="us")],
+                             "alert_ts": [pd.Timestamp(deadline_us, unit="us")]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, [self.order])
         last = self.last.get()[0] if self.last.exists() else JAVA_DOUBLE_MIN_VALUE
         run = self.run.get() if self.run.exists() else None
         out = []
-        ts_ms = (pdf[self.time].astype("datetime64[us]").astype("int64") // 1000).tolist()
-        for o, t, v in zip(pdf[self.order].tolist(), ts_ms, pdf[self.value].tolist()):
+        ts_us = pdf[self.time].astype("datetime64[us]").astype("int64").tolist()
+        for o, t, v in zip(pdf[self.order].tolist(), ts_us, pdf[self.value].tolist()):
             if v > last:
                 if run is None:
-                    run = (int(o), int(t), int(t) + self.interval_ms, False)
-                    self.handle.registerTimer(run[2])
+                    deadline = int(t) + self.interval_us
+                    timer = -(-deadline // 1000)
+                    run = (int(o), int(t), deadline, timer, False)
+                    self.handle.registerTimer(timer)
             elif run is not None:
-                ro, rt, deadline, fired = run
+                ro, rt, deadline, timer, fired = run
                 if not fired:
-                    self.handle.deleteTimer(deadline)
+                    self.handle.deleteTimer(timer)
                     if t > deadline:
                         out.append(self._alert(key, ro, rt, deadline))
                 run = None
@@ -203,9 +213,9 @@ class RiseAlert(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.run.exists():
             return
-        ro, rt, deadline, fired = self.run.get()
-        if not fired and deadline == expiredTimerInfo.getExpiryTimeInMs():
-            self.run.update((ro, rt, deadline, True))
+        ro, rt, deadline, timer, fired = self.run.get()
+        if not fired and timer == expiredTimerInfo.getExpiryTimeInMs():
+            self.run.update((ro, rt, deadline, timer, True))
             yield self._alert(key, ro, rt, deadline)
 
 
@@ -229,3 +239,125 @@ class IdleTimer(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({self.key: [key[0]],
                             "fired_at": [pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")]})
+
+
+class RollingMaxBy(StatefulProcessor):
+    """Rolling ``maxBy(value)`` (A-3) and rolling reduce-max (A-4), one output
+    per input row: the best record so far is the only state (ties keep the
+    earlier record). Emits ``(key, order, max_value, max_<order>, max_<carry>…)``."""
+
+    def __init__(self, key: str, order: str, value: str, carry: list[str], keep: list[str] | None = None):
+        self.key, self.order, self.value, self.carry = key, order, value, list(carry)
+        self.keep = list(keep or [])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        fields = ", ".join([f"v double", "o bigint"] + [f"c{i} string" for i in range(len(self.carry))])
+        self.best = handle.getValueState("best", fields)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, [self.order])
+        best = self.best.get() if self.best.exists() else None
+        bv, bo = (best[0], best[1]) if best else (None, None)
+        bc = list(best[2:]) if best else [None] * len(self.carry)
+        out_v, out_o, out_c = [], [], [[] for _ in self.carry]
+        carry_vals = [pdf[c].astype(str).tolist() for c in self.carry]
+        for i, (o, v) in enumerate(zip(pdf[self.order].tolist(), pdf[self.value].tolist())):
+            if bv is None or v > bv:
+                bv, bo, bc = float(v), int(o), [cv[i] for cv in carry_vals]
+            out_v.append(bv)
+            out_o.append(bo)
+            for j in range(len(self.carry)):
+                out_c[j].append(bc[j])
+        self.best.update(tuple([bv, bo] + bc))
+        out = {self.key: pdf[self.key], self.order: pdf[self.order]}
+        for c in self.keep:
+            out[c] = pdf[c]
+        out.update({f"max_{self.value}": out_v, f"max_{self.order}": out_o})
+        for j, c in enumerate(self.carry):
+            out[f"max_{c}"] = out_c[j]
+        yield pd.DataFrame(out)
+
+
+class Changelog(StatefulProcessor):
+    """Retract/insert changelog of ``count(key), avg(value)`` per key (A-6 on a
+    stream, ``toRetractStream``). State: the running ``(rows, values, sum)``,
+    from which the last emitted row is known."""
+
+    def __init__(self, key: str, order: str, value: str, sum_digits: int | None = None):
+        self.key, self.order, self.value, self.sum_digits = key, order, value, sum_digits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", "n bigint, c bigint, s double")
+
+    def _avg(self, c, s):
+        if not c:
+            return None
+        if self.sum_digits is not None:
+            from decimal import ROUND_HALF_UP, Decimal
+            s = float(Decimal(repr(s)).quantize(Decimal(1).scaleb(-self.sum_digits), ROUND_HALF_UP))
+        return s / c
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, [self.order])
+        n, c, s = self.acc.get() if self.acc.exists() else (0, 0, 0.0)
+        out = []
+        for o, v in zip(pdf[self.order].tolist(), pdf[self.value].tolist()):
+            old = (n, self._avg(c, s))
+            n += 1
+            if v is not None and not pd.isna(v):
+                c += 1
+                s += float(v)
+            new = (n, self._avg(c, s))
+            if old[0] == 0:
+                out.append((o, 1, True) + new)
+            elif old != new:
+                out.append((o, 0, False) + old)
+                out.append((o, 1, True) + new)
+        self.acc.update((n, c, s))
+        if out:
+            df = pd.DataFrame(out, columns=[self.order, "change_seq", "is_insert", "cnt", "avg_value"])
+            df.insert(0, self.key, key[0])
+            yield df
+
+
+class WindowFold(StatefulProcessor):
+    """A user fold per key and event-time tumbling window (W-2 / UDF-4 on a
+    stream). Accumulators live in MapState keyed by window end; an event-time
+    timer at the window end emits ``finish(acc)`` and frees the state, so a
+    window costs state only while it is open.
+
+    ``add(pdf) -> dict`` and ``merge(a, b) -> dict`` work on the accumulator
+    fields of ``acc_ddl``; ``finish(acc) -> dict`` gives the result fields.
+    """
+
+    def __init__(self, key: str, time: str, size_ms: int, acc_ddl: str, add, merge, finish):
+        self.key, self.time, self.size_ms = key, time, size_ms
+        self.acc_ddl, self.add, self.merge, self.finish = acc_ddl, add, merge, finish
+        self.acc_names = [f.split()[0] for f in acc_ddl.split(",")]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.accs = handle.getMapState("accs", "end bigint", self.acc_ddl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        ms = pdf[self.time].astype("datetime64[us]").astype("int64") // 1000
+        ends = (ms // self.size_ms + 1) * self.size_ms
+        for end, part in pdf.groupby(ends.to_numpy(), sort=True):
+            acc = self.add(part)
+            k = (int(end),)
+            if self.accs.containsKey(k):
+                acc = self.merge(dict(zip(self.acc_names, self.accs.getValue(k))), acc)
+            else:
+                self.handle.registerTimer(int(end))
+            self.accs.updateValue(k, tuple(acc[n] for n in self.acc_names))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        k = (expiredTimerInfo.getExpiryTimeInMs(),)
+        if self.accs.containsKey(k):
+            acc = dict(zip(self.acc_names, self.accs.getValue(k)))
+            self.accs.removeKey(k)
+            res = self.finish(acc)
+            yield pd.DataFrame({self.key: [key[0]], "window_end": [pd.Timestamp(k[0], unit="ms")],
+                                **{n: [v] for n, v in res.items()}})
