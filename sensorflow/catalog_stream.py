@@ -154,13 +154,18 @@ def _with_end_marker(spark, sf_dir, name, cols):
 
 @register("tumble_apply_stream", C.ORACLE["tumble_apply"])
 def q_tumble_apply_stream(spark, sf_dir):
-    import pandas as pd
+    """A user fold per key and 6-hour window on a stream (W-2 / UDF-4): windows
+    are emitted once the watermark passes their end; the end marker closes the rest."""
+    from sensorflow.functions.fold import count_fold
     e = _with_end_marker(spark, sf_dir, "events", ["user_id", "ts"])
-    s = S.window_fold_stream(
-        e, "user_id", "ts", 6 * 3600, f"{C.DELAY_S} seconds", "n bigint",
-        add=lambda pdf: {"n": len(pdf)}, merge=lambda a, b: {"n": a["n"] + b["n"]},
-        finish=lambda acc: {"cnt": int(acc["n"])}, result_ddl="cnt bigint")
-    return _run(spark, s, "window-fold").where("user_id <> -1").select("user_id", "window_end", "cnt")
+    base = scratch_path(spark, "window-fold")
+    fn = S.window_fold_batch_writer(spark, base, "user_id", "ts", C.WINDOW, C.DELAY_S, count_fold("cnt"), [])
+    q = (e.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(1800)
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{base}/out").where("user_id <> -1").select("user_id", "window_end", "cnt")
 
 
 @register("rise_alert_stream", C.ORACLE["rise_alert"])

@@ -39,11 +39,77 @@ def _ddl(schema: T.StructType, names) -> str:
     return ", ".join(f"`{n}` {schema[n].dataType.simpleString()}" for n in names)
 
 
+def _acc_cols(fold: Fold) -> list[str]:
+    return [f.name for f in T._parse_datatype_string(fold.acc).fields]
+
+
+def fold_accumulate(df: DataFrame, keys: list[str], fold: Fold, inputs: list[str],
+                    num_partitions: int | None = None, merged: bool = True) -> DataFrame:
+    """Accumulators of ``fold`` per group: map-side partial fold, then (if
+    ``merged``) one accumulator row per group after a shuffle by key. Already
+    accumulated rows (same columns) can be unioned in before merging."""
+    key_ddl = _ddl(df.schema, keys)
+    acc_cols = _acc_cols(fold)
+
+    def _merge(frame: pd.DataFrame) -> pd.DataFrame:
+        return fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()
+
+    def partial(batches):
+        run = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            part = fold.add(pdf.groupby(keys, sort=False, dropna=False)).reset_index()
+            run = part if run is None else _merge(pd.concat([run, part], ignore_index=True))
+        if run is not None:
+            yield run[keys + acc_cols]
+
+    partials = df.select(*keys, *inputs).mapInPandas(partial, f"{key_ddl}, {fold.acc}")
+    return merge_accumulators(partials, keys, fold, num_partitions) if merged else partials
+
+
+def merge_accumulators(accs: DataFrame, keys: list[str], fold: Fold,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Shuffle accumulator rows by key and merge them to one row per group."""
+    acc_cols = _acc_cols(fold)
+    schema = ", ".join([_ddl(accs.schema, keys), fold.acc])
+
+    def _merge(frame: pd.DataFrame) -> pd.DataFrame:
+        return fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()
+
+    def merge(batches):
+        run = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            m = _merge(pdf)
+            run = m if run is None else _merge(pd.concat([run, m], ignore_index=True))
+        if run is not None:
+            yield run[keys + acc_cols]
+
+    shuffled = accs.repartition(num_partitions, *keys) if num_partitions else accs.repartition(*keys)
+    return shuffled.mapInPandas(merge, schema)
+
+
+def finish_accumulators(accs: DataFrame, keys: list[str], fold: Fold) -> DataFrame:
+    """Accumulator rows → result rows (a narrow, vectorised map)."""
+    res_cols = [f.name for f in T._parse_datatype_string(fold.result).fields]
+
+    def finish(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            out = fold.finish(pdf)
+            yield pd.concat([pdf[keys].reset_index(drop=True), out[res_cols].reset_index(drop=True)], axis=1)
+
+    return accs.mapInPandas(finish, f"{_ddl(accs.schema, keys)}, {fold.result}")
+
+
 def fold_by(df: DataFrame, keys: list[str], fold: Fold, inputs: list[str],
             num_partitions: int | None = None) -> DataFrame:
     """Group ``df`` by ``keys`` and apply ``fold`` to ``inputs``."""
     key_ddl = _ddl(df.schema, keys)
-    acc_cols = [f.name for f in T._parse_datatype_string(fold.acc).fields]
+    acc_cols = _acc_cols(fold)
     res_cols = [f.name for f in T._parse_datatype_string(fold.result).fields]
 
     def _merge(frame: pd.DataFrame) -> pd.DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.plans.scan import Run, scan
+from sensorflow.plans.scan import Run, quantile_bounds, scan
 from sensorflow.schema import as_ntz, event_time
 
 # Fixed value: the reference's initial "last temperature" is Java's
@@ -43,6 +43,8 @@ def rise_alert(df: DataFrame, key: str, order: str, time: str, value: str,
     """
     et = event_time(df, time)
     base = df.select(F.col(key), F.col(order), et.alias("_sf_t"), F.col(value))
+    if segments is None:  # one quantile pass over the input, shared by both scans
+        segments = quantile_bounds(base, order)
     p1 = scan(base, [key], [order], [Run("_sf_prev", "max", F.struct(
         F.col(order).alias("o"), F.col(value).alias("v")), inclusive=False)], segments)
     p1 = p1.withColumn("_sf_rise", F.col(value) > F.coalesce(F.col("_sf_prev.v"),

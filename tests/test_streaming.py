@@ -187,3 +187,31 @@ def test_idle_timer_processing_time(spark, readings, tmp_path):
     finally:
         q.stop()
     assert fired == 4
+
+
+def test_rolling_max_by_and_changelog_stream(spark, readings, sliced, tmp_path):
+    from tests.test_aggregates import A3
+    out = stream_to_table(spark, S.rolling_max_by_stream(_stream(spark, readings, sliced), "id", "seq", "temperature",
+                                                         ["timestamp"]),
+                          str(tmp_path / "mb"), str(tmp_path / "mbck"))
+    assert dict(collect(out, "seq", "max_seq")) == A3
+    assert dict(collect(out, "seq", "max_timestamp"))[1] == 1547718199
+    ch = stream_to_table(spark, S.changelog_stream(_stream(spark, readings, sliced), "id", "seq", "temperature"),
+                         str(tmp_path / "ch"), str(tmp_path / "chck"))
+    assert ch.count() == 30 and ch.where("is_insert").count() == 17
+
+
+def test_window_fold_stream(spark, readings, sliced, tmp_path):
+    from sensorflow.functions.fold import count_fold
+    from tests.test_windows import W15
+    # the end marker is the last file of the replay, so it arrives in the last micro-batch
+    spark.createDataFrame([(99, "__end__", 4102444800, 0.0)], readings.schema).coalesce(1) \
+        .write.mode("append").parquet(sliced)
+    s = _stream(spark, readings, sliced)
+    base = str(tmp_path / "wf")
+    fn = S.window_fold_batch_writer(spark, base, "id", "timestamp", "15 seconds", 62, count_fold("cnt"), [])
+    q = s.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    out = spark.read.parquet(f"{base}/out").where("id <> '__end__'") \
+        .withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1547718000)
+    assert collect(out, "id", "end_s", "cnt") == [w[:3] for w in W15]
