@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.plans.scan import Run, scan
-from sensorflow.schema import as_ntz, event_time
+from sensorflow.schema import as_ntz, event_time, tumble_end
 
 
 def late_split(df: DataFrame, arrival: list[str], time: str, size: str,
@@ -27,14 +27,15 @@ def late_split(df: DataFrame, arrival: list[str], time: str, size: str,
     base = df.withColumn("_sf_et", et)
     s = scan(base, [], arrival, [Run("_sf_max", "max", F.col("_sf_et"), inclusive=False)], segments)
     wm = F.col("_sf_max") - F.make_dt_interval(secs=F.lit(delay_seconds))
-    fire_at = F.window(F.col("_sf_et"), size).end - F.expr("INTERVAL 1 MILLISECOND")
+    end = tumble_end(F.col("_sf_et"), size)
+    fire_at = end - F.expr("INTERVAL 1 MILLISECOND")
     closed_at = fire_at + F.make_dt_interval(secs=F.lit(lateness_seconds))
     status = (F.when(wm.isNull(), F.lit("on_time"))
               .when(closed_at <= wm, F.lit("late"))
               .when(fire_at <= wm, F.lit("refire"))
               .otherwise(F.lit("on_time")))
     return s.select(*[c for c in df.columns],
-                    as_ntz(F.window(F.col("_sf_et"), size).end).alias("window_end"),
+                    as_ntz(end).alias("window_end"),
                     as_ntz(wm).alias("watermark"), status.alias("status"))
 
 

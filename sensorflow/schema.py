@@ -53,3 +53,21 @@ def event_time(df: DataFrame, name: str) -> Column:
 def as_ntz(c: Column) -> Column:
     """Zoned timestamp → TIMESTAMP_NTZ for output (matches DuckDB's TIMESTAMP)."""
     return c.cast("timestamp_ntz")
+
+
+_UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def duration_us(size: str) -> int:
+    """``"6 hours"`` → microseconds (fixed-length units only)."""
+    n, unit = size.split()
+    return int(float(n) * _UNIT_US[unit.lower().rstrip("s")])
+
+
+def tumble_end(et: Column, size: str) -> Column:
+    """End of the epoch-aligned tumbling window holding ``et`` (a TIMESTAMP),
+    computed arithmetically: unlike ``window()``, it adds no not-null filter,
+    so rows without an event time are kept (with a null window)."""
+    us = duration_us(size)
+    return F.timestamp_micros((F.floor(F.unix_micros(et) / F.lit(us)) + 1) * F.lit(us))

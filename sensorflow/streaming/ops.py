@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.operators.aggregates import words
-from sensorflow.schema import as_ntz, event_time
+from sensorflow.schema import as_ntz, event_time, tumble_end
 from sensorflow.session import prepare
 from sensorflow.streaming import processors as P
 
@@ -161,7 +161,7 @@ def late_split_batch_writer(spark: SparkSession, state_path: str, main_path: str
         try:
             wm = (F.lit(prev).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_s))) if prev is not None \
                 else F.lit(None).cast("timestamp")
-            fire_at = F.window("_sf_et", size).end - F.expr("INTERVAL 1 MILLISECOND")
+            fire_at = tumble_end(F.col("_sf_et"), size) - F.expr("INTERVAL 1 MILLISECOND")
             closed_at = fire_at + F.make_dt_interval(secs=F.lit(lateness_s))
             status = (F.when(wm.isNull(), "on_time").when(closed_at <= wm, "late")
                       .when(fire_at <= wm, "refire").otherwise("on_time"))

@@ -95,3 +95,10 @@ def test_rise_alert(readings):
     out = alerts.rise_alert(readings, "id", "seq", "timestamp", "temperature", 10)
     got = collect(out.withColumn("s", F.unix_seconds(F.col("start_ts").cast("timestamp"))), "id", "s")
     assert got == [("sensor_1", 1547718199), ("sensor_10", 1547718205)]
+
+
+def test_late_split_keeps_rows_without_time(spark):
+    df = spark.createDataFrame([(0, 1547718199, 1.0), (1, None, 2.0), (2, 1547718300, 3.0)],
+                               "seq bigint, timestamp bigint, temperature double")
+    out = late.late_split(df, ["seq"], "timestamp", "15 seconds", 2, 60)
+    assert dict(collect(out, "seq", "status")) == {0: "on_time", 1: "on_time", 2: "on_time"}
