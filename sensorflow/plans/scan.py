@@ -116,10 +116,33 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
     return F.least(carry, local)
 
 
+def _zero(dt: T.DataType):
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit(0).cast("timestamp").cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray())
+    return F.lit(0).cast(dt)
+
+
 def scan(df: DataFrame, keys: list[str], order: list[str], runs: list[Run],
          segments=None, n_segments: int | None = None) -> DataFrame:
     """Add one column per :class:`Run`, computed in key/order sequence."""
-    sdf = with_segments(df, order[0], segments, n_segments)
+    sdf = with_segments(df, order[0], segments, n_segments).withColumn(
+        SEG, F.coalesce(F.col(SEG), F.lit(-1).cast("bigint")))
+    # Keys as (value-or-zero, is-null) column pairs: null keys form their own
+    # group (as in a window) and the carry join is a plain equi-join on the
+    # very columns the window is hash-partitioned by, so the big side is
+    # never shuffled a second time.
+    kcols = []
+    for k in keys:
+        sdf = (sdf.withColumn(f"_sf_kv_{k}", F.coalesce(F.col(k), _zero(df.schema[k].dataType)))
+               .withColumn(f"_sf_kn_{k}", F.col(k).isNull()))
+        kcols += [f"_sf_kv_{k}", f"_sf_kn_{k}"]
+    keys = kcols
     part = [*keys, SEG]
     for r in runs:
         sdf = sdf.withColumn(f"_sf_in_{r.name}", r.expr if r.expr is not None else F.lit(1))
@@ -146,14 +169,10 @@ def scan(df: DataFrame, keys: list[str], order: list[str], runs: list[Run],
             else ws.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_sf_c_{r.name}")
         for r in runs])
 
-    # Null-safe keys: rows with a null key form their own group, as in a window.
-    out = local.join(carries.select(*[F.col(c).alias(f"_sf_k_{c}") for c in part],
-                                    *[f"_sf_c_{r.name}" for r in runs]),
-                     [F.col(c).eqNullSafe(F.col(f"_sf_k_{c}")) for c in part], "inner")
-    out = out.drop(*[f"_sf_k_{c}" for c in part])
+    out = local.join(carries, part, "inner")
     for r in runs:
         out = out.withColumn(r.name, _combine(r.kind, F.col(f"_sf_c_{r.name}"), F.col(f"_sf_l_{r.name}")))
-    tmp = [SEG] + [f"_sf_{p}_{r.name}" for r in runs for p in ("in", "l", "c")]
+    tmp = [SEG, *kcols] + [f"_sf_{p}_{r.name}" for r in runs for p in ("in", "l", "c")]
     return out.drop(*tmp)
 
 
