@@ -3,5 +3,5 @@
 from sensorflow.sources.readers import (  # noqa: F401
     csv_lines, decode_kafka_value, from_collection, kafka_stream, parse_csv_value,
     parse_readings, read_csv_table, read_lines, read_lines_stream, read_table_stream,
-    register_view, to_table,
+    register_view, socket_stream, to_table, with_processing_time,
 )

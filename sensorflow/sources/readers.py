@@ -30,6 +30,17 @@ def read_lines_stream(spark: SparkSession, directory: str, glob: str | None = No
     return r.load(directory)
 
 
+def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """``socketTextStream(host, port)`` (SRC-3): live lines in ``value``. Every
+    operator here takes any line DataFrame, so tests replay files instead."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
+def with_processing_time(df: DataFrame, name: str = "proc_time") -> DataFrame:
+    """Processing-time attribute (T-1, ``proctime``): the time a row is seen."""
+    return df.withColumn(name, F.current_timestamp())
+
+
 def read_table_stream(spark: SparkSession, directory: str, schema: T.StructType,
                       glob: str | None = None, fmt: str = "parquet",
                       max_files_per_trigger: int | None = None) -> DataFrame:

@@ -215,3 +215,18 @@ def test_window_fold_stream(spark, readings, sliced, tmp_path):
     out = spark.read.parquet(f"{base}/out").where("id <> '__end__'") \
         .withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1547718000)
     assert collect(out, "id", "end_s", "cnt") == [w[:3] for w in W15]
+
+
+def test_csv_append_and_print_sinks(spark, readings, tmp_path):
+    from sensorflow.sinks import print_sink, write_csv_append
+    from sensorflow.sources import with_processing_time
+    src = str(tmp_path / "p")
+    readings.write.parquet(src)
+    s = read_table_stream(spark, src, readings.schema).where("id = 'sensor_6'").select("id", "temperature")
+    q = write_csv_append(s, str(tmp_path / "csv"), str(tmp_path / "csvck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    back = spark.read.schema("id string, temperature double").csv(str(tmp_path / "csv"))
+    assert sorted(r.temperature for r in back.collect()) == [15.4, 19.4, 26.4, 47.4]
+    q2 = print_sink(with_processing_time(s), "sensor").trigger(availableNow=True).start()
+    q2.awaitTermination(120)
+    assert q2.exception() is None
