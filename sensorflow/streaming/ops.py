@@ -149,14 +149,9 @@ def late_split_batch_writer(spark: SparkSession, state_path: str, main_path: str
     the rest to the main output. Every write is keyed by batch id and
     overwritten on replay, so a restarted batch is harmless.
     """
-    from pyspark.sql.utils import AnalysisException
-
     def fn(batch: DataFrame, batch_id: int) -> None:
-        try:
-            prev = (spark.read.parquet(state_path).where(F.col("batch_id") < batch_id)
-                    .agg(F.max("hwm").alias("hwm")).first()["hwm"])
-        except AnalysisException:
-            prev = None
+        earlier = [v for v in _versions(spark, state_path) if v < batch_id]
+        prev = spark.read.parquet(f"{state_path}/_v={earlier[-1]}").first()["hwm"] if earlier else None
         b = batch.withColumn("_sf_et", event_time(batch, time)).persist()
         try:
             wm = (F.lit(prev).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_s))) if prev is not None \
@@ -171,7 +166,8 @@ def late_split_batch_writer(spark: SparkSession, state_path: str, main_path: str
             hwm = b.agg(F.max("_sf_et").alias("m")).first()["m"]
             hwm = max(x for x in (prev, hwm) if x is not None) if (prev or hwm) else None
             spark.createDataFrame([(batch_id, hwm)], "batch_id bigint, hwm timestamp") \
-                .write.mode("overwrite").parquet(f"{state_path}/_b={batch_id}")
+                .write.mode("overwrite").parquet(f"{state_path}/_v={batch_id}")
+            _retain(spark, state_path, batch_id)
         finally:
             b.unpersist()
     return fn
@@ -193,6 +189,18 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def _retain(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Drop state versions older than ``batch_id - 1`` once ``batch_id`` is
+    written: a replay of ``batch_id`` reads ``batch_id - 1``, nothing older,
+    so storage and listing stay bounded for a long-running stream."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in _versions(spark, path):
+        if v < batch_id - 1:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/_v={v}"), True)
+
+
 def running_count_batch_writer(spark: SparkSession, state_path: str, out_path: str, keys: list[str],
                                order: list[str], name: str = "cnt"):
     """``foreachBatch`` function: per-record running count per key across
@@ -222,6 +230,7 @@ def running_count_batch_writer(spark: SparkSession, state_path: str, out_path: s
                 counts = counts.unionByName(prior).groupBy(*keys).agg(F.sum(name).cast("bigint").alias(name))
             local.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
             counts.write.mode("overwrite").parquet(f"{state_path}/_v={batch_id}")
+            _retain(spark, state_path, batch_id)
         finally:
             b.unpersist()
     return fn
@@ -271,6 +280,8 @@ def window_fold_batch_writer(spark: SparkSession, base: str, key: str, time: str
             keep.write.mode("overwrite").parquet(f"{state}/_v={batch_id}")
             spark.createDataFrame([(batch_id, hwm)], "batch_id bigint, hwm timestamp") \
                 .write.mode("overwrite").parquet(f"{hwm_path}/_v={batch_id}")
+            _retain(spark, state, batch_id)
+            _retain(spark, hwm_path, batch_id)
         finally:
             merged.unpersist()
     return fn
