@@ -215,3 +215,13 @@ def q_late_split_stream(spark, sf_dir):
 # Processing-time timers (F-4) are not registered as a query: their output is
 # wall-clock dependent and the query has no natural end; the operator
 # ``streaming.ops.idle_timer_stream`` is exercised by tests/test_streaming.py.
+
+
+@register("over_rows_event_time_stream", C.ORACLE["over_rows"])
+def q_over_rows_event_time_stream(spark, sf_dir):
+    """Exact event-time OVER window (W-8): rows released in (ts, event_id)
+    order as the watermark passes them; the end marker releases the rest."""
+    e = _with_end_marker(spark, sf_dir, "events", ["user_id", "ts", "event_id", "value"])
+    s = S.over_rows_event_time_stream(e, "user_id", "ts", "event_id", "value", 2, f"{C.DELAY_S} seconds")
+    out = _run(spark, s, "over-rows-et").where("user_id <> -1")
+    return out.select("user_id", "ts", "event_id", "cnt", C.r6("avg_value").alias("avg_value"))

@@ -285,3 +285,16 @@ def window_fold_batch_writer(spark: SparkSession, base: str, key: str, time: str
         finally:
             merged.unpersist()
     return fn
+
+
+def over_rows_event_time_stream(df: DataFrame, key: str, time: str, seq: str, value: str,
+                                preceding: int, delay: str) -> DataFrame:
+    """Exact event-time OVER window on a stream (W-8): rows are released in
+    ``(time, seq)`` order once the watermark (``delay``) passes them; rows
+    behind the released point come out with ``late = true``."""
+    prepare(df.sparkSession)
+    src = df.withColumn(time, event_time(df, time)).withWatermark(time, delay)
+    return src.groupBy(key).transformWithStateInPandas(
+        P.OverRowsEventTime(key, time, seq, value, preceding),
+        f"{_ddl(df, key)}, `{time}` timestamp_ntz, {_ddl(df, seq)}, cnt bigint, avg_value double, late boolean",
+        "Append", "EventTime")

@@ -361,3 +361,78 @@ class WindowFold(StatefulProcessor):
             res = self.finish(acc)
             yield pd.DataFrame({self.key: [key[0]], "window_end": [pd.Timestamp(k[0], unit="ms")],
                                 **{n: [v] for n, v in res.items()}})
+
+
+class OverRowsEventTime(StatefulProcessor):
+    """Row-frame OVER window in event-time order on a stream (W-8, exact).
+
+    Rows are buffered per key and released in ``(event time, seq)`` order once
+    the watermark has passed them; the frame takes the last ``preceding``
+    released values from state. One event-time timer per key is pending at a
+    time (at the earliest buffered row); when it fires, every buffered row
+    behind the current watermark is released and the timer is re-armed at the
+    next buffered row. A row arriving behind the released point is late: it
+    is emitted with ``late = true`` and a frame of itself only.
+    """
+
+    def __init__(self, key: str, time: str, seq: str, value: str, preceding: int = 2):
+        self.key, self.time, self.seq, self.value, self.preceding = key, time, seq, value, preceding
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", "t bigint, o bigint, v double")
+        self.tail = handle.getListState("tail", "v double")
+        self.point = handle.getValueState("point", "t bigint, o bigint")
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    def _emit(self, key, t, o, cnt, avg, late) -> pd.DataFrame:
+        return pd.DataFrame({self.key: [key[0]] * len(t), self.time: pd.to_datetime(t, unit="us"),
+                             self.seq: o, "cnt": cnt, "avg_value": avg, "late": late})
+
+    def _arm(self, first_us: int) -> None:
+        ms = -(-first_us // 1000)
+        if self.timer.exists():
+            cur = self.timer.get()[0]
+            if cur <= ms:
+                return
+            self.handle.deleteTimer(cur)
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        t = pdf[self.time].astype("datetime64[us]").astype("int64").tolist()
+        o = pdf[self.seq].astype("int64").tolist()
+        v = pdf[self.value].astype("float64").tolist()
+        point = tuple(self.point.get()) if self.point.exists() else None
+        late_rows, fresh = [], []
+        for row in zip(t, o, v):
+            (late_rows if point is not None and (row[0], row[1]) <= point else fresh).append(row)
+        if fresh:
+            self.buf.appendList([(int(a), int(b), float(c)) for a, b, c in fresh])
+            self._arm(min(a for a, _, _ in fresh))
+        if late_rows:
+            lt, lo, lv = zip(*late_rows)
+            yield self._emit(key, list(lt), list(lo), [1] * len(lt), list(lv), [True] * len(lt))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        limit_us = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        pending = sorted(self.buf.get()) if self.buf.exists() else []
+        ready = [r for r in pending if r[0] <= limit_us]
+        rest = [r for r in pending if r[0] > limit_us]
+        if rest:
+            self.buf.put([tuple(r) for r in rest])
+            self._arm(rest[0][0])
+        else:
+            self.buf.clear()
+        if not ready:
+            return
+        tail = [x[0] for x in self.tail.get()] if self.tail.exists() else []
+        vals = pd.Series(tail + [r[2] for r in ready])
+        w = vals.rolling(self.preceding + 1, min_periods=1)
+        cnt = w.count().iloc[len(tail):].astype("int64").tolist()
+        avg = w.mean().iloc[len(tail):].tolist()
+        self.tail.put([(float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
+        self.point.update((int(ready[-1][0]), int(ready[-1][1])))
+        yield self._emit(key, [r[0] for r in ready], [r[1] for r in ready], cnt, avg, [False] * len(ready))
