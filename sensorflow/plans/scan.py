@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,7 +194,3 @@ def row_frames(df: DataFrame, keys: list[str], rn: str, preceding: int,
     if keep_target is not None:
         targets = F.filter(targets, keep_target)
     return df.withColumn("_sf_t", F.explode(targets))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -6,9 +6,6 @@ from sensorflow.functions.fold import count_fold
 from sensorflow.operators import alerts, late, windows
 from tests.conftest import collect
 
-END = lambda s: s
-
-
 def _end_secs(df):
     return df.withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1547718000)
 
