@@ -40,10 +40,10 @@ def op6(spark, sf_dir):
 
 
 @register("op8_topk_search", """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (SELECT q.vec_id AS query_id, d.vec_id,
-             CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * d.e[i])) AS BIGINT) AS score
+             CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * d.e[i])) AS BIGINT) AS score
       FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
