@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import preference_format, topk_search, url_filters
+from sensorflow.llm import language_id, preference_format, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op10(spark, sf_dir):
     """Conversations 2i (chosen) and 2i + 1 (rejected) form pair i."""
     t = table(spark, sf_dir, "conversations")
     return preference_format.format_preferences(t, F.floor(F.col("conv_id") / 2).cast("long"), F.coalesce(F.col("conv_id") % 2 == 0, F.lit(True)))
+
+
+@register("op2_language_id")
+def op2(spark, sf_dir):
+    """Language of every document, learnt from documents that are not held out."""
+    return language_id.language_id(table(spark, sf_dir, "documents"))
