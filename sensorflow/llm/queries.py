@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import language_id, preference_format, topk_search, url_filters
+from sensorflow.llm import language_id, packing, preference_format, token_files, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,21 @@ def op10(spark, sf_dir):
 def op2(spark, sf_dir):
     """Language of every document, learnt from documents that are not held out."""
     return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op4_best_fit_packing")
+def op4(spark, sf_dir):
+    """All documents' pieces packed into sequences of 1024 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@register("op9_token_id_output")
+def op9(spark, sf_dir):
+    """Token files of all documents, written and read back."""
+    return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
