@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import language_id, packing, preference_format, token_files, topk_search, url_filters
+from sensorflow.llm import language_id, ngram_join, packing, preference_format, token_files, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op4(spark, sf_dir):
 def op9(spark, sf_dir):
     """Token files of all documents, written and read back."""
     return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@register("op3_ngram_jaccard_join")
+def op3(spark, sf_dir):
+    """Near-duplicate component and number of links of every document."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
