@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import language_id, ngram_join, packing, preference_format, token_files, topk_search, url_filters
+from sensorflow.llm import decontaminate, language_id, ngram_join, packing, preference_format, token_files, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def op9(spark, sf_dir):
 def op3(spark, sf_dir):
     """Near-duplicate component and number of links of every document."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op7_benchmark_decontamination")
+def op7(spark, sf_dir):
+    """Occurrences of benchmark items in all documents, with up to 15 % of an item's words edited."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

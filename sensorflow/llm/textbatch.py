@@ -21,6 +21,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Every ASCII byte that is not a letter or digit.
+IS_SIGN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _rng = np.random.default_rng(20240607)
 BYTE_HASH = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 BASE = U(0x9E3779B97F4A7C15)
@@ -75,11 +77,11 @@ def slices(off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         a = b
 
 
-def words(raw: np.ndarray, off: np.ndarray):
+def words(raw: np.ndarray, off: np.ndarray, separator: np.ndarray = IS_SPACE):
     """``(start, end, hash, first)``: byte spans and hashes of all words, and the index of each text's first word."""
     n = len(raw)
     low = LOWER[raw]
-    word = ~IS_SPACE[low]
+    word = ~separator[low]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     cut = off[:-1][(off[:-1] < n)]
