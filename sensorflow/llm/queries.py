@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import decontaminate, language_id, ngram_join, packing, preference_format, token_files, topk_search, url_filters
+from sensorflow.llm import decontaminate, language_id, ngram_join, packing, preference_format, substring_dedup, token_files, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,9 @@ def op3(spark, sf_dir):
 def op7(spark, sf_dir):
     """Occurrences of benchmark items in all documents, with up to 15 % of an item's words edited."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_substring_dedup")
+def op5(spark, sf_dir):
+    """Passages of 50 words or more that occur in several documents."""
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
