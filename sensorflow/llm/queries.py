@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import decontaminate, language_id, ngram_join, packing, preference_format, substring_dedup, token_files, topk_search, url_filters
+from sensorflow.llm import decontaminate, language_id, lm_scoring, ngram_join, packing, preference_format, substring_dedup, token_files, topk_search, url_filters
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,9 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     """Passages of 50 words or more that occur in several documents."""
     return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op1_lm_scoring")
+def op1(spark, sf_dir):
+    """Attention-model and word-unigram scores of all documents."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
