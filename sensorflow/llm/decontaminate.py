@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.llm import textbatch as tb
+from sensorflow.llm.columns import fresh
 
 ERROR_RATE = 0.15
 ITEM_BLOCK_BYTES = 16 << 20
@@ -171,35 +172,40 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, most: int = ITEM_B
         yield sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def with_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-              item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE, hits_col: str = "hits",
-              most: int = ITEM_BLOCK_BYTES) -> DataFrame:
-    """``keep`` columns (default all) and ``hits_col``: occurrences of items, as word spans of the text."""
+def with_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+              rate: float = ERROR_RATE, hits_col: str = "hits", most: int = ITEM_BLOCK_BYTES) -> DataFrame:
+    """All columns of ``docs`` and ``hits_col``: occurrences of items, as word spans of the text."""
     spark = docs.sparkSession
-    keep = docs.columns if keep is None else keep
-    out = docs.select(*[F.col(f"`{c}`") for c in keep], F.array().cast(HITS).alias("_hits"), F.lower(F.col(text_col)).alias("_low"))
+    out = docs.select(F.struct("*").alias("row"), F.array().cast(HITS).alias("hits"), F.lower(F.col(text_col)).alias("low"))
+    schema = out.schema
     for rows in item_blocks(items, item_id, item_text, most):
         shared = spark.sparkContext.broadcast(Items(rows, rate))
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
 
         def run(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             table = shared.value
             for batch in it:
-                low = batch.column(batch.num_columns - 1)
-                found: list[list[dict]] = [x or [] for x in batch.column(batch.num_columns - 2).to_pylist()]
+                low = batch.column(2)
+                found: list[list[dict]] = [x or [] for x in batch.column(1).to_pylist()]
                 raw, off = tb.text_buffers(low)
                 for a, z in tb.slices(off):
                     _, _, h, first = tb.words(raw[off[a]: off[z]], off[a: z + 1] - off[a], tb.IS_SIGN)
                     for t, item, start, end, d in matches(table, h, first):
                         found[a + t].append({"item_id": table.ids[item], "start": start, "end": end, "distance": d})
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, _HIT_TYPE), low], names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _HIT_TYPE), low], names=["row", "hits", "low"])
 
-        out = out.mapInArrow(run, fields)
-    return out.drop("_low").withColumnRenamed("_hits", hits_col)
+        out = out.mapInArrow(run, schema)
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.col("hits").alias(hits_col))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """``<id_col>``, ``item_id``, ``start_word``, ``end_word``, ``distance`` of every occurrence of an item in a document."""
-    found = with_hits(docs.select(id_col, text_col), items, text_col, [id_col], hits_col="_h", **more)
-    return (found.where(F.size("_h") > 0).select(id_col, F.explode("_h").alias("x"))
-            .select(id_col, "x.item_id", F.col("x.start").alias("start_word"), F.col("x.end").alias("end_word"), "x.distance"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = with_hits(narrow, items, "text", hits_col="h", **more)
+    return (found.where(F.size("h") > 0).select("id", F.explode("h").alias("x"))
+            .select(F.col("id").alias(id_col), "x.item_id", F.col("x.start").alias("start_word"), F.col("x.end").alias("end_word"), "x.distance"))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **more) -> DataFrame:
+    """The documents in which no item occurs, unchanged."""
+    hits = fresh(docs.columns, "hits")
+    return with_hits(docs, items, text_col, hits_col=hits, **more).where(F.size(hits) == 0).drop(hits)

@@ -28,12 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sensorflow.llm import textbatch as tb
+from sensorflow.llm.columns import fresh
 
 DIM = 1 << 13
 SAMPLE_PER_LANG = 300
 EPOCHS = 12
+LEAST_SCORE = 0.3
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -201,30 +204,31 @@ def fit_model(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     return fit(np.stack([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got])
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default all) with ``lang_pred`` and ``score``."""
-    keep = docs.columns if keep is None else keep
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of ``docs`` with the predicted language and its score under the given names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_op2_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    out = StructType([rows.schema["row"], StructField("pred", StringType()), StructField("score", DoubleType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in it:
-            col = b.column(b.num_columns - 1)
+            col = b.column(1)
             texts = col.to_pylist()
             letter = np.array([t is not None and LETTER.search(t) is not None for t in texts], bool)
-            lang, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+            lang, value = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             if m is not None:
                 raw, off = tb.text_buffers(col)
                 for a, z in tb.slices(off):
-                    lang[a:z], score[a:z] = m.predict(raw[off[a]: off[z]], off[a: z + 1] - off[a])
+                    lang[a:z], value[a:z] = m.predict(raw[off[a]: off[z]], off[a: z + 1] - off[a])
             names = np.array([*(m.langs if m else []), "und"], object)
-            pred = names[np.where(letter & (m is not None), lang, len(names) - 1)]
-            out = [*b.columns[:-1], pa.array(pred, pa.string()), pa.array(np.where(letter & (m is not None), score, 0.0), pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, names=[*b.schema.names[:-1], "lang_pred", "score"])
+            known = letter & (m is not None)
+            named = names[np.where(known, lang, len(names) - 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(named, pa.string()), pa.array(np.where(known, value, 0.0), pa.float64())],
+                                             names=["row", "pred", "score"])
 
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    found = rows.mapInArrow(run, out)
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.col("pred").alias(pred), F.col("score").alias(score))
 
 
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
@@ -236,4 +240,12 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Learn from rows that are not held out, judge all: id, ``held_out``, ``lang_pred``, ``score``."""
     out = held_out(id_col, 4, 2)
     model = fit_model(docs.select(id_col, text_col, lang_col).where(~out), id_col, text_col, lang_col)
-    return identify(docs.select(id_col, text_col), model, text_col, [id_col]).select(id_col, out.alias("held_out"), "lang_pred", "score")
+    return identify(docs.select(id_col, text_col), model, text_col).select(id_col, out.alias("held_out"), "lang_pred", "score")
+
+
+def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose language is recognised (a learned language, with a score of at least ``least``), unchanged."""
+    model = fit_model(docs.select(id_col, text_col, lang_col), id_col, text_col, lang_col)
+    pred, score = fresh(docs.columns, "pred"), fresh(docs.columns, "score")
+    told = identify(docs, model, text_col, pred, score)
+    return told.where((F.col(pred) != "und") & (F.col(score) >= least)).drop(pred, score)

@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sensorflow.llm import graph
 from sensorflow.llm import textbatch as tb
@@ -343,47 +344,69 @@ def verified(members: DataFrame, percent: int = PERCENT) -> DataFrame:
         .mapInArrow(check, "a long, b long, links long")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``<id_col>``, ``n_shingles``, ``component_id``, ``n_links``, ``class_id`` (equal sets)."""
-    spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # a null id is named by its text
-    base = base.select("id", F.col("id").isNull().alias("no"), F.coalesce(F.col("id").cast("long"), F.xxhash64("text")).alias("key"), "text")
+def _with_sets(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
+    """``row``, ``no`` and ``key`` (whether the id is null; the id or a number of the text), ``n``, ``c`` (size and number of
+    the shingle set), ``bytes``."""
+    base = docs.select(row.alias("row"), F.col(id_col).isNull().alias("no"),
+                       F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("key"), F.col(text_col).alias("text"))
+    schema = StructType([*base.schema.fields[:3], *[StructField(x, LongType()) for x in ("n", "c", "bytes")]])
 
-    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for a, z, u, at in _sets(batch, 3):
                 part = batch.slice(a, z - a)
-                bytes_ = pa.array(np.diff(tb.text_buffers(part.column(3))[1]))
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(at)), pa.array(set_hash(u, at).astype(np.int64)), bytes_],
-                                                 names=["id", "no", "key", "n", "c", "bytes"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    path = scratch_path(spark, "ngram-sets")
-    base.mapInArrow(sets, f"id {kind}, no boolean, key long, n long, c long, bytes long").write.parquet(path)
-    seen = spark.read.parquet(path)
-    classes = (seen.where("n > 0").groupBy("c").agg(F.min(F.struct("no", "key")).alias("rep"), F.count("*").alias("w"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")))
-    classes = graph._saved(classes.select("c", "w", "most", F.col("rep.no").alias("no"), F.col("rep.key").alias("key")), "ngram-classes")
-    volume = classes.agg(F.sum("most").alias("b")).first()["b"] or 0
-    buckets = max(1, -(-int(volume) // BUCKET_BYTES))
+                size = pa.array(np.diff(tb.text_buffers(part.column(3))[1]))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(at)), pa.array(set_hash(u, at).astype(np.int64)), size],
+                                                 names=["row", "no", "key", "n", "c", "bytes"])
 
-    def text_of(wanted: DataFrame) -> DataFrame:
-        return wanted.join(base.select("no", "key", "text"), ["no", "key"])
+    return base.mapInArrow(run, schema)
+
+
+def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows with their classes (row = id, no, key, n, c), and all classes (c, w, links, root, no, key).
+
+    ``no`` and ``key`` of a class name its first row: ids before null ids, smaller ones first.
+    """
+    spark = docs.sparkSession
+    seen = graph._saved(_with_sets(docs, id_col, text_col, F.col(id_col)), "ngram-sets")
+    classes = (seen.where("n > 0").groupBy("c").agg(F.min(F.struct("no", "key")).alias("rep"), F.count("*").alias("w"), F.max("bytes").alias("bytes")))
+    classes = graph._saved(classes.select("c", "w", "bytes", F.col("rep.no").alias("no"), F.col("rep.key").alias("key")), "ngram-classes")
+    volume = classes.agg(F.sum("bytes").alias("b")).first()["b"] or 0
+    buckets = max(1, -(-int(volume) // BUCKET_BYTES))
+    texts = docs.select(F.col(id_col).isNull().alias("no"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("key"),
+                        F.col(text_col).alias("text")).where("text is not null")
 
-    edges = candidates(text_of(classes.select("no", "key", "c")).select("c", "text").where("text is not null"), buckets)
+    edges = candidates(classes.select("no", "key", "c").join(texts, ["no", "key"]).select("c", "text"), buckets)
     cluster = graph.components(edges)
     sizes = cluster.groupBy("root").agg(F.count("*").alias("n"))
     members = (cluster.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
                .join(classes, F.col("node") == F.col("c")).select("no", "key", "c", "w", F.col("root").alias("cluster"), "blocks"))
-    checked = graph._saved(verified(text_of(members).select("c", "w", "cluster", "blocks", "text").dropDuplicates(["c"]), percent), "ngram-links")
+    member_texts = members.join(texts, ["no", "key"]).select("c", "w", "cluster", "blocks", "text").dropDuplicates(["c"])
+    checked = graph._saved(verified(member_texts, percent), "ngram-links")
     comp = graph.components(checked.where("b is not null"))
     degree = checked.where("links is not null").groupBy("a").agg(F.sum("links").alias("links"))
     named = (classes.join(degree, F.col("a") == F.col("c"), "left").join(comp, F.col("node") == F.col("c"), "left")
-             .select("c", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "c").alias("root"),
-                     F.when(~F.col("no"), F.col("key")).alias("least")))
-    first = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(first, "root").select("c", "component", (F.col("links") + F.col("w") - 1).alias("n_links"))
+             .select("c", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "c").alias("root"), "no", "key"))
+    return seen, graph._saved(named, "ngram-named")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``<id_col>``, ``n_shingles``, ``component_id``, ``n_links``, ``class_id`` (equal sets)."""
+    kind = docs.schema[id_col].dataType
+    seen, named = _solved(docs, id_col, text_col, percent)
+    first = named.groupBy("root").agg(F.min(F.when(~F.col("no"), F.col("key"))).alias("component"))
+    told = named.join(first, "root").select("c", "component", (F.col("links") + F.col("w") - 1).alias("n_links"))
     # documents without words have class 0 and don't join
-    return seen.join(named, "c", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component").cast(kind)).otherwise(F.col("id")).alias("component_id"),
+    return seen.join(told, "c", "left").select(
+        F.col("row").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component").cast(kind)).otherwise(F.col("row")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("c").alias("class_id"))
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The first document (smallest id) of every component, all columns kept; documents without words all stay."""
+    _, named = _solved(docs, id_col, text_col, percent)
+    first = named.groupBy("root").agg(F.min(F.struct("no", "key", "c")).alias("x")).select("x.no", "x.key", "x.c")
+    rows = _with_sets(docs, id_col, text_col, F.struct("*"))
+    kept = rows.where("n > 0").join(first, ["no", "key", "c"]).dropDuplicates(["no", "key", "c"])
+    out = rows.where("n = 0").select("row").unionByName(kept.select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
