@@ -60,8 +60,11 @@ def grams(raw: np.ndarray, off: np.ndarray):
     two = low[:-1] * np.uint32(256) + low[1:] if m > 1 else low[:0]
     three = two[:-1] * np.uint32(256) + low[2:] if m > 2 else low[:0]
     cell = lambda x, k: ((x * np.uint32(2654435761) + np.uint32(k)) >> np.uint32(19)).astype(np.int64)
-    last = lambda w: np.maximum(at[1:] - w + 1, at[:-1])  # noqa: E731  an n-gram never leaves its text
-    return (cell(two, 1), at[:-1], last(2)), (cell(three, 2 << 20), at[:-1], last(3))
+
+    def span(w):  # an n-gram never leaves its text
+        top = max(0, m - w + 1)
+        return np.minimum(at[:-1], top), np.minimum(np.maximum(at[1:] - w + 1, at[:-1]), top)
+    return (cell(two, 1), *span(2)), (cell(three, 2 << 20), *span(3))
 
 
 def _totals(w: np.ndarray, cells: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorflow.llm import textbatch as tb
 from sensorflow.llm import tokens
 from sensorflow.session import scratch_path
 
@@ -139,16 +140,14 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, end_id:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, task = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        enc = tokens.encoder(vocabulary)
         for batch in it:
-            texts, doc = batch.column(1).to_pylist(), batch.column(0)
-            for a, z in tokens.text_slices(texts):
-                ids, off = tokens.with_end(*enc.encode(texts[a:z]), end_id)
+            doc = batch.column(0)
+            for a, z, ids, off in tokens.encoded_slices(batch.column(1), vocabulary, end_id):
                 size = np.diff(off)
                 first = np.where(size % capacity, size % capacity, capacity)
                 n = (size - first) // capacity + 1
                 row = np.repeat(np.arange(z - a), n)
-                no = tokens.ranges(np.zeros(z - a, np.int64), n)
+                no = tb.ranges(np.zeros(z - a, np.int64), n)
                 start = np.where(no > 0, first[row] + (no - 1) * capacity, 0)
                 length = np.where(no > 0, capacity, first[row])
                 begin = off[row] + start
@@ -157,7 +156,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, end_id:
                 order = np.argsort(length, kind="stable")
                 counts = np.bincount(length, minlength=capacity + 1)
                 rank = np.empty(len(length), np.int64)
-                rank[order] = tokens.ranges(seen, counts)
+                rank[order] = tb.ranges(seen, counts)
                 seen += counts
                 out = [doc.slice(a, z - a).cast(pa.int64()).take(pa.array(row)), pa.array(no, pa.int32()), pa.array(start), pa.array(length),
                        pa.array(crc, pa.int64()), pa.array(np.full(len(row), task, np.int32)), pa.array(rank)]

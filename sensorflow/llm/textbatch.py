@@ -77,21 +77,25 @@ def slices(off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         a = b
 
 
-def words(raw: np.ndarray, off: np.ndarray, separator: np.ndarray = IS_SPACE):
-    """``(start, end, hash, first)``: byte spans and hashes of all words, and the index of each text's first word."""
+def words(raw: np.ndarray, off: np.ndarray, separator: np.ndarray = IS_SPACE, fold: bool = True):
+    """``(start, end, hash, first)``: byte spans and hashes of all words, and the index of each text's first word.
+
+    ``fold``: whether A-Z count as a-z.
+    """
     n = len(raw)
-    low = LOWER[raw]
+    low = LOWER[raw] if fold else raw
     word = ~separator[low]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     cut = off[:-1][(off[:-1] < n)]
     begins[cut] = word[cut]
     start = np.flatnonzero(begins)
-    ends = np.flatnonzero(np.append(~word[1:], True) & word) if n else np.zeros(0, np.int64)
+    closes = word.copy()
+    closes[:-1] &= ~word[1:]
     inner = off[1:-1]
-    inner = inner[(inner > 0) & (inner < n)]
-    if len(inner):  # a word that touches the next text's first word ends at the border
-        ends = np.union1d(ends, inner[word[inner - 1]] - 1)
+    inner = inner[(inner > 0) & (inner < n)] - 1
+    closes[inner] = word[inner]  # a word that touches the next text's first word ends at the border
+    ends = np.flatnonzero(closes)
     p, q = powers(n + 1)
     total = np.zeros(n + 1, U)
     np.cumsum(BYTE_HASH[low] * p[:n], dtype=U, out=total[1:])

@@ -40,13 +40,15 @@ from sensorflow.session import scratch_path
 
 MAGIC = b"CMRC"
 SECTION = 1 << 21
-BLOCK = 2048
-SLOT_BITS = 11
+BLOCK = 1024
+SLOT_BITS = 10
 TOTAL_BITS = 18
 EVENT = 1 << 16
 TOP = 1 << 48
 LOW_EDGE = 1 << 32
 RATE = 4
+#: Bounds of an adaptive share, so that no event's share of EVENT falls below 4.
+LEAST, MOST = 64, 65000
 
 
 def order0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,113 +62,44 @@ def order0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Model:
-    """Adaptive state of all blocks of a section; row i of every table belongs to block i."""
+    """Adaptive state of all blocks of a section; row i of every table belongs to block i.
+
+    A table entry is (id + 1) * 4 + confidence, 0 if empty. An adaptive share's context is the prediction's state:
+    0 empty, 1 + confidence, and for order 1 also 5: the same id as order 2.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.t1 = np.zeros(lanes << SLOT_BITS, np.int64)  # (id + 1) * 4 + confidence
-        self.t2 = np.zeros(lanes << SLOT_BITS, np.int64)
-        self.q2 = np.full(lanes * 12, EVENT // 2, np.int64)
-        self.q1 = np.full(lanes * 4, EVENT // 3, np.int64)
-        self.c1 = np.zeros(lanes, np.int64)
-        self.c2 = np.zeros(lanes, np.int64)
+        self.slot = np.arange(lanes) << SLOT_BITS
+        self.row2, self.row1 = np.arange(lanes) * 5, np.arange(lanes) * 6
+        self.t1 = np.zeros(lanes << SLOT_BITS, np.int32)
+        self.t2 = np.zeros(lanes << SLOT_BITS, np.int32)
+        self.q2 = np.full(lanes * 5, EVENT // 2, np.int64)
+        self.q1 = np.full(lanes * 6, EVENT // 3, np.int64)
+        self.h1 = np.zeros(lanes, np.int64)  # hash of the last id, and of the one before
+        self.h2 = np.zeros(lanes, np.int64)
 
     def predict(self, n: int):
-        lane, c1 = self.lane[:n], self.c1[:n]
-        mask = (1 << SLOT_BITS) - 1
-        self.i1 = (lane << SLOT_BITS) + (((c1 * 40503) >> 5) & mask)
-        self.i2 = (lane << SLOT_BITS) + (((c1 * 40503 + self.c2[:n] * 60493) >> 6) & mask)
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
-        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
+        """Shares of the order-2 and the order-1 prediction out of EVENT, and the predictions (id + 1)."""
+        mask, h1 = (1 << SLOT_BITS) - 1, self.h1[:n]
+        self.i1 = ((h1 >> 5) & mask) + self.slot[:n]
+        self.i2 = (((h1 * 3 + self.h2[:n] * 5) >> 6) & mask) + self.slot[:n]
+        self.e1, self.e2 = self.t1.take(self.i1).astype(np.int64), self.t2.take(self.i2).astype(np.int64)
+        p1, p2 = self.e1 >> 2, self.e2 >> 2
         self.k1, self.k2 = self.e1 & 3, self.e2 & 3
-        self.other = (self.p1 != self.p2) & (self.p1 > 0)
-        self.x2 = lane * 12 + self.k2 * 3 + self.other + 2 * (self.p1 == 0)
-        self.x1 = lane * 4 + self.k1
-        self.v2, self.v1 = self.q2[self.x2], self.q1[self.x1]
-        f2 = self.v2 * (self.p2 > 0)
-        f1 = (((EVENT - f2) * self.v1) >> 16) * self.other
-        return f2, f1
-
-    def update(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
-        """``hit1``: coded by the order-1 prediction (which differs from the order-2 one)."""
-        y = x + 1
-        self.q2[self.x2] = np.clip(self.v2 + (((hit2 * EVENT) - self.v2) >> RATE) * (self.p2 > 0), 512, EVENT - 1024)
-        told = self.other & ~hit2
-        self.q1[self.x1] = np.clip(self.v1 + (((hit1 * EVENT) - self.v1) >> RATE) * told, 512, EVENT - 1024)
-        right1 = self.p1 == y
-        self.t2[self.i2] = np.where(hit2, self.e2 + (self.k2 < 3), np.where(self.k2 > 0, self.e2 - 1, y << 2))
-        self.t1[self.i1] = np.where(right1, self.e1 + (self.k1 < 3), np.where(self.k1 > 0, self.e1 - 1, y << 2))
-        self.c2[:n] = self.c1[:n]
-        self.c1[:n] = x
-
-
-class _Encoder:
-    def __init__(self, lanes: int, words: int):
-        self.low = np.zeros(lanes, np.int64)
-        self.rng = np.full(lanes, TOP - 1, np.int64)
-        self.out = np.zeros((lanes, words), np.int64)
-        self.n = np.zeros(lanes, np.int64)
-
-    def _carry(self, rows):
-        at = self.n[rows] - 1
-        while len(rows):
-            self.out[rows, at] += 1
-            more = self.out[rows, at] > 0xFFFF
-            rows, at = rows[more], at[more]
-            self.out[rows, at] = 0
-            at = at - 1
-
-    def put(self, rows, cum, freq, bits: int):
-        """``rows``: block numbers (an array or a slice)."""
-        r = self.rng[rows] >> bits
-        low = self.low[rows] + cum * r
-        rng = freq * r
-        over = low >= TOP
-        every = np.arange(len(self.low))[rows]
-        if over.any():
-            self._carry(every[over])
-            low -= over * TOP
-        while True:
-            small = np.flatnonzero(rng < LOW_EDGE)
-            if not len(small):
-                break
-            at = every[small]
-            self.out[at, self.n[at]] = low[small] >> 32
-            self.n[at] += 1
-            low[small] = (low[small] << 16) & (TOP - 1)
-            rng[small] <<= 16
-        self.low[rows], self.rng[rows] = low, rng
-
-    def finish(self):
-        for k in (32, 16, 0):
-            self.out[np.arange(len(self.n)), self.n] = (self.low >> k) & 0xFFFF
-            self.n += 1
-
-
-class _Decoder:
-    def __init__(self, data: np.ndarray, starts: np.ndarray):
-        self.data, self.at = data, starts + 3
-        d = [data[np.minimum(starts + k, len(data) - 1)] for k in range(3)]
-        self.code = (d[0] << 32) | (d[1] << 16) | d[2]
-        self.rng = np.full(len(starts), TOP - 1, np.int64)
-
-    def peek(self, rows, bits: int):
-        self.r = self.rng[rows] >> bits
-        return np.minimum(self.code[rows] // self.r, (1 << bits) - 1)
-
-    def take(self, rows, cum, freq):
-        code = self.code[rows] - cum * self.r
-        rng = freq * self.r
-        every = np.arange(len(self.code))[rows]
-        while True:
-            small = np.flatnonzero(rng < LOW_EDGE)
-            if not len(small):
-                break
-            at = every[small]
-            code[small] = (code[small] << 16) | self.data[np.minimum(self.at[at], len(self.data) - 1)]
-            self.at[at] += 1
-            rng[small] <<= 16
-        self.code[rows], self.rng[rows] = code, rng
+        self.x2 = self.row2[:n] + self.k2 + (p2 > 0)
+        self.x1 = self.row1[:n] + np.where(p1 == p2, 5 * (p1 > 0), self.k1 + (p1 > 0))
+        self.v2, self.v1 = self.q2.take(self.x2), self.q1.take(self.x1)
+        return self.v2, ((EVENT - self.v2) * self.v1) >> 16, p2, p1
+
+    def update(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, right1: np.ndarray):
+        """``hit1``: coded by the order-1 prediction; ``right1``: it was right, coded so or not."""
+        self.q2[self.x2] = self.v2 + ((np.where(hit2, MOST, LEAST) - self.v2) >> RATE)
+        self.q1[self.x1] = self.v1 + ((np.where(hit1, MOST, LEAST) - self.v1) >> RATE) * ~hit2
+        fresh = (x + 1) << 2
+        self.t2[self.i2] = np.where(hit2, self.e2 + (self.k2 < 3), np.where(self.k2 > 0, self.e2 - 1, fresh))
+        self.t1[self.i1] = np.where(right1, self.e1 + (self.k1 < 3), np.where(self.k1 > 0, self.e1 - 1, fresh))
+        self.h2[:n] = self.h1[:n]
+        np.multiply(x + 1, 40503, out=self.h1[:n])
 
 
 def encode_section(ids: np.ndarray, doc_meta: bytes = b"", block: int = BLOCK) -> bytes:
@@ -174,34 +107,56 @@ def encode_section(ids: np.ndarray, doc_meta: bytes = b"", block: int = BLOCK) -
     n = len(ids)
     lanes = -(-n // block)
     present, freq = order0(ids) if n else (np.zeros(0, np.uint32), np.zeros(0, np.uint32))
-    size = np.full(lanes, block, np.int64)
-    if lanes:
-        size[-1] = n - (lanes - 1) * block
+    last = n - (lanes - 1) * block
     grid = np.zeros(lanes * block, np.int64)
     grid[:n] = np.searchsorted(present, ids)
     grid = np.ascontiguousarray(grid.reshape(lanes, block).T) if lanes else grid.reshape(0, 0)
-    cum = np.concatenate([[0], np.cumsum(freq.astype(np.int64))])
     fr = freq.astype(np.int64)
+    cum = np.concatenate([[0], np.cumsum(fr)])
     bits = int(cum[-1]).bit_length() - 1
-    m, c = _Model(lanes), _Encoder(lanes, 2 * block + 16)
-    for t in range(int(size[0]) if lanes else 0):
-        k = lanes if t < size[-1] else lanes - 1
-        x = grid[t, :k]
-        f2, f1 = m.predict(k)
+    m = _Model(lanes)
+    low, rng = np.zeros(lanes, np.int64), np.full(lanes, TOP - 1, np.int64)
+    out, at = np.zeros((lanes, 3 * block + 8), np.int32), np.zeros(lanes, np.int64)
+    for t in range(min(n, block)):
+        k = lanes if t < last else lanes - 1
+        x, lo, rg = grid[t, :k], low[:k], rng[:k]
+        f2, f1, p2, p1 = m.predict(k)
         y = x + 1
-        hit2 = (y == m.p2)
-        hit1 = (y == m.p1) & ~hit2
-        c.put(slice(0, k), np.where(hit2, 0, np.where(hit1, f2, f2 + f1)), np.where(hit2, f2, np.where(hit1, f1, EVENT - f2 - f1)), 16)
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            c.put(miss, cum[x[miss]], fr[x[miss]], bits)
-        m.update(k, x, hit2, hit1)
-    if lanes:
-        c.finish()
+        hit2, right1 = y == p2, y == p1
+        hit1 = right1 & ~hit2
+        miss = ~(hit2 | right1)
+        r = rg >> 16
+        f12 = f2 + f1
+        lo += np.where(miss, f12, f2 * hit1) * r
+        rg2 = np.where(miss, EVENT - f12, np.where(hit2, f2, f1)) * r
+        r = (rg2 >> bits) * miss
+        lo += cum.take(x) * r
+        rg[:] = np.where(miss, fr.take(x) * r, rg2)
+        over = np.flatnonzero(lo >= TOP)
+        if len(over):  # carry into the words already out
+            lo[over] -= TOP
+            back = at[over] - 1
+            while len(over):
+                out[over, back] += 1
+                more = out[over, back] > 0xFFFF
+                over, back = over[more], back[more]
+                out[over, back] = 0
+                back = back - 1
+        small = np.flatnonzero(rg < LOW_EDGE)
+        while len(small):
+            out[small, at[small]] = lo[small] >> 32
+            at[small] += 1
+            lo[small] = (lo[small] << 16) & (TOP - 1)
+            rg[small] <<= 16
+            small = small[rg[small] < LOW_EDGE]
+        m.update(k, x, hit2, hit1, right1)
+    for k in (32, 16, 0):
+        out[np.arange(lanes), at] = (low >> k) & 0xFFFF
+        at += 1
     le = ids.astype("<u4").tobytes()
     crc = np.array([zlib.crc32(le[4 * i * block: 4 * min(n, (i + 1) * block)]) for i in range(lanes)], "<u4")
-    data = np.concatenate([c.out[i, : c.n[i]] for i in range(lanes)]).astype("<u2") if lanes else np.zeros(0, "<u2")
-    head = zlib.compress(present.astype("<u4").tobytes() + freq.astype("<u4").tobytes() + c.n.astype("<u4").tobytes() + crc.tobytes() + doc_meta)
+    data = out[np.arange(out.shape[1])[None, :] < at[:, None]].astype("<u2")
+    head = zlib.compress(present.astype("<u4").tobytes() + freq.astype("<u4").tobytes() + at.astype("<u4").tobytes() + crc.tobytes() + doc_meta)
     return struct.pack("<4sIQIII", MAGIC, 1, n, block, len(present), len(head)) + head + data.tobytes()
 
 
@@ -218,29 +173,44 @@ def decode_section(payload: bytes) -> tuple[np.ndarray, bytes]:
     meta = head[4 * (2 * distinct + 2 * lanes):]
     if not lanes:
         return np.zeros(0, np.uint32), meta
-    data = np.frombuffer(payload, "<u2", offset=at + head_size).astype(np.int64)
-    starts = np.concatenate([[0], np.cumsum(words.astype(np.int64))])
+    data = np.append(np.frombuffer(payload, "<u2", offset=at + head_size).astype(np.int64), np.zeros(4, np.int64))
+    pos = np.concatenate([[0], np.cumsum(words.astype(np.int64))])[:-1]
+    code = (data[pos] << 32) | (data[pos + 1] << 16) | data[pos + 2]
+    pos = pos + 3
+    rng = np.full(lanes, TOP - 1, np.int64)
     fr = freq.astype(np.int64)
     cum = np.concatenate([[0], np.cumsum(fr)])
     bits = int(cum[-1]).bit_length() - 1
     slot = np.repeat(np.arange(distinct), fr)
-    m, c = _Model(lanes), _Decoder(data, starts[:-1])
-    last = n - (lanes - 1) * block
+    m, last, edge = _Model(lanes), n - (lanes - 1) * block, len(data) - 1
     grid = np.zeros((min(n, block), lanes), np.int64)
     for t in range(len(grid)):
         k = lanes if t < last else lanes - 1
-        f2, f1 = m.predict(k)
-        v = c.peek(slice(0, k), 16)
+        cd, rg = code[:k], rng[:k]
+        f2, f1, p2, p1 = m.predict(k)
+        r = rg >> 16
+        v = (cd / r).astype(np.int64)  # exact: both below 2^53, the quotient below 2^17
+        f12 = f2 + f1
         hit2 = v < f2
-        hit1 = ~hit2 & (v < f2 + f1)
-        c.take(slice(0, k), np.where(hit2, 0, np.where(hit1, f2, f2 + f1)), np.where(hit2, f2, np.where(hit1, f1, EVENT - f2 - f1)))
-        x = np.where(hit2, m.p2, m.p1) - 1
-        miss = np.flatnonzero(~(hit2 | hit1))
-        if len(miss):
-            x[miss] = got = slot[c.peek(miss, bits)]
-            c.take(miss, cum[got], fr[got])
+        miss = v >= f12
+        hit1 = ~(hit2 | miss)
+        cd -= np.where(miss, f12, f2 * hit1) * r
+        rg2 = np.where(miss, EVENT - f12, np.where(hit2, f2, f1)) * r
+        r = rg2 >> bits
+        v = np.minimum((cd / np.maximum(r, 1)).astype(np.int64), (1 << bits) - 1) * miss
+        x = np.where(miss, slot.take(v), np.where(hit2, p2, p1) - 1)
+        x = np.minimum(np.maximum(x, 0), distinct - 1)  # damaged data may say anything; the checksum tells
+        r *= miss
+        cd -= cum.take(x) * r
+        rg[:] = np.maximum(np.where(miss, fr.take(x) * r, rg2), 1)
+        small = np.flatnonzero(rg < LOW_EDGE)
+        while len(small):
+            cd[small] = ((cd[small] << 16) | data.take(np.minimum(pos[small], edge))) & (TOP - 1)
+            pos[small] += 1
+            rg[small] <<= 16
+            small = small[rg[small] < LOW_EDGE]
         grid[t, :k] = x
-        m.update(k, x, hit2, hit1)
+        m.update(k, x, hit2, hit1, x + 1 == p1)
     ids = present[grid.T.reshape(-1)[:n]]
     le = ids.astype("<u4").tobytes()
     for i in range(lanes):
@@ -285,7 +255,6 @@ def write_sections(docs: DataFrame, vocabulary: str, path: str, id_col: str, tex
         held: list[np.ndarray] = []
         meta: list[tuple] = []
         have = 0
-        enc = tokens.encoder(vocabulary)
 
         def flush():
             nonlocal held, meta, have, no
@@ -297,9 +266,8 @@ def write_sections(docs: DataFrame, vocabulary: str, path: str, id_col: str, tex
             return out
 
         for b in it:
-            texts, doc = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for a, z in tokens.text_slices(texts):
-                ids, off = tokens.with_end(*enc.encode(texts[a:z]), end_id)
+            doc = b.column(0).to_pylist()
+            for a, z, ids, off in tokens.encoded_slices(b.column(1), vocabulary, end_id):
                 for i in range(z - a):
                     at, stop, name = int(off[i]), int(off[i + 1]), doc[a + i]
                     begin = at

@@ -1,45 +1,78 @@
 """Whole-text encoding with a public tokenizer, shared by the operators that need token ids.
 
-A text falls into units, runs that no token of the vocabulary's pre-tokenizer
+A text falls into units, words with the white space before them, that no token
 can cross, so its ids are the ids of its units in a row. Units repeat a lot:
-their ids are kept in a table per Python worker, which is emptied when it
-holds ``CACHE_UNITS`` units, so memory is bounded and results don't depend on
-it. Texts whose units can't be told apart safely (unusual white space, special
-tokens' strings) are encoded whole by the library.
+each Python worker keeps their ids in a table of arrays under 64-bit hashes,
+which is emptied when it holds ``CACHE_UNITS`` units, so memory is bounded and
+results don't depend on it. Texts whose units can't be told apart safely
+(runs of white space or unusual kinds of it, special tokens' strings) are
+encoded whole by the library.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
 
-CACHE_UNITS = 1_000_000
-
-_encoders: dict[str, "UnitEncoder"] = {}
-
-
-def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    total = int(count.sum())
-    if not total:
-        return np.zeros(0, np.int64)
-    base = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-    return base + np.arange(total)
+from sensorflow.llm import textbatch as tb
+from sensorflow.llm.textbatch import ranges
 
+CACHE_UNITS = 3_000_000
+U = np.uint64
 
-class _Table(dict):
-    """Unit -> number; unknown units get the next number and wait in ``new``."""
-
-    def __init__(self):
-        self.new: list[str] = []
-        self.base = 0
+_encoders: dict[str, "UnitEncoder"] = {}
 
-    def __missing__(self, unit):
-        n = self[unit] = self.base + len(self.new)
-        self.new.append(unit)
-        return n
+_SEPARATOR = {"spaced": np.isin(np.arange(256), [10, 32]), "words": tb.IS_SPACE}
+#: Control characters that some definitions of white space include.
+_ODD = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F])
+#: White space outside ASCII: lead byte -> the pairs (second byte, range of third bytes or None).
+_WIDE = {0xC2: [(0x85, None), (0xA0, None)], 0xE1: [(0x9A, (0x80, 0x80))], 0xE2: [(0x80, (0x80, 0x8A)), (0x80, (0xA8, 0xAF)), (0x81, (0x9F, 0x9F))],
+         0xE3: [(0x80, (0x80, 0x80))]}
+
+
+class _Table:
+    """An open-addressing map from non-zero 64-bit keys to consecutive numbers."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.n = bits, 0
+        self.keys, self.nums = np.zeros(1 << bits, U), np.zeros(1 << bits, np.int32)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 for unknown ones."""
+        out = np.full(len(key), -1, np.int64)
+        todo, slot = np.arange(len(key)), (key >> U(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            seen = self.keys[slot]
+            hit = seen == key[todo]
+            out[todo[hit]] = self.nums[slot[hit]]
+            go = ~hit & (seen != 0)
+            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, key: np.ndarray) -> None:
+        """Number distinct unknown keys from ``n`` on."""
+        if 2 * (self.n + len(key)) > len(self.keys):
+            at = np.flatnonzero(self.keys)
+            keys, nums = self.keys[at], self.nums[at]
+            self.bits = max(self.bits + 1, int(2 * (self.n + len(key))).bit_length())
+            self.keys, self.nums = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
+            self._put(keys, nums)
+        self._put(key, np.arange(self.n, self.n + len(key), dtype=np.int32))
+        self.n += len(key)
+
+    def _put(self, key: np.ndarray, num: np.ndarray) -> None:
+        slot = (key >> U(64 - self.bits)).astype(np.int64)
+        while len(key):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            _, first = np.unique(slot[free], return_index=True)
+            took = free[first]
+            self.keys[slot[took]], self.nums[slot[took]] = key[took], num[took]
+            rest = np.ones(len(key), bool)
+            rest[took] = False
+            key, num, slot = key[rest], num[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
 
 
 class UnitEncoder:
@@ -49,7 +82,7 @@ class UnitEncoder:
 
         self.lib = Tokenizer.from_file(path)
         spec = json.loads(self.lib.to_str())
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = [t["content"].encode() for t in spec["added_tokens"]]
         pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"]
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
             self.kind = "spaced"  # a unit is a word with the one space or line break before it
@@ -64,75 +97,111 @@ class UnitEncoder:
     def reset(self):
         self.table = _Table()
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.end = np.zeros(1 << 12, np.int64)  # end[i]: end of unit i in flat
-        self.used = self.units = 0
+        self.begin = np.zeros((1 << 12) + 1, np.int64)  # unit i: flat[begin[i]: begin[i + 1]]
+        self.units = 0
 
-    def _raw(self, texts: list[str]) -> list[list[int]]:
+    def _raw(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         f = getattr(self.lib, "encode_batch_fast", self.lib.encode_batch)
-        return [x.ids for x in f(texts, add_special_tokens=False)]
-
-    def _append(self, ids: list[list[int]]):
+        ids = [x.ids for x in f(texts, add_special_tokens=False)]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        need = self.used + int(lens.sum())
+        return np.fromiter((x for one in ids for x in one), np.uint32, int(lens.sum())), lens
+
+    def _append(self, ids: np.ndarray, lens: np.ndarray):
+        used = int(self.begin[self.units])
+        need = used + len(ids)
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(need, 2 * len(self.flat)) - len(self.flat), np.uint32)])
-        self.flat[self.used: need] = np.fromiter((x for one in ids for x in one), np.uint32, need - self.used)
-        if self.units + len(ids) > len(self.end):
-            self.end = np.concatenate([self.end, np.zeros(max(len(self.end), self.units + len(ids)), np.int64)])
-        self.end[self.units: self.units + len(ids)] = self.used + np.cumsum(lens)
-        self.units += len(ids)
-        self.used = need
-
-    def _plain(self, t: str) -> bool:
-        if any(s in t for s in self.special):
-            return False
-        if self.kind == "words":
-            return not re.search("[\x1c-\x1f]", t)
-        return self.kind == "spaced" and not re.search(r"[^\S \n]|[ \n][ \n]", t)
-
-    def _units(self, t: str) -> list[str]:
-        if self.kind == "words":
-            return t.split()
-        u = t.replace("\n", " \n").split(" ")
-        u[0] = "\n\n" + u[0]  # told apart from a unit after a space
-        return u
-
-    def _text_of(self, unit: str) -> str:
-        if self.kind == "words":
-            return unit
-        return unit[2:] if unit.startswith("\n\n") else unit if unit.startswith("\n") else " " + unit
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids (uint32) and n + 1 offsets; a null is an empty text."""
-        if len(self.table) > self.most or self.used > 8 * self.most:
+        self.flat[used: need] = ids
+        if self.units + len(lens) + 1 > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros(max(len(self.begin), len(lens)), np.int64)])
+        self.begin[self.units + 1: self.units + len(lens) + 1] = used + np.cumsum(lens)
+        self.units += len(lens)
+
+    def _unsafe(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Texts that have to be encoded whole."""
+        if self.kind == "whole":
+            return np.arange(len(off) - 1)
+        odd = _ODD.copy()
+        if self.kind == "spaced":
+            odd[[0x09, 0x0B, 0x0C, 0x0D]] = True
+        bad = [np.flatnonzero(odd[raw])]
+        after = np.append(raw[1:], 0)
+        for lead, follow in _WIDE.items():
+            at = np.flatnonzero(raw == lead)
+            third = np.append(after[1:], 0)[at] if len(at) else at
+            for second, span in follow:
+                ok = after[at] == second
+                bad.append(at[ok if span is None else ok & (third >= span[0]) & (third <= span[1])])
+        for lead in {s[:2] for s in self.special}:
+            bad.append(np.flatnonzero((raw == lead[0]) & ((after == lead[1]) if len(lead) > 1 else True)))
+        if self.kind == "spaced":
+            space = _SEPARATOR["spaced"][raw]
+            last = off[1:][off[1:] > off[:-1]] - 1
+            ends = np.zeros(len(raw), bool)
+            ends[last] = True
+            bad.append(np.flatnonzero(space & (ends | np.append(space[1:], False))))  # a run of white space, or some at the end
+        return np.unique(np.searchsorted(off, np.concatenate(bad), side="right") - 1)
+
+    def encode_bytes(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (uint32) and n + 1 offsets of texts given as UTF-8 bytes and offsets."""
+        if self.units > self.most:
             self.reset()
-        units: list[str] = []
-        count = np.zeros(len(texts), np.int64)
-        whole: list[int] = []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if self._plain(t):
-                u = self._units(t)
-                units += u
-                count[i] = len(u)
+        n = len(off) - 1
+        whole = self._unsafe(raw, off)
+        kind = "words" if self.kind == "whole" else self.kind
+        start, end, h, first = tb.words(raw, off, _SEPARATOR[kind], fold=False)
+        if kind == "spaced":
+            before = np.concatenate([np.zeros(1, np.uint8), raw])
+            before[off[:-1]] = 0  # nothing comes before a text
+            before = before[start]
+            h = tb.mix(h + before.astype(U) * U(0x9E6C63D0876A9A35))
+        h |= U(1)
+        count = np.diff(first)
+        if len(whole):
+            drop = np.zeros(n, bool)
+            drop[whole] = True
+            keep = ~np.repeat(drop, count)
+            start, end, h = start[keep], end[keep], h[keep]
+            before = before[keep] if kind == "spaced" else None
+            count = np.where(drop, 0, count)
+        elif kind != "spaced":
+            before = None
+        at = self.table.find(h)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            key, which, inv = np.unique(h[miss], return_index=True, return_inverse=True)
+            data = raw.tobytes()
+            pick = miss[which]
+            if before is None:
+                texts = [data[a:b].decode() for a, b in zip(start[pick].tolist(), end[pick].tolist())]
             else:
-                whole.append(i)
-        self.table.base, self.table.new = self.units, []
-        at = np.fromiter(map(self.table.__getitem__, units), np.int64, len(units))
-        new, self.table.new = self.table.new, []
-        if new:
-            self._append(self._raw([self._text_of(u) for u in new]))
-        if whole:
-            first = self.units
-            self._append(self._raw([texts[i] for i in whole]))
-            at = np.insert(at, np.concatenate([[0], np.cumsum(count)])[whole], np.arange(first, self.units))
-            count[whole] = 1
-        begin = np.where(at > 0, self.end[at - 1], 0) if len(at) else at
-        lens = self.end[at] - begin if len(at) else at
-        ids = self.flat[ranges(begin, lens)]
+                lead = (start[pick] - (before[pick] > 0)).tolist()
+                texts = [data[a:b].decode() for a, b in zip(lead, end[pick].tolist())]
+            at[miss] = self.table.n + inv
+            self.table.add(key)
+            self._append(*self._raw(texts))
+        lens = self.begin[at + 1] - self.begin[at]
+        ids = self.flat[ranges(self.begin[at], lens)]
         total = np.concatenate([[0], np.cumsum(lens)])
-        return ids, total[np.concatenate([[0], np.cumsum(count)])]
+        cut = np.concatenate([[0], np.cumsum(count)])
+        out = total[cut]
+        if not len(whole):
+            return ids, out
+        data = raw.tobytes()
+        own, size = self._raw([data[off[i]: off[i + 1]].decode() for i in whole])
+        lens_of = np.diff(out)
+        lens_of[whole] = size
+        new = np.concatenate([[0], np.cumsum(lens_of)])
+        result = np.empty(new[-1], np.uint32)
+        mine = np.zeros(n, bool)
+        mine[whole] = True
+        result[ranges(new[:-1][mine], lens_of[mine])] = own
+        result[ranges(new[:-1][~mine], lens_of[~mine])] = ids
+        return result, new
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (uint32) and n + 1 offsets; a null is an empty text."""
+        return self.encode_bytes(*tb.text_buffers(pa.array(texts, pa.large_string())))
 
 
 def encoder(path: str) -> UnitEncoder:
@@ -151,14 +220,8 @@ def with_end(ids: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray,
     return out, new
 
 
-def text_slices(texts: list[str | None], most: int = 4 << 20):
-    """Row ranges of at most about ``most`` characters (or one row)."""
-    a = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > a and size + n > most:
-            yield a, i
-            a, size = i, 0
-        size += n
-    if a < len(texts):
-        yield a, len(texts)
+def encoded_slices(col: pa.Array, vocabulary: str, end_id: int):
+    """A text column slice by slice: (first row, last row, ids with ends, offsets)."""
+    raw, off = tb.text_buffers(col)
+    for a, z in tb.slices(off):
+        yield a, z, *with_end(*encoder(vocabulary).encode_bytes(raw[off[a]: off[z]], off[a: z + 1] - off[a]), end_id)
