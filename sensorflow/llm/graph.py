@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorflow.session import scratch_path
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -27,7 +27,7 @@ def _mark(df: DataFrame) -> tuple:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``root`` (the smallest node of its component) of every node that has an edge."""
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    e = _saved(e.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") != F.col("b"))).distinct(), "edges")
+    e = saved(e.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") != F.col("b"))).distinct(), "edges")
     mark = _mark(e)
     while mark[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -36,7 +36,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .where(F.col("a") != F.col("b")).distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
-        e = _saved(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "edges")
+        e = saved(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), "edges")
         mark, before = _mark(e), mark
         if mark == before:
             break

@@ -368,9 +368,9 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
     ``no`` and ``key`` of a class name its first row: ids before null ids, smaller ones first.
     """
     spark = docs.sparkSession
-    seen = graph._saved(_with_sets(docs, id_col, text_col, F.col(id_col)), "ngram-sets")
+    seen = graph.saved(_with_sets(docs, id_col, text_col, F.col(id_col)), "ngram-sets")
     classes = (seen.where("n > 0").groupBy("c").agg(F.min(F.struct("no", "key")).alias("rep"), F.count("*").alias("w"), F.max("bytes").alias("bytes")))
-    classes = graph._saved(classes.select("c", "w", "bytes", F.col("rep.no").alias("no"), F.col("rep.key").alias("key")), "ngram-classes")
+    classes = graph.saved(classes.select("c", "w", "bytes", F.col("rep.no").alias("no"), F.col("rep.key").alias("key")), "ngram-classes")
     volume = classes.agg(F.sum("bytes").alias("b")).first()["b"] or 0
     buckets = max(1, -(-int(volume) // BUCKET_BYTES))
     texts = docs.select(F.col(id_col).isNull().alias("no"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("key"),
@@ -382,12 +382,12 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
     members = (cluster.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
                .join(classes, F.col("node") == F.col("c")).select("no", "key", "c", "w", F.col("root").alias("cluster"), "blocks"))
     member_texts = members.join(texts, ["no", "key"]).select("c", "w", "cluster", "blocks", "text").dropDuplicates(["c"])
-    checked = graph._saved(verified(member_texts, percent), "ngram-links")
+    checked = graph.saved(verified(member_texts, percent), "ngram-links")
     comp = graph.components(checked.where("b is not null"))
     degree = checked.where("links is not null").groupBy("a").agg(F.sum("links").alias("links"))
     named = (classes.join(degree, F.col("a") == F.col("c"), "left").join(comp, F.col("node") == F.col("c"), "left")
              .select("c", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "c").alias("root"), "no", "key"))
-    return seen, graph._saved(named, "ngram-named")
+    return seen, graph.saved(named, "ngram-named")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

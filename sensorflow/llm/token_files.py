@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow.llm import tokens
+from sensorflow.llm import graph, tokens
 from sensorflow.session import scratch_path
 
 MAGIC = b"CMRC"
@@ -310,6 +310,7 @@ def read_documents(sections: DataFrame) -> DataFrame:
             .select("part", "section", (F.col("pbase") + F.col("sbase")).alias("base")))
     got = sections.select("part", "section", "payload").mapInArrow(
         run, "part int, section long, doc_id long, row long, `from` long, at long, n long, last boolean, crc long")
+    got = graph.saved(got, "decoded-documents")  # read by both branches below, decoded once
     got = got.join(base, ["part", "section"]).withColumn("start", F.col("base") + F.col("at") - F.col("from"))
     whole = (F.col("from") == 0) & F.col("last")
     one = got.where(whole).select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
