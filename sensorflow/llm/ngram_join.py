@@ -407,6 +407,8 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     _, named = _solved(docs, id_col, text_col, percent)
     first = named.groupBy("root").agg(F.min(F.struct("no", "key", "c")).alias("x")).select("x.no", "x.key", "x.c")
     rows = _with_sets(docs, id_col, text_col, F.struct("*"))
-    kept = rows.where("n > 0").join(first, ["no", "key", "c"]).dropDuplicates(["no", "key", "c"])
-    out = rows.where("n = 0").select("row").unionByName(kept.select("row"))
+    found = rows.join(first.withColumn("first", F.lit(True)), ["no", "key", "c"], "left").where("n = 0 or first")
+    # a repeated row counts once; documents without words are told apart by their place
+    place = F.when(F.col("n") == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    out = found.withColumn("place", place).dropDuplicates(["no", "key", "c", "place"])
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
