@@ -5,10 +5,9 @@ the documents and the section's order-0 distribution (each id's share of
 2^18). The ids follow in blocks of ``BLOCK``; every block starts from reset
 adaptive state, has its own byte range and a crc32, and can be decoded alone.
 
-In a block the last two ids select an order-2 and an order-1 prediction, each
-with a confidence of 0..3. Adaptive probabilities, by confidence and by
-whether the two agree, mix the predictions with the order-0 distribution: an
-id costs the arithmetic code of "order-2 right / order-1 right / neither" and,
+In a block the last two ids select an order-2 and an order-1 prediction.
+Adaptive probabilities, by recent success and by whether the two agree, mix
+the predictions with the order-0 distribution: an id costs the arithmetic code of "order-2 right / order-1 right / neither" and,
 for neither, its order-0 code. All blocks of a section are coded in lockstep,
 one array operation for a step of all blocks.
 
@@ -39,9 +38,9 @@ from sensorflow.llm import graph, tokens
 from sensorflow.session import scratch_path
 
 MAGIC = b"CMRC"
-SECTION = 1 << 21
+SECTION = 1 << 22
 BLOCK = 1024
-SLOT_BITS = 10
+SLOT_BITS = 9
 TOTAL_BITS = 18
 EVENT = 1 << 16
 TOP = 1 << 48
@@ -64,42 +63,52 @@ def order0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Model:
     """Adaptive state of all blocks of a section; row i of every table belongs to block i.
 
-    A table entry is (id + 1) * 4 + confidence, 0 if empty. An adaptive share's context is the prediction's state:
-    0 empty, 1 + confidence, and for order 1 also 5: the same id as order 2.
+    A prediction is the id + 1 that last followed the same context. The share of each order has 8 contexts: whether the
+    last two ids were predicted, and whether both orders say the same.
     """
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, distinct: int):
+        x = np.arange(distinct + 1, dtype=np.int64)
+        mask = (1 << SLOT_BITS) - 1
+        self.of1, self.of2, self.of3 = ((x * 40503) >> 5) & mask, ((x * 60493) >> 4) & mask, ((x * 48271) >> 3) & mask
         self.slot = np.arange(lanes) << SLOT_BITS
-        self.row2, self.row1 = np.arange(lanes) * 5, np.arange(lanes) * 6
-        self.t1 = np.zeros(lanes << SLOT_BITS, np.int32)
-        self.t2 = np.zeros(lanes << SLOT_BITS, np.int32)
-        self.q2 = np.full(lanes * 5, EVENT // 2, np.int64)
-        self.q1 = np.full(lanes * 6, EVENT // 3, np.int64)
-        self.h1 = np.zeros(lanes, np.int64)  # hash of the last id, and of the one before
-        self.h2 = np.zeros(lanes, np.int64)
+        self.row = np.arange(lanes) << 3
+        self.t1, self.t2 = (np.zeros(lanes << SLOT_BITS, np.int32) for _ in range(2))
+        self.q2, self.q1 = (np.full(lanes << 3, EVENT // k, np.int64) for k in (2, 3))
+        self.i1 = self.of1[-1] + self.slot
+        self.i2 = self.i1.copy()
+        self.before = np.full(lanes, self.of3[-1])
+        self.past = np.zeros(lanes, np.int64)  # 2 * (the last two hits as bits)
 
     def predict(self, n: int):
         """Shares of the order-2 and the order-1 prediction out of EVENT, and the predictions (id + 1)."""
-        mask, h1 = (1 << SLOT_BITS) - 1, self.h1[:n]
-        self.i1 = ((h1 >> 5) & mask) + self.slot[:n]
-        self.i2 = (((h1 * 3 + self.h2[:n] * 5) >> 6) & mask) + self.slot[:n]
-        self.e1, self.e2 = self.t1.take(self.i1).astype(np.int64), self.t2.take(self.i2).astype(np.int64)
-        p1, p2 = self.e1 >> 2, self.e2 >> 2
-        self.k1, self.k2 = self.e1 & 3, self.e2 & 3
-        self.x2 = self.row2[:n] + self.k2 + (p2 > 0)
-        self.x1 = self.row1[:n] + np.where(p1 == p2, 5 * (p1 > 0), self.k1 + (p1 > 0))
-        self.v2, self.v1 = self.q2.take(self.x2), self.q1.take(self.x1)
-        return self.v2, ((EVENT - self.v2) * self.v1) >> 16, p2, p1
-
-    def update(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, right1: np.ndarray):
-        """``hit1``: coded by the order-1 prediction; ``right1``: it was right, coded so or not."""
-        self.q2[self.x2] = self.v2 + ((np.where(hit2, MOST, LEAST) - self.v2) >> RATE)
-        self.q1[self.x1] = self.v1 + ((np.where(hit1, MOST, LEAST) - self.v1) >> RATE) * ~hit2
-        fresh = (x + 1) << 2
-        self.t2[self.i2] = np.where(hit2, self.e2 + (self.k2 < 3), np.where(self.k2 > 0, self.e2 - 1, fresh))
-        self.t1[self.i1] = np.where(right1, self.e1 + (self.k1 < 3), np.where(self.k1 > 0, self.e1 - 1, fresh))
-        self.h2[:n] = self.h1[:n]
-        np.multiply(x + 1, 40503, out=self.h1[:n])
+        i1, i2 = self.i1[:n], self.i2[:n]
+        p1, p2 = self.t1.take(i1), self.t2.take(i2)
+        self.at = self.row[:n] + self.past[:n]
+        self.at += p1 == p2
+        self.v2, self.v1 = self.q2.take(self.at), self.q1.take(self.at)
+        f1 = EVENT - self.v2
+        f1 *= self.v1
+        f1 >>= 16
+        return self.v2, f1, p2, p1
+
+    def update(self, n: int, x: np.ndarray, y: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, hit: np.ndarray):
+        self.q2[self.at] = self.v2 + ((np.where(hit2, MOST, LEAST) - self.v2) >> RATE)
+        new = (np.where(hit1, MOST, LEAST) - self.v1) >> RATE
+        new *= ~hit2  # order 1 was not asked
+        new += self.v1
+        self.q1[self.at] = new
+        self.t1[self.i1[:n]] = y
+        self.t2[self.i2[:n]] = y
+        past = self.past[:n]
+        past += hit
+        past <<= 1
+        past &= 6
+        np.add(self.of1.take(x), self.slot[:n], out=self.i1[:n])
+        both = self.of2.take(x)
+        both ^= self.before[:n]
+        np.add(both, self.slot[:n], out=self.i2[:n])
+        self.before[:n] = self.of3.take(x)
 
 
 def encode_section(ids: np.ndarray, doc_meta: bytes = b"", block: int = BLOCK) -> bytes:
@@ -114,49 +123,60 @@ def encode_section(ids: np.ndarray, doc_meta: bytes = b"", block: int = BLOCK) -
     fr = freq.astype(np.int64)
     cum = np.concatenate([[0], np.cumsum(fr)])
     bits = int(cum[-1]).bit_length() - 1
-    m = _Model(lanes)
+    m = _Model(lanes, len(present))
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, TOP - 1, np.int64)
-    out, at = np.zeros((lanes, 3 * block + 8), np.int32), np.zeros(lanes, np.int64)
+    width = 3 * block + 8
+    out, base = np.zeros(lanes * width, np.int32), np.arange(lanes) * width
+    at = base.copy()
     for t in range(min(n, block)):
         k = lanes if t < last else lanes - 1
-        x, lo, rg = grid[t, :k], low[:k], rng[:k]
+        x, lo, rg, to = grid[t, :k], low[:k], rng[:k], at[:k]
+        y = (x + 1).astype(np.int32)
         f2, f1, p2, p1 = m.predict(k)
-        y = x + 1
-        hit2, right1 = y == p2, y == p1
-        hit1 = right1 & ~hit2
-        miss = ~(hit2 | right1)
-        r = rg >> 16
+        hit2, right1 = p2 == y, p1 == y
+        hit = hit2 | right1
+        hit1 = right1 > hit2
         f12 = f2 + f1
-        lo += np.where(miss, f12, f2 * hit1) * r
-        rg2 = np.where(miss, EVENT - f12, np.where(hit2, f2, f1)) * r
-        r = (rg2 >> bits) * miss
+        r = rg >> 16
+        lo += np.where(hit, f2 * hit1, f12) * r
+        share = np.where(hit2, f2, f1)
+        share = np.where(hit, share, EVENT - f12)
+        share *= r
+        r = share >> bits
+        r *= ~hit
         lo += cum.take(x) * r
-        rg[:] = np.where(miss, fr.take(x) * r, rg2)
+        r *= fr.take(x)
+        rg[:] = np.where(hit, share, r)
         over = np.flatnonzero(lo >= TOP)
         if len(over):  # carry into the words already out
             lo[over] -= TOP
-            back = at[over] - 1
-            while len(over):
-                out[over, back] += 1
-                more = out[over, back] > 0xFFFF
-                over, back = over[more], back[more]
-                out[over, back] = 0
+            back = to[over] - 1
+            while len(back):
+                out[back] += 1
+                back = back[out[back] > 0xFFFF]
+                out[back] = 0
                 back = back - 1
-        small = np.flatnonzero(rg < LOW_EDGE)
-        while len(small):
-            out[small, at[small]] = lo[small] >> 32
-            at[small] += 1
-            lo[small] = (lo[small] << 16) & (TOP - 1)
-            rg[small] <<= 16
-            small = small[rg[small] < LOW_EDGE]
-        m.update(k, x, hit2, hit1, right1)
+        small = rg < LOW_EDGE
+        out[to] = lo >> 32  # stays only where the position moves on
+        to += small
+        lo[:] = np.where(small, (lo << 16) & (TOP - 1), lo)
+        rg[:] = np.where(small, rg << 16, rg)
+        rest = np.flatnonzero(rg < LOW_EDGE)
+        while len(rest):
+            out[to[rest]] = lo[rest] >> 32
+            to[rest] += 1
+            lo[rest] = (lo[rest] << 16) & (TOP - 1)
+            rg[rest] <<= 16
+            rest = rest[rg[rest] < LOW_EDGE]
+        m.update(k, x, y, hit2, hit1, hit)
     for k in (32, 16, 0):
-        out[np.arange(lanes), at] = (low >> k) & 0xFFFF
+        out[at] = (low >> k) & 0xFFFF
         at += 1
+    size = at - base
     le = ids.astype("<u4").tobytes()
     crc = np.array([zlib.crc32(le[4 * i * block: 4 * min(n, (i + 1) * block)]) for i in range(lanes)], "<u4")
-    data = out[np.arange(out.shape[1])[None, :] < at[:, None]].astype("<u2")
-    head = zlib.compress(present.astype("<u4").tobytes() + freq.astype("<u4").tobytes() + at.astype("<u4").tobytes() + crc.tobytes() + doc_meta)
+    data = out.reshape(lanes, width)[np.arange(width)[None, :] < size[:, None]].astype("<u2")
+    head = zlib.compress(present.astype("<u4").tobytes() + freq.astype("<u4").tobytes() + size.astype("<u4").tobytes() + crc.tobytes() + doc_meta)
     return struct.pack("<4sIQIII", MAGIC, 1, n, block, len(present), len(head)) + head + data.tobytes()
 
 
@@ -174,6 +194,7 @@ def decode_section(payload: bytes) -> tuple[np.ndarray, bytes]:
     if not lanes:
         return np.zeros(0, np.uint32), meta
     data = np.append(np.frombuffer(payload, "<u2", offset=at + head_size).astype(np.int64), np.zeros(4, np.int64))
+    edge = len(data) - 1
     pos = np.concatenate([[0], np.cumsum(words.astype(np.int64))])[:-1]
     code = (data[pos] << 32) | (data[pos + 1] << 16) | data[pos + 2]
     pos = pos + 3
@@ -182,35 +203,41 @@ def decode_section(payload: bytes) -> tuple[np.ndarray, bytes]:
     cum = np.concatenate([[0], np.cumsum(fr)])
     bits = int(cum[-1]).bit_length() - 1
     slot = np.repeat(np.arange(distinct), fr)
-    m, last, edge = _Model(lanes), n - (lanes - 1) * block, len(data) - 1
+    m, last = _Model(lanes, distinct), n - (lanes - 1) * block
     grid = np.zeros((min(n, block), lanes), np.int64)
     for t in range(len(grid)):
         k = lanes if t < last else lanes - 1
-        cd, rg = code[:k], rng[:k]
+        cd, rg, frm, x = code[:k], rng[:k], pos[:k], grid[t, :k]
         f2, f1, p2, p1 = m.predict(k)
-        r = rg >> 16
-        v = (cd / r).astype(np.int64)  # exact: both below 2^53, the quotient below 2^17
         f12 = f2 + f1
-        hit2 = v < f2
-        miss = v >= f12
-        hit1 = ~(hit2 | miss)
-        cd -= np.where(miss, f12, f2 * hit1) * r
-        rg2 = np.where(miss, EVENT - f12, np.where(hit2, f2, f1)) * r
-        r = rg2 >> bits
-        v = np.minimum((cd / np.maximum(r, 1)).astype(np.int64), (1 << bits) - 1) * miss
-        x = np.where(miss, slot.take(v), np.where(hit2, p2, p1) - 1)
-        x = np.minimum(np.maximum(x, 0), distinct - 1)  # damaged data may say anything; the checksum tells
-        r *= miss
+        r = rg >> 16
+        v = cd / r  # exact enough: both below 2^48, the quotient below 2^17
+        hit2, hit = v < f2, v < f12
+        hit1 = hit > hit2
+        cd -= np.where(hit, f2 * hit1, f12) * r
+        share = np.where(hit2, f2, f1)
+        share = np.where(hit, share, EVENT - f12)
+        share *= r
+        r = share >> bits
+        v = np.minimum(cd / np.maximum(r, 1), (1 << bits) - 1).astype(np.int64)
+        v *= ~hit
+        x[:] = np.where(hit, np.where(hit2, p2, p1) - 1, slot.take(v))
+        np.maximum(x, 0, out=x)  # damaged data may say anything; the checksum tells
+        r *= ~hit
         cd -= cum.take(x) * r
-        rg[:] = np.maximum(np.where(miss, fr.take(x) * r, rg2), 1)
-        small = np.flatnonzero(rg < LOW_EDGE)
-        while len(small):
-            cd[small] = ((cd[small] << 16) | data.take(np.minimum(pos[small], edge))) & (TOP - 1)
-            pos[small] += 1
-            rg[small] <<= 16
-            small = small[rg[small] < LOW_EDGE]
-        grid[t, :k] = x
-        m.update(k, x, hit2, hit1, x + 1 == p1)
+        r *= fr.take(x)
+        rg[:] = np.maximum(np.where(hit, share, r), 1)
+        small = rg < LOW_EDGE
+        cd[:] = np.where(small, (cd << 16) | data.take(frm, mode="clip"), cd) & (TOP - 1)
+        frm += small
+        rg[:] = np.where(small, rg << 16, rg)
+        rest = np.flatnonzero(rg < LOW_EDGE)
+        while len(rest):
+            cd[rest] = ((cd[rest] << 16) | data.take(np.minimum(frm[rest], edge))) & (TOP - 1)
+            frm[rest] += 1
+            rg[rest] <<= 16
+            rest = rest[rg[rest] < LOW_EDGE]
+        m.update(k, x, (x + 1).astype(np.int32), hit2, hit1, hit)
     ids = present[grid.T.reshape(-1)[:n]]
     le = ids.astype("<u4").tobytes()
     for i in range(lanes):
