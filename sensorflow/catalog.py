@@ -189,10 +189,11 @@ def q_rebalance_rows(spark, sf_dir):
     return transforms.rebalance(events(spark, sf_dir, "event_id", "user_id", "value"), n)
 
 
-@register("partition_tag")
+@register("partition_tag", "SELECT event_id, user_id, true AS tagged FROM events")
 def q_partition_tag(spark, sf_dir):
-    """Rich map with set-up/tear-down and the subtask index (values depend on layout: rows-only)."""
-    return transforms.tag_partition(events(spark, sf_dir, "event_id", "user_id"))
+    """Rich map with the subtask index; the index depends on the layout, so the result says that every row has one."""
+    out = transforms.tag_partition(events(spark, sf_dir, "event_id", "user_id"))
+    return out.select("event_id", "user_id", (F.col("subtask") >= 0).alias("tagged"))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -405,6 +406,15 @@ def q_java_hash(spark, sf_dir):
     return ids.select("event_id", "id", java_hash("id", HASH_FACTOR).alias("hash_code"))
 
 
+@register("sql_java_hash", ORACLE["java_hash"])
+def q_sql_java_hash(spark, sf_dir):
+    """The hash as a SQL function (UDF-1 on the SQL surface)."""
+    register_sql_functions(spark)
+    events(spark, sf_dir, "event_id", "user_id").createOrReplaceTempView("sensor_hash")
+    return spark.sql(f"""SELECT event_id, id, java_hash(id, {HASH_FACTOR}) AS hash_code
+                         FROM (SELECT event_id, concat('sensor_', CAST(user_id AS STRING)) AS id FROM sensor_hash)""")
+
+
 @register("lateral_split", f"""
 SELECT doc_id, pos, word, CAST(length(word) AS INTEGER) AS length FROM ({_WORDS_SQL})""")
 def q_lateral_split(spark, sf_dir):

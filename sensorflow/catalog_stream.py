@@ -1,10 +1,10 @@
 """Streaming forms of the registered queries.
 
-Each replays the table folder as a file stream (``pathGlobFilter`` picks the
-table), runs to the end of the input with ``availableNow`` through an
-idempotent ``foreachBatch`` into Parquet under the shared checkpoint root,
-and returns the final result as a DataFrame. Its oracle is the batch
-operator's SQL: the stream must give the same final answer.
+Each replays its table as a file stream of several micro-batches, runs to
+the end of the input with ``availableNow`` through an idempotent
+``foreachBatch`` into Parquet under the shared checkpoint root, and returns
+the final result as a DataFrame. Its oracle is the batch operator's SQL: the
+stream must give the same final answer.
 """
 
 from __future__ import annotations
@@ -15,15 +15,32 @@ from pyspark.sql import functions as F
 from sensorflow import catalog as C
 from sensorflow.catalog import register
 from sensorflow.session import prepare, scratch_path
-from sensorflow.sinks.writers import stream_to_table
+from sensorflow.sinks.writers import run_to_end, stream_to_table
 from sensorflow.sources.readers import read_table_stream
 from sensorflow.streaming import ops as S
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    prepare(spark)
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    return read_table_stream(spark, sf_dir, schema, glob=f"{name}.parquet", max_files_per_trigger=max_files)
+#: Micro-batches that a registered stream takes its table in, so that state, timers and watermarks carry over.
+SLICES = 3
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str, order: str = "event_id", cols: list[str] | None = None,
+            end: str | None = None) -> DataFrame:
+    """The table as a stream of ``SLICES`` micro-batches, in slices of ascending ``order`` (null first; every row is in
+    exactly one slice). ``end`` names the time column of a last row that ends the stream (see below)."""
+    df = C.table(spark, sf_dir, name)
+    cuts = df.approxQuantile(order, [i / SLICES for i in range(1, SLICES)], 0.01)
+    no = sum((F.when(F.col(order) >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    src = scratch_path(spark, f"slices-{name}")
+    df = df.withColumn("_sf_slice", no)
+    rows = df.select(*(cols or [c for c in df.columns if c != "_sf_slice"]), "_sf_slice")
+    for b in range(SLICES):  # one after the other: a file stream takes files by age
+        rows.where(F.col("_sf_slice") == b).drop("_sf_slice").coalesce(1).write.mode("append").parquet(src)
+    schema = rows.drop("_sf_slice").schema
+    if end:
+        spark.range(1).select(*[(F.lit(_END_TS).cast(f.dataType) if f.name == end else F.lit(-1).cast(f.dataType)).alias(f.name)
+                                for f in schema.fields]).write.mode("append").parquet(src)
+    return read_table_stream(spark, src, schema, max_files_per_trigger=1)
 
 
 def _run(spark, stream, name, mode="append", keys=None) -> DataFrame:
@@ -33,7 +50,7 @@ def _run(spark, stream, name, mode="append", keys=None) -> DataFrame:
 
 @register("word_count_stream", C.ORACLE["word_count"])
 def q_word_count_stream(spark, sf_dir):
-    docs = _stream(spark, sf_dir, "documents").select("text")
+    docs = _stream(spark, sf_dir, "documents", "doc_id").select("text")
     return _run(spark, S.word_count_stream(docs, "text", " "), "word-count", "update", ["word"])
 
 
@@ -88,10 +105,11 @@ def q_resume_stream(spark, sf_dir):
     e = C.events(spark, sf_dir, "user_id", "event_id")
     mid = e.approxQuantile("event_id", [0.5], 0.001)
     mid = mid[0] if mid else 0
-    e.where(F.col("event_id") < mid).write.mode("overwrite").parquet(src)
+    later = F.coalesce(F.col("event_id") >= mid, F.lit(False))  # null ids come with the first half
+    e.where(~later).write.mode("overwrite").parquet(src)
     for half in (0, 1):
         if half == 1:
-            e.where(F.col("event_id") >= mid).write.mode("append").parquet(src)
+            e.where(later).write.mode("append").parquet(src)
         stream = read_table_stream(spark, src, e.schema)
         result = stream_to_table(spark, S.running_count_stream(stream, "user_id", "event_id"), out, ckpt)
     return result
@@ -100,15 +118,13 @@ def q_resume_stream(spark, sf_dir):
 @register("word_count_running_stream", C.ORACLE["word_count_running"])
 def q_word_count_running_stream(spark, sf_dir):
     from sensorflow.operators.aggregates import words
-    docs = _stream(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _stream(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     w = words(docs, "text", " ", keep=["doc_id"], pos="pos").withColumn("pos", F.col("pos").cast("bigint"))
     base = scratch_path(spark, "word-running")
     fn = S.running_count_batch_writer(spark, f"{base}/totals", f"{base}/out", ["word"], ["doc_id", "pos"])
     q = (w.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination(1800)
-    if q.exception() is not None:
-        raise q.exception()
+    run_to_end(q)
     return spark.read.parquet(f"{base}/out").select("doc_id", "pos", "word", "cnt")
 
 
@@ -136,20 +152,18 @@ def q_changelog_count_avg_stream(spark, sf_dir):
 
 # End-of-input marker: a bounded source ends with an "infinite" watermark in the
 # reference's runtime, so every event-time timer fires. A file stream has no end,
-# so one far-future row (key -1) advances the watermark past all data; it is
-# filtered out of the result.
-_END_TS = "2100-01-01 00:00:00"
+# so one row at the end of time, after the last slice, advances the watermark
+# past all data; its time, which no real row has, keeps it out of the result.
+_END_TS = "2262-01-01 00:00:00"  # pandas holds times up to April 2262
+
+
+def _real(col: str):
+    """Whether a row is not the marker's; a null time is a real row's."""
+    return F.coalesce(F.col(col) < F.lit(_END_TS).cast("timestamp_ntz"), F.lit(True))
 
 
 def _with_end_marker(spark, sf_dir, name, cols):
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols).schema
-    marker_dir = scratch_path(spark, "end-marker")
-    row = spark.range(1).select(*[
-        (F.lit(_END_TS).cast(f.dataType) if f.name == "ts" else F.lit(-1).cast(f.dataType)).alias(f.name)
-        for f in schema.fields])
-    row.write.parquet(marker_dir)
-    data = _stream(spark, sf_dir, name).select(*cols)
-    return data.unionByName(read_table_stream(spark, marker_dir, schema))
+    return _stream(spark, sf_dir, name, cols=cols, end="ts")
 
 
 @register("tumble_apply_stream", C.ORACLE["tumble_apply"])
@@ -162,17 +176,15 @@ def q_tumble_apply_stream(spark, sf_dir):
     fn = S.window_fold_batch_writer(spark, base, "user_id", "ts", C.WINDOW, C.DELAY_S, count_fold("cnt"), [])
     q = (e.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination(1800)
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{base}/out").where("user_id <> -1").select("user_id", "window_end", "cnt")
+    run_to_end(q)
+    return spark.read.parquet(f"{base}/out").where(_real("window_end")).select("user_id", "window_end", "cnt")
 
 
 @register("rise_alert_stream", C.ORACLE["rise_alert"])
 def q_rise_alert_stream(spark, sf_dir):
     e = _with_end_marker(spark, sf_dir, "events", ["user_id", "event_id", "ts", "value"])
     s = S.rise_alert_stream(e, "user_id", "event_id", "ts", "value", C.RISE_INTERVAL_S, f"{C.DELAY_S} seconds")
-    return _run(spark, s, "rise-alert").where("user_id <> -1").select("user_id", "event_id", "start_ts", "alert_ts")
+    return _run(spark, s, "rise-alert").where(_real("start_ts")).select("user_id", "event_id", "start_ts", "alert_ts")
 
 
 LATE_SLICES = 4
@@ -199,15 +211,13 @@ def q_late_split_stream(spark, sf_dir):
     src, main, side, state = (f"{base}/{x}" for x in ("source", "main", "side", "hwm"))
     e = C._arrival(C.events(spark, sf_dir, "event_id", "user_id", "ts"))
     top = e.agg(F.max("arrival")).first()[0]
-    sliced = e.withColumn("_slice", F.floor(F.col("arrival") * LATE_SLICES / (F.lit(top) + 1)))
+    sliced = e.withColumn("_slice", F.coalesce(F.floor(F.col("arrival") * LATE_SLICES / (F.lit(top) + 1)), F.lit(0)))
     fn = S.late_split_batch_writer(spark, state, main, side, "ts", C.WINDOW, C.DELAY_S, C.LATENESS_S)
     for b in range(LATE_SLICES):
         sliced.where(F.col("_slice") == b).drop("_slice").write.mode("append").parquet(src)
         q = (read_table_stream(spark, src, e.schema).writeStream.foreachBatch(fn)
              .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-        q.awaitTermination(900)
-        if q.exception() is not None:
-            raise q.exception()
+        run_to_end(q)
     cols = ["event_id", "user_id", "ts", "arrival", "status"]
     return spark.read.parquet(main).select(*cols).unionByName(spark.read.parquet(side).select(*cols))
 
@@ -223,5 +233,5 @@ def q_over_rows_event_time_stream(spark, sf_dir):
     order as the watermark passes them; the end marker releases the rest."""
     e = _with_end_marker(spark, sf_dir, "events", ["user_id", "ts", "event_id", "value"])
     s = S.over_rows_event_time_stream(e, "user_id", "ts", "event_id", "value", 2, f"{C.DELAY_S} seconds")
-    out = _run(spark, s, "over-rows-et").where("user_id <> -1")
+    out = _run(spark, s, "over-rows-et").where(_real("ts"))
     return out.select("user_id", "ts", "event_id", "cnt", C.r6("avg_value").alias("avg_value"))

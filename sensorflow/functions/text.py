@@ -27,13 +27,12 @@ def java_split(c, sep: str = ",") -> Column:
     ``sep`` is a regular expression, as in Java. Leading and inner empty
     strings are kept, trailing ones are dropped; ``""`` gives ``[""]`` and an
     input made only of separators gives ``[]``. Spark's ``split`` keeps
-    trailing empties, so trailing separators are stripped first.
+    trailing empties, so the array is cut after its last non-empty element.
     """
     s = _col(c)
-    trimmed = F.regexp_replace(s, f"(?:{sep})+$", "")
-    return (F.when(s.isNull(), F.lit(None))
-            .when((trimmed == "") & (s != ""), F.array().cast("array<string>"))
-            .otherwise(F.split(trimmed, sep, -1)))
+    parts = F.split(s, sep, -1)
+    last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
+    return F.when(s == "", F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), last))
 
 
 def utf16_length(c) -> Column:
@@ -47,14 +46,19 @@ def java_hash(c, factor: int = 1) -> Column:
     """``String.hashCode() * factor`` with 32-bit wrap-around, as an int.
 
     h = 31*h + char over the UTF-16 code units, computed as an unsigned 32-bit
-    fold in a bigint accumulator, then multiplied, masked and re-signed.
-    Characters above U+FFFF are taken as one unit (none occur in the data).
+    fold in a bigint accumulator, then multiplied, masked and re-signed. A
+    character above U+FFFF counts as its two surrogate units.
     """
     s = _col(c)
-    codes = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.ascii(F.substring(s, i, 1)))
-    folded = F.aggregate(codes, F.lit(0).cast("bigint"),
-                         lambda acc, ch: (acc * _JAVA_HASH_BASE + ch).bitwiseAND(F.lit(_MASK32)))
-    h = F.when(F.length(s) == 0, F.lit(0).cast("bigint")).otherwise(folded)
+    chars = F.filter(F.split(s, ""), lambda x: x != "")
+
+    def step(acc, ch):
+        code = F.ascii(ch).cast("bigint")
+        high = acc * _JAVA_HASH_BASE + F.lit(0xD800) + F.shiftright(code - 0x10000, 10)
+        pair = high.bitwiseAND(F.lit(_MASK32)) * _JAVA_HASH_BASE + F.lit(0xDC00) + code.bitwiseAND(F.lit(0x3FF))
+        return F.when(code < 0x10000, acc * _JAVA_HASH_BASE + code).otherwise(pair).bitwiseAND(F.lit(_MASK32))
+
+    h = F.aggregate(chars, F.lit(0).cast("bigint"), step)
     u = (h * F.lit(factor % (1 << 32)).cast("bigint")).bitwiseAND(F.lit(_MASK32))
     signed = F.when(u >= F.lit(1 << 31), u - F.lit(1 << 32)).otherwise(u)
     return F.when(s.isNull(), F.lit(None)).otherwise(signed.cast("int"))

@@ -64,12 +64,11 @@ def connect_status(df: DataFrame, key: str, value: str, threshold: float = HIGH_
                    keep: list[str] | None = None) -> DataFrame:
     """connect + CoMap of two stream types (RT-3): high rows become
     ``(key, value, "high temp warning")``, low rows ``(key, "normal")`` with a
-    null value column (the mixed-type union is a union with missing columns)."""
+    null value column; both sides come from one read of the input."""
     keep = keep or []
-    high, low = side_output(df, value, threshold)
-    warn = high.select(*keep, key, value, F.lit(HIGH_MESSAGE).alias("status"))
-    norm = low.select(*keep, key, F.lit(NORMAL_MESSAGE).alias("status"))
-    return warn.unionByName(norm, allowMissingColumns=True)
+    hot = F.coalesce(F.col(value) > F.lit(threshold), F.lit(False))
+    return df.select(*keep, key, F.when(hot, F.col(value)).alias(value),
+                     F.when(hot, F.lit(HIGH_MESSAGE)).otherwise(F.lit(NORMAL_MESSAGE)).alias("status"))
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -77,14 +76,14 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def shuffle_rows(df: DataFrame, n: int | None = None, seed: int = 17) -> DataFrame:
-    """``shuffle()`` (PT-1): pseudo-random uniform redistribution.
+def shuffle_rows(df: DataFrame, n: int | None = None) -> DataFrame:
+    """``shuffle()`` (PT-1): uniform redistribution, equal rows included.
 
-    The partition is a hash of the whole row and a seed, not ``rand()``, so a
-    retried task sends every row to the same place (safe on executor loss).
+    Spark deals rows round-robin from a task-dependent start after sorting
+    them by hash, so a retried task sends every row to the same place (safe
+    on executor loss).
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
-    return df.repartition(n, h) if n else df.repartition(h)
+    return df.repartition(n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def key_by(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
@@ -111,6 +110,8 @@ def tag_partition(df: DataFrame, setup=None, teardown=None, name: str = "subtask
     in ``finally``; every row is tagged with the partition id. The tag is
     nondeterministic by nature (it depends on the physical layout).
     """
+    if setup is None and teardown is None:
+        return df.withColumn(name, F.spark_partition_id())
     from pyspark import TaskContext
 
     schema = df.schema.simpleString()[len("struct<"):-1]

@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 
 SEG = "_sf_seg"
 _ORD = "_sf_ord"
+#: Most segments of a scan, so the quantile summary on the driver has the same bound at any size.
+MAX_SEGMENTS = 4096
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ class Run:
 
 def default_segments(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4, 4 * parts)
+    return min(MAX_SEGMENTS, max(4, 4 * parts))
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -63,6 +65,8 @@ def _numeric(df: DataFrame, name: str) -> Column:
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
+    if isinstance(dt, T.StringType):  # the first six bytes keep the order
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
     return c.cast("double")
 
 
@@ -94,7 +98,9 @@ def with_segments(df: DataFrame, order_col: str, segments=None,
     tmp = df.withColumn(_ORD, F.coalesce(_numeric(df, order_col), F.lit(float("nan"))))
     b = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol=_ORD, outputCol=SEG,
                    handleInvalid="keep")
-    return b.transform(tmp).withColumn(SEG, F.col(SEG).cast("bigint")).drop(_ORD)
+    # null order values come first, as in a window
+    seg = F.when(F.col(order_col).isNull(), F.lit(-1)).otherwise(F.col(SEG)).cast("bigint")
+    return b.transform(tmp).withColumn(SEG, seg).drop(_ORD)
 
 
 def _local(kind: str, c: Column) -> Column:

@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "sensorflow",
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+         .config("spark.sensorflow.inputSpread", cpus)  # the local tables are single files
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -49,12 +50,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when the session leaves it unset, as in local tests,
-    do we create a private folder and register it.
+    file system); a cluster session without it is an error. A local session
+    that leaves it unset, as in tests, gets a private folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
         sc.setCheckpointDir(root)

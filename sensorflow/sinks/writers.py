@@ -42,13 +42,34 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("topic", topic).option("checkpointLocation", checkpoint))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def run_to_end(query, timeout_s: float | None = None) -> None:
+    """Wait until a query has processed all of its input. A query that fails
+    raises; one that is not done after ``timeout_s`` is stopped and raises
+    too, so a part of a result is never taken for the whole."""
+    try:
+        done = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    finally:
+        if query.isActive:
+            query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    if timeout_s is not None and not done:
+        raise TimeoutError(f"the stream did not reach the end of its input in {timeout_s} s")
+
+
 def stream_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str,
                     output_mode: str = "append", keys: list[str] | None = None,
-                    timeout_s: int = 900) -> DataFrame:
+                    timeout_s: float | None = None) -> DataFrame:
     """Run ``stream`` to the end of its input (``availableNow``) through an
     idempotent ``foreachBatch`` and return the result as a batch DataFrame.
 
@@ -63,18 +84,15 @@ def stream_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoin
 
     q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    try:
-        q.awaitTermination(timeout_s)
-    finally:
-        if q.isActive:
-            q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    return read_batches(spark, path, stream.columns, output_mode, keys)
+    run_to_end(q, timeout_s)
+    return read_batches(spark, path, stream.columns, output_mode, keys, stream.schema)
 
 
 def read_batches(spark: SparkSession, path: str, columns: list[str], output_mode: str = "append",
-                 keys: list[str] | None = None) -> DataFrame:
+                 keys: list[str] | None = None, schema=None) -> DataFrame:
+    """``schema``: that of the rows, for a stream that may have had no batch at all."""
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema).select(*columns)
     out = spark.read.parquet(path)
     if output_mode == "append" or not keys:
         return out.select(*columns)
@@ -140,12 +158,15 @@ def upsert_dbapi(df: DataFrame, connect: Callable, table: str, key: str, cols: l
 
 def two_way_writer(main_path: str, side_path: str, is_side: Column) -> Callable:
     """``foreachBatch`` that writes a main and a side output (RT-2, W-5) from
-    one read of the batch (persisted for the two writes)."""
+    one read of the batch (persisted for the two writes). A row whose
+    predicate is null belongs to the main output."""
+    side = F.coalesce(is_side, F.lit(False))
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            _write_batch(b.where(~is_side), main_path, batch_id)
-            _write_batch(b.where(is_side), side_path, batch_id)
+            _write_batch(b.where(~side), main_path, batch_id)
+            _write_batch(b.where(side), side_path, batch_id)
         finally:
             b.unpersist()
     return fn

@@ -53,6 +53,17 @@ def read_table_stream(spark: SparkSession, directory: str, schema: T.StructType,
     return r.load(directory)
 
 
+def table_stream(spark: SparkSession, directory: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Replay table ``name`` of a folder, stored as one file or as a folder of part files."""
+    path = f"{directory.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        return read_table_stream(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
+    return read_table_stream(spark, directory, schema, glob=f"{name}.parquet", max_files_per_trigger=max_files_per_trigger)
+
+
 def from_collection(spark: SparkSession, rows, schema: T.StructType = READING_SCHEMA) -> DataFrame:
     """``fromCollection`` / ``fromElements`` (SRC-4/5)."""
     return spark.createDataFrame(rows, schema)
@@ -99,14 +110,15 @@ def parse_readings(lines: DataFrame, col: str = "value", sep: str = ",", keep: l
     ts, temp = F.expr("try_cast(_sf_f1 as bigint)"), F.expr("try_cast(_sf_f2 as double)")
     staged = lines.select(*keep, F.col(col).alias("_sf_line"), parts.alias("_sf_parts"),
                           f1.alias("_sf_f1"), f2.alias("_sf_f2"))
-    bad = ts.isNull() | temp.isNull()
+    whole = F.col("_sf_f1").rlike("^[+-]?[0-9]+$")  # a cast would trim spaces
+    bad = ts.isNull() | temp.isNull() | ~F.coalesce(whole, F.lit(False))
     if mode.upper() == "DROPMALFORMED":
         return staged.where(~bad).select(*keep, F.element_at("_sf_parts", 1).alias("id"),
                                          ts.alias("timestamp"), temp.alias("temperature"))
-    check = F.when(bad, F.raise_error(F.concat(F.lit("malformed reading: "), F.col("_sf_line"))))
-    return staged.select(*keep, F.element_at("_sf_parts", 1).alias("id"),
-                         F.coalesce(ts, check.cast("bigint")).alias("timestamp"),
-                         F.coalesce(temp, check.cast("double")).alias("temperature"))
+    # a filter, so that the check runs whichever columns are selected later
+    fail = F.raise_error(F.concat(F.lit("malformed reading: "), F.col("_sf_line"))).cast("boolean")
+    return staged.where(F.when(bad, fail).otherwise(F.lit(True))).select(
+        *keep, F.element_at("_sf_parts", 1).alias("id"), ts.alias("timestamp"), temp.alias("temperature"))
 
 
 def csv_lines(df: DataFrame, cols: list[Column | str], name: str = "value") -> DataFrame:

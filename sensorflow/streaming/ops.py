@@ -59,17 +59,6 @@ def changelog_stream(df: DataFrame, key: str, order: str, value: str, sum_digits
         "Append", "None")
 
 
-def window_fold_stream(df: DataFrame, key: str, time: str, size_s: int, delay: str, acc_ddl: str,
-                       add, merge, finish, result_ddl: str) -> DataFrame:
-    """User fold per key and tumbling event-time window, emitted when the
-    watermark passes the window end (W-2 / UDF-4)."""
-    prepare(df.sparkSession)
-    src = df.withColumn(time, event_time(df, time)).withWatermark(time, delay)
-    return src.groupBy(key).transformWithStateInPandas(
-        P.WindowFold(key, time, size_s * 1000, acc_ddl, add, merge, finish),
-        f"{_ddl(df, key)}, window_end timestamp_ntz, {result_ddl}", "Append", "EventTime")
-
-
 def jump_alert_stream(df: DataFrame, key: str, order: str, value: str, threshold: float) -> DataFrame:
     prepare(df.sparkSession)
     return df.groupBy(key).transformWithStateInPandas(

@@ -50,10 +50,6 @@ class RunningCount(StatefulProcessor):
         pass
 
 
-def running_count_schema(key_ddl: str, order_ddl: str) -> str:
-    return f"{key_ddl}, {order_ddl}, cnt bigint"
-
-
 class JumpAlert(StatefulProcessor):
     """Change alert (F-3): ``(key, order, prev_value, value)`` when the jump
     from the previous reading is ``>= threshold``; the first reading only sets state."""
@@ -95,9 +91,9 @@ class CountWindowAvg(StatefulProcessor):
         base = self.count.get()[0] if self.count.exists() else 0
         tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
         vals = pd.Series(tail + pdf[self.value].astype("float64").tolist())
-        n = vals.rolling(self.size, min_periods=1).count().iloc[len(tail):].to_numpy()
         avg = vals.rolling(self.size, min_periods=1).mean().iloc[len(tail):].to_numpy()
         rn = base + np.arange(1, len(pdf) + 1, dtype="int64")
+        n = np.minimum(rn, self.size)  # rows of the frame, null values included
         fire = rn % self.slide == 0
         self.count.update((int(rn[-1]),))
         self.tail.put([(float(x),) for x in vals.iloc[-(self.size - 1):]] if self.size > 1 else [])
@@ -121,7 +117,8 @@ class OverRows(StatefulProcessor):
         tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
         vals = pd.Series(tail + pdf[self.value].astype("float64").tolist())
         w = vals.rolling(self.preceding + 1, min_periods=1)
-        cnt = w.count().iloc[len(tail):].to_numpy().astype("int64")
+        # rows of the frame, null values included; a null key is not counted, as in count(key)
+        cnt = np.minimum(np.arange(len(tail) + 1, len(vals) + 1), self.preceding + 1) * (key[0] is not None)
         avg = w.mean().iloc[len(tail):].to_numpy()
         self.tail.put([(float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
         out = {self.key: pdf[self.key]}
@@ -232,7 +229,7 @@ class IdleTimer(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         for pdf in rows:
-            for _ in range(len(pdf)):
+            if len(pdf):  # rows of one batch share their time, hence their timer
                 self.handle.registerTimer(now + self.delay_ms)
         return iter([])
 
@@ -257,25 +254,36 @@ class RollingMaxBy(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, [self.order])
         best = self.best.get() if self.best.exists() else None
-        bv, bo = (best[0], best[1]) if best else (None, None)
-        bc = list(best[2:]) if best else [None] * len(self.carry)
-        out_v, out_o, out_c = [], [], [[] for _ in self.carry]
-        carry_vals = [pdf[c].astype(str).tolist() for c in self.carry]
-        for i, (o, v) in enumerate(zip(pdf[self.order].tolist(), pdf[self.value].tolist())):
-            if bv is None or v > bv:
-                bv, bo, bc = float(v), int(o), [cv[i] for cv in carry_vals]
-            out_v.append(bv)
-            out_o.append(bo)
-            for j in range(len(self.carry)):
-                out_c[j].append(bc[j])
-        self.best.update(tuple([bv, bo] + bc))
+        value = pdf[self.value].astype("float64")
+        rank = value.fillna(-np.inf).to_numpy()  # a null is below every value
+        start = -np.inf if best is None or best[0] is None or np.isnan(best[0]) else best[0]
+        before = np.concatenate([[start], np.maximum.accumulate(np.maximum(rank, start))[:-1]])
+        better = rank > before
+        if best is None:
+            better[0] = True  # the first record of a key, whatever its value
+        at = np.maximum.accumulate(np.where(better, np.arange(len(rank)), -1))
+        old = at < 0
+        pick = np.maximum(at, 0)
+
+        def told(col, earlier):
+            now = col.iloc[pick].reset_index(drop=True).astype(object)
+            now[old] = earlier
+            return now.where(now.notna(), None)
         out = {self.key: pdf[self.key], self.order: pdf[self.order]}
         for c in self.keep:
             out[c] = pdf[c]
-        out.update({f"max_{self.value}": out_v, f"max_{self.order}": out_o})
+        out[f"max_{self.value}"] = told(value, best[0] if best else None)
+        out[f"max_{self.order}"] = told(pdf[self.order], best[1] if best else None)
         for j, c in enumerate(self.carry):
-            out[f"max_{c}"] = out_c[j]
-        yield pd.DataFrame(out)
+            text = pdf[c].astype(str).where(pdf[c].notna(), None)
+            out[f"max_{c}"] = told(text, best[2 + j] if best else None)
+        last = [out[f"max_{self.value}"].iloc[-1], out[f"max_{self.order}"].iloc[-1]]
+        self.best.update((None if last[0] is None else float(last[0]), int(last[1]),
+                          *[out[f"max_{c}"].iloc[-1] for c in self.carry]))
+        frame = pd.DataFrame(out)
+        frame[f"max_{self.value}"] = frame[f"max_{self.value}"].astype("float64")
+        frame[f"max_{self.order}"] = frame[f"max_{self.order}"].astype("int64")
+        yield frame
 
 
 class Changelog(StatefulProcessor):
@@ -320,49 +328,6 @@ class Changelog(StatefulProcessor):
             yield df
 
 
-class WindowFold(StatefulProcessor):
-    """A user fold per key and event-time tumbling window (W-2 / UDF-4 on a
-    stream). Accumulators live in MapState keyed by window end; an event-time
-    timer at the window end emits ``finish(acc)`` and frees the state, so a
-    window costs state only while it is open.
-
-    ``add(pdf) -> dict`` and ``merge(a, b) -> dict`` work on the accumulator
-    fields of ``acc_ddl``; ``finish(acc) -> dict`` gives the result fields.
-    """
-
-    def __init__(self, key: str, time: str, size_ms: int, acc_ddl: str, add, merge, finish):
-        self.key, self.time, self.size_ms = key, time, size_ms
-        self.acc_ddl, self.add, self.merge, self.finish = acc_ddl, add, merge, finish
-        self.acc_names = [f.split()[0] for f in acc_ddl.split(",")]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.accs = handle.getMapState("accs", "end bigint", self.acc_ddl)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        ms = pdf[self.time].astype("datetime64[us]").astype("int64") // 1000
-        ends = (ms // self.size_ms + 1) * self.size_ms
-        for end, part in pdf.groupby(ends.to_numpy(), sort=True):
-            acc = self.add(part)
-            k = (int(end),)
-            if self.accs.containsKey(k):
-                acc = self.merge(dict(zip(self.acc_names, self.accs.getValue(k))), acc)
-            else:
-                self.handle.registerTimer(int(end))
-            self.accs.updateValue(k, tuple(acc[n] for n in self.acc_names))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        k = (expiredTimerInfo.getExpiryTimeInMs(),)
-        if self.accs.containsKey(k):
-            acc = dict(zip(self.acc_names, self.accs.getValue(k)))
-            self.accs.removeKey(k)
-            res = self.finish(acc)
-            yield pd.DataFrame({self.key: [key[0]], "window_end": [pd.Timestamp(k[0], unit="ms")],
-                                **{n: [v] for n, v in res.items()}})
-
-
 class OverRowsEventTime(StatefulProcessor):
     """Row-frame OVER window in event-time order on a stream (W-8, exact).
 
