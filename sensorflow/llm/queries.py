@@ -32,7 +32,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
-@register("op6_url_filters")
+def url_filter_sql(rules: list[tuple[str, str]]) -> str:
+    """The template tree in DuckDB's SQL, with the operator's parameters."""
+    def fits(text):
+        host, path = text[: text.find("/")].lower(), text[text.find("/"):]
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+    order = sorted(rules, key=lambda r: (-len(r[0]), r[0]))
+    rule = " ".join(f"WHEN {fits(t)} THEN '{t}'" for t, _ in order)
+    says = " ".join(f"WHEN {fits(t)} THEN '{v}'" for t, v in order)
+    u = url_filters
+    literal = "NOT starts_with(c, '{') AND c <> ''"
+    return rf"""
+WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+b0 AS (SELECT page_id, translate(raw, '{u.UPPER}', '{u.LOWER}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+b AS (SELECT *, CASE {rule} END AS rule, CASE {says} END AS says FROM b0),
+paths AS (SELECT host, path, count(rule) AS lab, count(*) FILTER (says = 'block') AS bad FROM b GROUP BY ALL),
+s0 AS (SELECT host, path, string_split(path, '/') AS s FROM paths),
+s1 AS (SELECT host, path, CASE WHEN len(s) > {u.MAX_DEPTH} THEN list_concat(s[1:{u.MAX_DEPTH - 1}], ['{{tail}}']) ELSE s END AS s FROM s0),
+s2 AS (SELECT host, path, list_transform(s, lambda x: CASE
+         WHEN regexp_matches(x, '^[0-9]+$') THEN '{{num}}'
+         WHEN regexp_matches(x, '^[0-9]+[.][A-Za-z0-9]+$') THEN '{{num}}.' || regexp_extract(x, '[.](.*)$', 1)
+         WHEN regexp_matches(x, '^[0-9a-fA-F-]{{16,}}$') THEN '{{hex}}' ELSE x END) AS s FROM s1),
+nodes AS (SELECT host, path, s, unnest(range(1, len(s) + 1)) AS d FROM s2),
+n AS (SELECT host, path, d, s[d] AS c, array_to_string(s[1:d - 1], '/') AS p FROM nodes),
+wide AS (SELECT host, d, p, true AS wide FROM n WHERE {literal} GROUP BY host, d, p HAVING count(DISTINCT c) > {u.MAX_CHILDREN}),
+t0 AS (SELECT n.host, n.path, n.d, CASE WHEN wide AND {literal} THEN '{{any}}' ELSE c END AS c FROM n LEFT JOIN wide USING (host, d, p)),
+t1 AS (SELECT *, max(d) FILTER ({literal}) OVER (PARTITION BY host, path) AS last FROM t0),
+t AS (SELECT host, path, string_agg(c, '/' ORDER BY d) AS template,
+             string_agg(CASE WHEN d = last THEN '{{*}}' ELSE c END, '/' ORDER BY d) AS family FROM t1 GROUP BY host, path),
+stats AS (SELECT host, family, template, sum(lab) AS lab, sum(bad) AS bad FROM paths JOIN t USING (host, path) GROUP BY ALL),
+total AS (SELECT (coalesce(sum(bad), 0) + 1)::DOUBLE / (coalesce(sum(lab), 0) + 2)::DOUBLE AS overall FROM paths),
+rated AS (SELECT *, CASE WHEN lab > 0 THEN bad::DOUBLE / lab::DOUBLE ELSE -1 END AS rate FROM stats),
+near AS (SELECT *, lag(lab) OVER w AS lab0, lag(bad) OVER w AS bad0, lag(rate) OVER w AS rate0
+         FROM rated WINDOW w AS (PARTITION BY host, family ORDER BY rate, template)),
+z AS (SELECT *, CASE WHEN lab0 IS NULL THEN false WHEN lab = 0 OR lab0 = 0 THEN lab = lab0
+             ELSE (rate - rate0) * (rate - rate0) <= {u.Z * u.Z}::DOUBLE * (
+               (bad + bad0)::DOUBLE / (lab + lab0)::DOUBLE * (1 - (bad + bad0)::DOUBLE / (lab + lab0)::DOUBLE) * (1::DOUBLE / lab::DOUBLE + 1::DOUBLE / lab0::DOUBLE)) END AS same FROM near),
+g AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY host, family ORDER BY rate, template) AS branch FROM z),
+merged AS (SELECT host, family, branch, sum(lab)::DOUBLE AS lab, sum(bad)::DOUBLE AS bad FROM g GROUP BY ALL),
+hosts AS (SELECT host, sum(lab)::DOUBLE AS hlab, sum(bad)::DOUBLE AS hbad FROM stats GROUP BY host),
+judged AS (SELECT g.host, g.template, (m.bad + {u.PRIOR_WEIGHT}::DOUBLE * ((hbad + {u.PRIOR_WEIGHT}::DOUBLE * overall) / (hlab + {u.PRIOR_WEIGHT}::DOUBLE)))
+             / (m.lab + {u.PRIOR_WEIGHT}::DOUBLE) > {u.REJECT_OVER}::DOUBLE AS rejected
+           FROM g JOIN merged m USING (host, family, branch) JOIN hosts USING (host) CROSS JOIN total)
+SELECT page_id, b.host, b.path, rule, coalesce(says, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM b JOIN t USING (host, path) JOIN judged ON judged.host = t.host AND judged.template = t.template"""
+
+
+@register("op6_url_filters", url_filter_sql(URL_RULES))
 def op6(spark, sf_dir):
     """Every page's host, path, longest fitting rule and verdict; unruled pages are judged by the template tree,
     which learns from the pages that a rule decides."""
