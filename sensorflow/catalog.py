@@ -140,6 +140,15 @@ def q_side_output_low(spark, sf_dir):
     return transforms.side_output(e, "value")[1]
 
 
+@register("side_output_both", """
+SELECT event_id, user_id, value, CASE WHEN value > 30 THEN 'main' ELSE 'side' END AS output FROM events""")
+def q_side_output_both(spark, sf_dir):
+    """Both outputs of the split, each row in exactly one of them."""
+    e = events(spark, sf_dir, "event_id", "user_id", "value")
+    main, side = transforms.side_output(e, "value")
+    return transforms.union_all(main.withColumn("output", F.lit("main")), side.withColumn("output", F.lit("side")))
+
+
 @register("connect_status", """
 SELECT event_id, user_id, value, 'high temp warning' AS status FROM events WHERE value > 30
 UNION ALL

@@ -3,17 +3,16 @@
 Tumbling windows are a ``groupBy(key, window(ts, size))``: partial
 aggregation runs map-side, so a hot key costs one partial row per input
 partition. Count and row-frame windows never sort a whole key in one task:
-they use the skew-safe row number and bounded frames of
-:mod:`sensorflow.plans.scan`.
+they use the segments with leading copies of :mod:`sensorflow.plans.scan`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.functions.fold import Fold, fold_by
-from sensorflow.plans.scan import Run, row_frames, scan
+from sensorflow.plans.scan import BASE, HALO, with_halo
 from sensorflow.schema import as_ntz, event_time
 
 
@@ -67,16 +66,16 @@ def count_window_avg(df: DataFrame, key: str, order: str, value: str, size: int
 
     A key's window fires on every ``slide``-th row over its last ``size``
     rows (sizes 2, 4, 5, 5, … for (5, 2)); a trailing partial slide never
-    fires. Each row is copied to the (at most ``size``) firing rows whose
-    frame holds it, then grouped by ``(key, firing row)``.
+    fires. A row's position in its key is its position in its segment plus
+    the rows of the key before the segment.
     """
-    rn = scan(df, [key], [order], [Run("_sf_rn", "count")], segments)
-    fr = row_frames(rn, [key], "_sf_rn", size - 1, keep_target=lambda t: t % slide == 0)
-    g = fr.groupBy(key, "_sf_t").agg(
-        F.max(F.when(F.col("_sf_rn") == F.col("_sf_t"), F.col(order))).alias(order),
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.col(value)).alias("avg_value"))
-    return g.where(F.col(order).isNotNull()).select(key, order, "n", "avg_value")
+    rows, part = with_halo(df, [key], [order], [value], size - 1, segments)
+    w = Window.partitionBy(*part).orderBy(F.col(order).asc())
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = w.rowsBetween(-(size - 1), Window.currentRow)
+    rn = F.coalesce(F.max(BASE).over(so_far), F.lit(0)) + F.sum(F.when(F.col(HALO), 0).otherwise(1)).over(so_far)
+    out = rows.withColumns({"_sf_rn": rn, "n": F.count(F.lit(1)).over(frame), "avg_value": F.avg(F.col(value)).over(frame)})
+    return out.where(~F.col(HALO) & (F.col("_sf_rn") % slide == 0)).select(key, order, "n", "avg_value")
 
 
 def over_rows(df: DataFrame, key: str, order: list[str], value: str, preceding: int = 2,
@@ -87,14 +86,9 @@ def over_rows(df: DataFrame, key: str, order: list[str], value: str, preceding:
     ``order`` is usually ``[event_time, seq]``; segments cut on its first
     column, so they are monotone in the full order.
     """
-    carry = carry or []
-    rn = scan(df, [key], order, [Run("_sf_rn", "count")], segments)
-    fr = row_frames(rn, [key], "_sf_rn", preceding)
-    me = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys([*order, *carry])])
-    g = fr.groupBy(key, "_sf_t").agg(
-        F.max(F.when(F.col("_sf_rn") == F.col("_sf_t"), me)).alias("_sf_me"),
-        F.count(F.col(key)).alias("cnt"),
-        F.avg(F.col(value)).alias("avg_value"))
-    cols = list(dict.fromkeys([*order, *carry]))
-    return (g.where(F.col("_sf_me").isNotNull())
-            .select(key, *[F.col(f"_sf_me.{c}").alias(c) for c in cols], "cnt", "avg_value"))
+    cols = list(dict.fromkeys([*order, *(carry or [])]))
+    rows, part = with_halo(df, [key], order, [*cols, value], preceding, segments)
+    frame = (Window.partitionBy(*part).orderBy(*[F.col(o).asc() for o in order])
+             .rowsBetween(-preceding, Window.currentRow))
+    out = rows.withColumns({"cnt": F.count(F.col(key)).over(frame), "avg_value": F.avg(F.col(value)).over(frame)})
+    return out.where(~F.col(HALO)).select(key, *cols, "cnt", "avg_value")

@@ -1,3 +1,3 @@
 """Reusable distributed plan shapes (segmented prefix scans, row frames)."""
 
-from sensorflow.plans.scan import Run, row_frames, scan, with_segments  # noqa: F401
+from sensorflow.plans.scan import Run, scan, with_halo, with_segments  # noqa: F401

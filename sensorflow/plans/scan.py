@@ -17,9 +17,8 @@ three steps, which is the classic two-level prefix sum:
    partitioning, and AQE broadcasts the carry table only when its measured
    size is under the broadcast threshold.
 
-Bounded row frames (``n`` preceding rows) use a row number from the same
-scan and a group-by on ``(key, target row)``: each group holds at most
-``n + 1`` rows, whatever the key distribution.
+Bounded row frames (``n`` preceding rows) are windows per ``(key, segment)``
+over the segment's rows and copies of the last ``n`` rows before it.
 """
 
 from __future__ import annotations
@@ -187,16 +186,42 @@ def row_number(df: DataFrame, keys: list[str], order: list[str], name: str = "rn
     return scan(df, keys, order, [Run(name, "count")], segments, n_segments)
 
 
-def row_frames(df: DataFrame, keys: list[str], rn: str, preceding: int,
-               keep_target=None) -> DataFrame:
-    """Pair every row with the frames that contain it.
+HALO = "_sf_halo"
+BASE = "_sf_base"
 
-    Returns ``df`` exploded to one row per ``(frame target t, member row)``
-    where ``t`` ranges over ``rn .. rn + preceding`` (optionally filtered by
-    ``keep_target(t)``); grouping by ``keys + ['_sf_t']`` then yields frames
-    of at most ``preceding + 1`` rows each.
+
+def with_halo(df: DataFrame, keys: list[str], order: list[str], cols: list[str], preceding: int,
+              segments=None, n_segments: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Rows by (key, segment), each group led by the up to ``preceding`` rows of its key before it.
+
+    Returns the rows (``keys``, ``order``, ``cols``, ``HALO``: whether a row is
+    such a copy, ``BASE``: on copies, how many rows of the key lie before the
+    group) and the columns to partition a window by. A frame of ``preceding``
+    rows within a group then equals the frame within the key, so no key is
+    sorted whole, and only ``preceding`` rows a group are copied.
     """
-    targets = F.sequence(F.col(rn), F.col(rn) + F.lit(preceding))
-    if keep_target is not None:
-        targets = F.filter(targets, keep_target)
-    return df.withColumn("_sf_t", F.explode(targets))
+    sdf = with_segments(df, order[0], segments, n_segments).withColumn(SEG, F.coalesce(F.col(SEG), F.lit(-1).cast("bigint")))
+    pairs = []
+    for k in keys:
+        sdf = (sdf.withColumn(f"_sf_kv_{k}", F.coalesce(F.col(k), _zero(df.schema[k].dataType)))
+               .withColumn(f"_sf_kn_{k}", F.col(k).isNull()))
+        pairs += [f"_sf_kv_{k}", f"_sf_kn_{k}"]
+    part = [*pairs, SEG]
+    row = list(dict.fromkeys([*order, *[c for c in cols if c not in keys]]))
+    sdf = sdf.select(*part, *row)
+    last = Window.partitionBy(*part).orderBy(*[F.col(o).desc() for o in order])
+    tails = (sdf.withColumn("_sf_n", F.row_number().over(last)).where(F.col("_sf_n") <= preceding)
+             .groupBy(*part).agg(F.sort_array(F.collect_list(F.struct((-F.col("_sf_n")).alias("at"), *row))).alias("_sf_tail")))
+    sizes = sdf.groupBy(*part).agg(F.count(F.lit(1)).alias("_sf_size"))
+    before = (Window.partitionBy(*pairs) if pairs else Window.partitionBy()).orderBy(SEG)
+    carried = F.flatten(F.collect_list("_sf_tail").over(before.rowsBetween(-max(1, preceding), -1)))
+    carry = (tails.join(sizes, part).withColumns({"_sf_c": carried, BASE: F.sum("_sf_size").over(before.rowsBetween(Window.unboundedPreceding, -1))})
+             .where(F.size("_sf_c") > 0)
+             .withColumn("_sf_c", F.slice("_sf_c", F.greatest(F.size("_sf_c") - (preceding - 1), F.lit(1)), max(1, preceding))))
+    copies = carry.select(*part, BASE, F.explode("_sf_c").alias("_sf_r")).select(
+        *part, *[F.col(f"_sf_r.{c}").alias(c) for c in row], F.lit(True).alias(HALO), BASE)
+    rows = sdf.select(*part, *row, F.lit(False).alias(HALO), F.lit(None).cast("bigint").alias(BASE))
+    both = rows.unionByName(copies)
+    for k in keys:
+        both = both.withColumn(k, F.when(~F.col(f"_sf_kn_{k}"), F.col(f"_sf_kv_{k}")))
+    return both, part
