@@ -14,6 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Rows of an Arrow batch: whole texts travel in them, and the operators work slice by slice anyway.
+ARROW_ROWS = 2000
+
+
 def register(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -25,6 +29,7 @@ def register(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
