@@ -461,18 +461,25 @@ def q_jump_alert(spark, sf_dir):
 
 
 @register("rise_alert", f"""
-WITH a AS (
+WITH RECURSIVE a AS (
   SELECT user_id, event_id, ts, value,
          value > coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY event_id), 4.9e-324) AS rise
   FROM events),
 b AS (
-  SELECT *, lag(rise) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_rise,
+  SELECT *, max(CASE WHEN NOT rise THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run,
          min(CASE WHEN NOT rise THEN {{'o': event_id, 't': ts}} END) OVER (PARTITION BY user_id ORDER BY event_id
              ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS brk
-  FROM a)
-SELECT user_id, event_id, ts AS start_ts, ts + INTERVAL {RISE_INTERVAL_S} SECOND AS alert_ts FROM b
-WHERE rise AND NOT coalesce(prev_rise, false)
-  AND (brk IS NULL OR brk.t > ts + INTERVAL {RISE_INTERVAL_S} SECOND)""")
+  FROM a),
+r AS (SELECT user_id, event_id, ts, brk.t AS brk, coalesce(run, -1) AS run FROM b WHERE rise),
+nxt AS (SELECT x.user_id, x.event_id, min(y.event_id) AS next_id FROM r x JOIN r y
+        ON x.user_id = y.user_id AND x.run = y.run AND y.event_id > x.event_id
+           AND y.ts > x.ts + INTERVAL {RISE_INTERVAL_S} SECOND GROUP BY ALL),
+c AS (SELECT user_id, min(event_id) AS event_id FROM r GROUP BY user_id, run
+      UNION ALL SELECT c.user_id, nxt.next_id FROM c JOIN nxt USING (user_id, event_id))
+SELECT user_id, event_id, ts AS start_ts, ts + INTERVAL {RISE_INTERVAL_S} SECOND AS alert_ts
+FROM r JOIN c USING (user_id, event_id)
+WHERE brk IS NULL OR brk > ts + INTERVAL {RISE_INTERVAL_S} SECOND""")
 def q_rise_alert(spark, sf_dir):
     e = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
     return alerts.rise_alert(e, "user_id", "event_id", "ts", "value", RISE_INTERVAL_S)

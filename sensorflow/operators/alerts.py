@@ -32,14 +32,17 @@ def jump_alert(df: DataFrame, key: str, order: str, value: str, threshold: float
 
 def rise_alert(df: DataFrame, key: str, order: str, time: str, value: str,
                interval_seconds: int, segments=None) -> DataFrame:
-    """Continuous-rise alert, first alert of each rising run (F-5).
+    """Continuous-rise alert (F-5).
 
     Per key in ``order``: a row *rises* if its value is strictly above the
-    previous row's (the first row compares with Double.MIN_VALUE). A run
-    starts at a rising row whose predecessor did not rise; its *break* is the
-    next non-rising row. The timer set at ``start_time + interval`` fires
-    unless the break's event time is at or before it. Output:
-    ``(key, order of the start row, start time, alert time)``.
+    previous row's (the first row compares with Double.MIN_VALUE). A rising
+    row without a pending timer sets one at ``its time + interval``. The next
+    non-rising row is the run's *break*; the timer fires unless the break's
+    event time is at or before it. After an alert, the next rising row of the
+    run that is later than the alert sets a new timer. Output: ``(key, order
+    of the row that set the timer, its time, alert time)``.
+
+    A run of rising rows is folded in one place; keys are not.
     """
     et = event_time(df, time)
     base = df.select(F.col(key), F.col(order), et.alias("_sf_t"), F.col(value))
@@ -49,15 +52,21 @@ def rise_alert(df: DataFrame, key: str, order: str, time: str, value: str,
         F.col(order).alias("o"), F.col(value).alias("v")), inclusive=False)], segments)
     p1 = p1.withColumn("_sf_rise", F.col(value) > F.coalesce(F.col("_sf_prev.v"),
                                                              F.lit(JAVA_DOUBLE_MIN_VALUE)))
+    p1 = p1.withColumn("_sf_rise", F.coalesce("_sf_rise", F.lit(False)))
+    here = F.struct(F.col(order).alias("o"), F.col("_sf_t").alias("t"))
     runs = [
-        Run("_sf_pr", "max", F.struct(F.col(order).alias("o"), F.col("_sf_rise").alias("r")),
-            inclusive=False),
-        Run("_sf_brk", "min", F.when(~F.col("_sf_rise"), F.struct(
-            F.col(order).alias("o"), F.col("_sf_t").alias("t"))), reverse=True, inclusive=False),
+        Run("_sf_run", "max", F.when(~F.col("_sf_rise"), here), inclusive=False),
+        Run("_sf_brk", "min", F.when(~F.col("_sf_rise"), here), reverse=True, inclusive=False),
     ]
-    p2 = scan(p1.drop("_sf_prev"), [key], [order], runs, segments)
-    alert_at = F.col("_sf_t") + F.make_dt_interval(secs=F.lit(interval_seconds))
-    starts = p2.where(F.col("_sf_rise") & ~F.coalesce(F.col("_sf_pr.r"), F.lit(False)))
-    fired = starts.where(F.col("_sf_brk").isNull() | (F.col("_sf_brk.t") > alert_at))
-    return fired.select(key, order, as_ntz(F.col("_sf_t")).alias("start_ts"),
-                        as_ntz(alert_at).alias("alert_ts"))
+    p2 = scan(p1.drop("_sf_prev"), [key], [order], runs, segments).where("_sf_rise")
+    # the rows between two non-rising ones are a run, named by the first of these
+    rows = p2.groupBy(key, F.col("_sf_run.o").alias("_sf_run")).agg(
+        F.first("_sf_brk.t").alias("_sf_brk"), F.sort_array(F.collect_list(here)).alias("_sf_rows"))
+    wait = F.make_dt_interval(secs=F.lit(interval_seconds))
+    kind = rows.schema["_sf_rows"].dataType.simpleString()
+    starts = F.aggregate("_sf_rows", F.array().cast(kind), lambda done, r: F.when(
+        (F.size(done) == 0) | (r["t"] > F.element_at(done, -1)["t"] + wait), F.concat(done, F.array(r))).otherwise(done))
+    fired = (rows.select(key, "_sf_brk", F.explode(starts).alias("s"))
+             .where(F.col("_sf_brk").isNull() | (F.col("_sf_brk") > F.col("s.t") + wait)))
+    return fired.select(key, F.col("s.o").alias(order), as_ntz(F.col("s.t")).alias("start_ts"),
+                        as_ntz(F.col("s.t") + wait).alias("alert_ts"))

@@ -153,12 +153,14 @@ class AvgFold(StatefulProcessor):
 
 
 class RiseAlert(StatefulProcessor):
-    """Continuous-rise alert with event-time timers (F-5), first alert per run.
+    """Continuous-rise alert with event-time timers (F-5).
 
     A rising row with no open run starts one and registers an event-time
     timer at ``row time + interval``. The run's break (next non-rising row)
     deletes the timer if its event time is at or before the deadline, and
-    emits the alert at once if it is later. An expired timer emits the alert.
+    emits the alert at once if it is later. An expired timer emits the alert;
+    so does a rising row that is later than the deadline, which then starts
+    the next run.
     Times are kept in microseconds; only the timer is rounded up to ms.
     Output: ``(key, order of start, start_ts, alert_ts)``.
     """
@@ -186,6 +188,12 @@ class RiseAlert(StatefulProcessor):
         ts_us = pdf[self.time].astype("datetime64[us]").astype("int64").tolist()
         for o, t, v in zip(pdf[self.order].tolist(), ts_us, pdf[self.value].tolist()):
             if v > last:
+                if run is not None and t > run[2]:
+                    ro, rt, deadline, timer, fired = run
+                    if not fired:
+                        self.handle.deleteTimer(timer)
+                        out.append(self._alert(key, ro, rt, deadline))
+                    run = None
                 if run is None:
                     deadline = int(t) + self.interval_us
                     timer = -(-deadline // 1000)

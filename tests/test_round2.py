@@ -130,3 +130,19 @@ def test_text_stream_and_table_with_rowtime(spark, tmp_path):
     out = writers.stream_to_table(spark, table, str(tmp_path / "o"), str(tmp_path / "c"))
     assert out.columns == ["id", "ts", "temp", "rt"]
     assert sorted((r["id"], r["ts"], r["temp"], r["rt"].second) for r in out.collect()) == [("s1", 10, 1.5, 10), ("s2", 20, 2.5, 20)]
+
+
+def test_rise_alert_rearms_after_an_alert(spark, tmp_path):
+    """One rising run of 40 s with a timer of 10 s: alerts set at 0, 12, 24; the timer set at 36 is cancelled at 40."""
+    from sensorflow.operators import alerts
+
+    rows = [("a", i, 1000 + 4 * i, float(i + 1)) for i in range(10)] + [("a", 10, 1040, 0.0), ("b", 11, 1041, 1.0), ("b", 12, 1060, 2.0)]
+    df = spark.createDataFrame(rows, "k string, seq bigint, ts bigint, v double")
+    got = sorted((r["k"], r["seq"]) for r in alerts.rise_alert(df, "k", "seq", "ts", "v", 10).collect())
+    assert got == [("a", 0), ("a", 3), ("a", 6), ("b", 11), ("b", 12)]
+    end = spark.createDataFrame([("zz", 99, 10**6, -1.0)], df.schema)
+    for name, step in (("one", 13), ("many", 3)):
+        frames = [df.where((F.col("seq") >= i) & (F.col("seq") < i + step)) for i in range(0, 13, step)]
+        s = slices(spark, str(tmp_path / name), [*frames, end])
+        out = writers.stream_to_table(spark, S.rise_alert_stream(s, "k", "seq", "ts", "v", 10, "5 seconds"), str(tmp_path / f"{name}-o"), str(tmp_path / f"{name}-c"))
+        assert sorted((r["k"], r["seq"]) for r in out.collect()) == got
