@@ -1,7 +1,7 @@
 """Preference formatting: paired, masked completions over one shared prompt.
 
-The chosen and the rejected conversation of a pair are aligned turn by turn in
-a join on (pair, turn); the smallest turn that differs ends their longest
+The chosen and the rejected conversation of a pair are aligned turn by turn,
+by grouping on (pair, turn); the smallest turn that differs ends their longest
 common prefix. Turns before it are rendered once, from the chosen side, as the
 prompt; the others become the two completions. A mask names, run by run, how
 many characters belong to a turn and whether they are trained on: assistant
@@ -39,16 +39,23 @@ def format_preferences(turns: DataFrame, pair: Column, is_chosen: Column, turn_c
     ``prompt``, ``chosen``, ``rejected``, ``chosen_mask``, ``rejected_mask``;
     a mask is ``chars:0|1`` runs joined by commas.
     """
-    base = turns.select(pair.alias("pair_id"), is_chosen.alias("side"),
-                        F.coalesce(F.col(turn_col), F.lit(-1)).cast("long").alias("turn"),
-                        F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    msgs = base.groupBy("pair_id", "side", "turn").agg(F.sort_array(F.collect_set(F.struct("role", "text"))).alias("m"))
-    said = msgs.groupBy("pair_id", "turn").agg(F.max(F.when(F.col("side"), F.col("m"))).alias("c"),
-                                               F.max(F.when(~F.col("side"), F.col("m"))).alias("r"))
-    ends = said.groupBy("pair_id").agg(F.min(F.when(~F.col("c").eqNullSafe(F.col("r")), F.col("turn"))).alias("cut"),
-                                       F.count("c").alias("nc"), F.count("r").alias("nr"))
-    rows = said.join(ends.withColumnRenamed("pair_id", "_p"), F.col("pair_id").eqNullSafe(F.col("_p")))
+    turn = F.coalesce(F.col(turn_col), F.lit(-1)).cast("long")
+    base = turns.select(
+        F.coalesce(pair, F.lit(0)).alias("pair"), pair.isNull().alias("none"), F.floor(turn / F.lit(turns_per_row)).cast("long").alias("part"),
+        turn.alias("turn"), is_chosen.alias("side"),
+        F.struct(F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("m"))
+
+    def messages(side: Column) -> Column:
+        own = F.sort_array(F.collect_set(F.when(side, F.col("m"))))
+        return F.when(F.size(own) > 0, own)
+
+    # repeated rows are dropped before the first shuffle; texts move here and once more, to the rows of the result
+    key = ["pair", "none", "part"]
+    said = base.groupBy(*key, "turn").agg(messages(F.col("side")).alias("c"), messages(~F.col("side")).alias("r"))
+    ends = said.groupBy(*key).agg(F.min(F.when(~F.col("c").eqNullSafe(F.col("r")), F.col("turn"))).alias("cut"),
+                                  F.count("c").alias("nc"), F.count("r").alias("nr"))
+    whole = ends.groupBy("pair", "none").agg(F.min("cut").alias("cut"), F.sum("nc").alias("nc"), F.sum("nr").alias("nr"))
+    rows = said.join(ends.select(*key).join(whole, ["pair", "none"]), key)
     shared = F.col("cut").isNull() | (F.col("turn") < F.col("cut"))
 
     def text_of(m: Column) -> Column:
@@ -62,14 +69,12 @@ def format_preferences(turns: DataFrame, pair: Column, is_chosen: Column, turn_c
         full = F.filter("all", lambda x: x[name].isNotNull())
         return F.array_join(F.transform(full, lambda x: x[name]), sep)
 
-    part = F.floor(F.col("turn") / F.lit(turns_per_row)).cast("long") if turns_per_row else F.lit(0)
-    own = rows.select("pair_id", part.alias("part"), "nc", "nr", F.struct(
+    own = rows.select(*key, "nc", "nr", F.struct(
         "turn", F.when(shared, text_of(F.col("c"))).alias("p"),
         F.when(~shared, text_of(F.col("c"))).alias("c"), F.when(~shared, text_of(F.col("r"))).alias("r"),
         F.when(~shared, mask_of(F.col("c"))).alias("cm"), F.when(~shared, mask_of(F.col("r"))).alias("rm")).alias("row"))
-    lines = own.groupBy("pair_id", "part").agg(F.sort_array(F.collect_list("row")).alias("all"),
-                                               F.max("nc").alias("nc"), F.max("nr").alias("nr"))
+    lines = own.groupBy(*key).agg(F.sort_array(F.collect_list("row")).alias("all"), F.max("nc").alias("nc"), F.max("nr").alias("nr"))
     return lines.select(
-        "pair_id", "part", F.size(F.filter("all", lambda x: x["p"].isNotNull())).cast("long").alias("prompt_turns"),
+        F.when(~F.col("none"), F.col("pair")).alias("pair_id"), "part", F.size(F.filter("all", lambda x: x["p"].isNotNull())).cast("long").alias("prompt_turns"),
         joined("p").alias("prompt"), F.when(F.col("nc") > 0, joined("c")).alias("chosen"), F.when(F.col("nr") > 0, joined("r")).alias("rejected"),
         F.when(F.col("nc") > 0, joined("cm", ",")).alias("chosen_mask"), F.when(F.col("nr") > 0, joined("rm", ",")).alias("rejected_mask"))
