@@ -402,6 +402,37 @@ def q_sql_over_rows(spark, sf_dir):
         WINDOW ow AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 
 
+@register("rolling_reduce_fields", """
+SELECT event_id, user_id, ts, max(value) OVER w AS max_value, min(value) OVER w AS min_value, max(ts) OVER w AS last_ts,
+       count(value) OVER w AS cnt
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_rolling_reduce_fields(spark, sf_dir):
+    e = events(spark, sf_dir, "event_id", "user_id", "ts", "value")
+    out = rolling.rolling_reduce(e, "user_id", "event_id", {"max_value": ("max", "value"), "min_value": ("min", "value"),
+                                                            "last_ts": ("max", "ts"), "cnt": ("count", "value")})
+    return out.select("event_id", "user_id", "ts", "max_value", "min_value", "last_ts", "cnt")
+
+
+def _spread_of_window(rows):
+    """First and last reading of a window and its range, which needs the rows in order."""
+    import pandas as pd
+
+    rows = rows.sort_values("event_id")
+    return pd.DataFrame({"user_id": rows["user_id"].iloc[:1], "window_end": rows["window_end"].iloc[:1], "cnt": [len(rows)],
+                         "first_value": rows["value"].iloc[0], "last_value": rows["value"].iloc[-1]})
+
+
+@register("tumble_apply_rows", """
+SELECT user_id, time_bucket(INTERVAL 30 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 30 DAY AS window_end, count(*) AS cnt,
+       arg_min(value, event_id) AS first_value, arg_max(value, event_id) AS last_value
+FROM events GROUP BY 1, 2""")
+def q_tumble_apply_rows(spark, sf_dir):
+    e = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
+    kind = e.schema["user_id"].dataType.simpleString()
+    return windows.tumble_apply_rows(e, "user_id", "ts", "30 days", _spread_of_window,
+                                     f"user_id {kind}, window_end timestamp_ntz, cnt bigint, first_value double, last_value double")
+
+
 # ---------------------------------------------------------------- functions
 
 @register("java_hash", f"""

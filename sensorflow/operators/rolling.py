@@ -47,6 +47,17 @@ def rolling_reduce_max(df: DataFrame, key: str, order: str, value: str,
     return scan(df, [key], [order], [Run(name, "max", F.col(value))], segments)
 
 
+def rolling_reduce(df: DataFrame, key: str, order: str, fields: dict[str, tuple[str, str]], segments=None) -> DataFrame:
+    """``keyBy(key).reduce(f)`` for a reduce that merges field by field (A-4).
+
+    ``fields`` maps a result column to ``(kind, input column)``, kind one of
+    count, sum, max, min; the row's own columns stay next to them. The merges
+    are associative, so the scan needs no key in one place.
+    """
+    runs = [Run(name, kind, F.col(col)) for name, (kind, col) in fields.items()]
+    return scan(df, [key], [order], runs, segments)
+
+
 def changelog(df: DataFrame, key: str, order: str, value: str, segments=None,
               with_count: bool = True, sum_digits: int | None = None) -> DataFrame:
     """Retract/insert changelog of ``count(key), avg(value)`` per key (A-6).

@@ -49,6 +49,18 @@ def tumble_fold(df: DataFrame, key: str, time: str, size: str, fold: Fold,
     return fold_by(keyed, [key, "window_end"], fold, inputs)
 
 
+def tumble_apply_rows(df: DataFrame, key: str, time: str, size: str, fn, schema: str) -> DataFrame:
+    """``timeWindow(size).apply(fn)`` over all rows of a window (W-2): ``fn(rows)``
+    gets one key's rows of one window as a pandas frame, with ``window_end``,
+    and returns rows of ``schema``.
+
+    One task holds one window of one key, as the contract asks; a result that
+    can be merged belongs in :func:`tumble_fold`.
+    """
+    w = F.window(event_time(df, time), size)
+    return df.withColumn("window_end", as_ntz(w.end)).groupBy(key, "window_end").applyInPandas(fn, schema)
+
+
 def window_min_by(df: DataFrame, key: str, time: str, size: str, value: str, order: str) -> DataFrame:
     """``timeWindow(size).minBy(value)`` (W-4): the record with the smallest
     value per key and window, first record on ties, plus the window's count."""
