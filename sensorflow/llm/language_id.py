@@ -34,7 +34,7 @@ from sensorflow.llm import textbatch as tb
 from sensorflow.llm.columns import fresh
 
 DIM = 1 << 13
-SAMPLE_PER_LANG = 300
+SAMPLE_PER_LANG = 200
 EPOCHS = 12
 LEAST_SCORE = 0.3
 LETTER = re.compile(r"[^\W\d_]")
@@ -113,21 +113,25 @@ class Model:
         return lang, score
 
 
-def _svm(x: np.ndarray, y: np.ndarray, seed: int, lam: float = 1e-4, epochs: int = EPOCHS) -> np.ndarray:
-    """A linear machine by averaged stochastic sub-gradient steps on the hinge loss, classes weighted evenly."""
+def _svm(x: np.ndarray, of: np.ndarray, y: np.ndarray, seed: int, lam: float = 1e-4, epochs: int = EPOCHS) -> np.ndarray:
+    """A linear machine on rows ``of`` of x by averaged stochastic sub-gradient steps on the hinge loss, classes weighted
+    evenly; the last weight is the bias."""
     rng, n = np.random.default_rng(seed), len(y)
-    w, avg, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
+    w, avg, t = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), 0
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * n
     for _ in range(epochs):
         order = rng.permutation(n)
         for rows in np.array_split(order, max(1, n // 16)):
             t += 1
             step = 1 / (lam * (t + 100))
-            hit = (x[rows] @ w) * y[rows] < 1
+            part = x[of[rows]]
+            hit = (part @ w[:-1] + 0.1 * w[-1]) * y[rows] < 1
             w *= 1 - step * lam
             if hit.any():
                 r = rows[hit]
-                w += step * ((y[r] * weight[r]) @ x[r]) / len(rows)
+                pull = y[r] * weight[r] * step / len(rows)
+                w[:-1] += pull @ part[hit]
+                w[-1] += 0.1 * pull.sum()
             norm = np.sqrt(lam) * np.linalg.norm(w)
             if norm > 1:
                 w /= norm
@@ -166,12 +170,13 @@ def fit(x: np.ndarray, lang: list[str]) -> Model | None:
     if not langs:
         return None
     y = np.array([langs.index(v) for v in lang])
-    scale = 1 / max(1e-9, np.sqrt((x**2).sum(1).mean()))
-    xs = np.hstack([x * scale, np.full((len(x), 1), 0.1)]).astype(np.float32)
+    scale = 1 / max(1e-9, np.sqrt(np.einsum("ij,ij->i", x, x).mean()))
     fam = families(np.stack([x[y == i].mean(0) for i in range(len(langs))]))
 
+    x = x * np.float32(scale)
+
     def machine(rows, positive, seed):
-        w = _svm(xs[rows], np.where(positive[rows], 1.0, -1.0), seed)
+        w = _svm(x, rows, np.where(positive[rows], 1.0, -1.0), seed)
         w[:-1] *= scale
         w[-1] *= 0.1
         return w
@@ -204,7 +209,12 @@ def fit_model(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     if not got:
         return None
-    return fit(np.stack([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got])
+    x = np.empty((len(got), DIM), np.float32)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(r["x"], np.float32)
+    lang = [r["lang"] for r in got]
+    del got
+    return fit(x, lang)
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -8,7 +8,7 @@ in at most k shingles, hence in at most k parts, so of a set's N non-empty
 parts at least ``N - k`` agree with any partner. A signature is the content of
 one non-empty part; a pair must share at least ``N - k`` of them.
 
-* Documents with equal sets form a class first; one document of a class emits.
+* Documents with equal sets form a class, a node of the link graph.
 * Signatures travel as packed arrays, a row per (batch, bucket).
 * A signature of up to ``SMALL_RUN`` classes gives pairs, counted over all
   signatures and kept if they share enough. More frequent ones ("hot") give no
@@ -169,14 +169,23 @@ def _runs(sig: np.ndarray, node: np.ndarray, info: np.ndarray):
     return pairs, count, sig[hot], node[hot], info[hot]
 
 
-def candidates(reps: DataFrame, buckets: int) -> DataFrame:
-    """``reps``: class, text -> candidate edges (a, b) between classes."""
-    spark = reps.sparkSession
+def candidates(texts: DataFrame, buckets: int) -> DataFrame:
+    """``texts``: one text column -> candidate edges (a, b) between classes.
+
+    Every row emits, but of equal sets in a batch only one does; a bucket drops the rest. So copies need no shuffle
+    of texts, and as a text's signatures go to all buckets, a large class makes none of them larger than others.
+    """
+    spark = texts.sparkSession
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            node = batch.column(0).to_numpy()
-            for a, z, u, at in _sets(batch, 1):
+            for _, _, u, at in _sets(batch, 0):
+                node = set_hash(u, at).astype(np.int64)
+                _, first = np.unique(node, return_index=True)
+                keep = np.sort(first)
+                size = np.diff(at)
+                u, at = u[tb.ranges(at[keep], size[keep])], np.concatenate([[0], np.cumsum(size[keep])])
+                node = node[keep]
                 sig, e, doc, upper, need = signatures(u, at)
                 bucket = (sig >> U(40)).astype(np.int64) % buckets
                 order = np.argsort(bucket, kind="stable")
@@ -185,7 +194,7 @@ def candidates(reps: DataFrame, buckets: int) -> DataFrame:
                 rows = []
                 for x, y in zip(cuts[:-1], cuts[1:]):
                     own, n = np.unique(e[x:y], return_counts=True)  # entries are in order within a bucket
-                    rows.append((int(bucket[x]), _pack5(sig[x:y]), node[a:z][doc[own]].astype("<i8").tobytes(),
+                    rows.append((int(bucket[x]), _pack5(sig[x:y]), node[doc[own]].astype("<i8").tobytes(),
                                  n.astype("<u4").tobytes(), (need[own] * 2 + upper[own]).astype("<i8").tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))],
@@ -219,7 +228,7 @@ def candidates(reps: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield out()
 
-    packed = reps.mapInArrow(emit, "bucket int, sig binary, node binary, n binary, info binary")
+    packed = texts.mapInArrow(emit, "bucket int, sig binary, node binary, n binary, info binary")
     path = scratch_path(spark, "ngram-candidates")
     (packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
      .mapInArrow(meet, "hot boolean, a long, b long, ia long, ib long, n long").write.parquet(path))
@@ -376,7 +385,7 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
     texts = docs.select(F.col(id_col).isNull().alias("no"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("key"),
                         F.col(text_col).alias("text")).where("text is not null")
 
-    edges = candidates(classes.select("no", "key", "c").join(texts, ["no", "key"]).select("c", "text"), buckets)
+    edges = candidates(texts.select("text"), buckets)
     cluster = graph.components(edges)
     sizes = cluster.groupBy("root").agg(F.count("*").alias("n"))
     members = (cluster.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
