@@ -20,7 +20,7 @@ import pyarrow as pa
 from sensorflow.llm import textbatch as tb
 from sensorflow.llm.textbatch import ranges
 
-CACHE_UNITS = 1_500_000
+CACHE_UNITS = 800_000
 U = np.uint64
 
 _encoders: dict[str, "UnitEncoder"] = {}
