@@ -305,8 +305,11 @@ def verified(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     def shingle(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for a, z, u, at in _sets(batch, 4):
-                data = [u[x:y].astype("<u8").tobytes() for x, y in zip(at[:-1], at[1:])]
                 part = batch.slice(a, z - a)
+                # an id may have several texts; the class's own is meant
+                own = set_hash(u, at).astype(np.int64) == part.column(0).to_numpy()
+                data = [u[x:y].astype("<u8").tobytes() for x, y, ok in zip(at[:-1], at[1:], own) if ok]
+                part = part.filter(pa.array(own))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(data, pa.binary())], names=["c", "w", "cluster", "blocks", "set"])
 
     sets = members.mapInArrow(shingle, "c long, w long, cluster long, blocks long, set binary")
@@ -316,7 +319,7 @@ def verified(members: DataFrame, percent: int = PERCENT) -> DataFrame:
              .withColumns({"i": F.least("own", "_o"), "j": F.greatest("own", "_o")}).drop("_o", "blocks"))
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, seen = None, [], set()
 
         def out():
             i, j = now[1], now[2]
@@ -343,8 +346,10 @@ def verified(members: DataFrame, percent: int = PERCENT) -> DataFrame:
                 if (cluster, i, j) != now:
                     if len(held) > 1 and (got := out()) is not None:
                         yield got
-                    now, held = (cluster, i, j), []
-                held.append((c, w, o, data))
+                    now, held, seen = (cluster, i, j), [], set()
+                if c not in seen:  # a repeated row brings its text again
+                    seen.add(c)
+                    held.append((c, w, o, data))
         if len(held) > 1 and (got := out()) is not None:
             yield got
 
@@ -390,7 +395,7 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
     sizes = cluster.groupBy("root").agg(F.count("*").alias("n"))
     members = (cluster.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
                .join(classes, F.col("node") == F.col("c")).select("no", "key", "c", "w", F.col("root").alias("cluster"), "blocks"))
-    member_texts = members.join(texts, ["no", "key"]).select("c", "w", "cluster", "blocks", "text").dropDuplicates(["c"])
+    member_texts = members.join(texts, ["no", "key"]).select("c", "w", "cluster", "blocks", "text")
     checked = graph.saved(verified(member_texts, percent), "ngram-links")
     comp = graph.components(checked.where("b is not null"))
     degree = checked.where("links is not null").groupBy("a").agg(F.sum("links").alias("links"))

@@ -92,3 +92,14 @@ def test_words_and_shingles_match_plain_python():
     assert len(set(h.tolist())) == len(set(spelled))
     s, at = tb.shingles(h, first)
     assert np.diff(at).tolist() == [max(len(words(t)) - 4, min(1, len(words(t)))) for t in texts]
+
+
+def test_several_texts_of_one_id(spark):
+    """Rows are told apart by id and text; equal rows of one id count as copies."""
+    a, b = " ".join(prose(1, 40)), " ".join(prose(2, 40))
+    rows = [(5, a), (5, b), (5, b), (7, " ".join(edited(a.split(), 3, 1))), (8, b + " more")]
+    got = ngram_join.jaccard_components(documents(spark, rows)).collect()
+    want = sorted((r[0], *w) for r, w in zip(rows, jaccard_brute(rows)))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == want
+    kept = ngram_join.one_per_component(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b)])
