@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import decontaminate, language_id, lm_scoring, ngram_join, packing, preference_format, substring_dedup, token_files, topk_search, url_filters
+from sensorflow.llm import (centroid_clustering, decontaminate, importance_resampling, language_id, lm_scoring, ngram_join, packing,
+                            preference_format, simhash_dedup, substring_dedup, token_files, topk_search, url_filters)
+from sensorflow.llm.oracles import clustering_sql, resampling_sql
 from sensorflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +176,29 @@ def op5(spark, sf_dir):
 def op1(spark, sf_dir):
     """Attention-model and word-unigram scores of all documents."""
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@register("op11_simhash_near_dedup")
+def op11(spark, sf_dir):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Fixed by the contract of op12: documents of so many words may be drawn, a percentage of them is.
+RESAMPLING = {"buckets": 10_000, "least_words": 20, "percent": 10, "seed": 2024}
+
+
+@register("op12_importance_resampling", resampling_sql(**RESAMPLING))
+def op12(spark, sf_dir):
+    """Every document's weight towards the benchmark's word distribution, and its rank in the draw."""
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), runs=1, **RESAMPLING)
+
+
+#: Fixed by the contract of op13.
+CLUSTERING = {"k": 40, "rounds": 5, "dims": 64, "scale": 256, "seed": 2}
+
+
+@register("op13_centroid_clustering", clustering_sql(**CLUSTERING))
+def op13(spark, sf_dir):
+    """Cluster of every vector after five rounds, with the clusters' inertia and a digest of the centroids."""
+    return centroid_clustering.cluster_report(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", **CLUSTERING)
