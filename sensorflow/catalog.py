@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.fold import avg_fold, count_fold, fold_by
@@ -26,6 +26,7 @@ from sensorflow.plans.parallel import spread
 from sensorflow.plans.scan import quantile_bounds
 from sensorflow.schema import READING_SCHEMA
 from sensorflow.session import prepare, scratch_path
+from sensorflow.sinks import tables
 from sensorflow.sources import readers
 from sensorflow.sqlfuncs import register_sql_functions
 
@@ -38,6 +39,8 @@ WINDOW_SQL = "INTERVAL 6 HOUR"
 DELAY_S = 30 * 60
 LATENESS_S = 6 * 3600
 RISE_INTERVAL_S = 6 * 3600
+#: Allowed lateness of the out-of-order replay, short enough that some rows are late.
+REFIRE_S = 12 * 3600
 JUMP_THRESHOLD = 10.0
 HASH_FACTOR = 23
 FILTER_USER = 7
@@ -318,6 +321,31 @@ def q_changelog_count_avg(spark, sf_dir):
     return c.select("user_id", "event_id", "change_seq", "is_insert", "cnt", r6("avg_value").alias("avg_value"))
 
 
+@register("changelog_applied", ORACLE["group_count_avg"])
+def q_changelog_applied(spark, sf_dir):
+    """The changelog read back into the table it describes (SNK-7)."""
+    e = events(spark, sf_dir, "user_id", "event_id", "value")
+    c = rolling.changelog(e, "user_id", "event_id", "value", sum_digits=6).withColumn("avg_value", r6("avg_value"))
+    return tables.apply_changelog(c, ["user_id", "cnt", "avg_value"])
+
+
+def cents_over_mean() -> Column:
+    """A value as whole hundredths, less 50."""
+    return (F.round(F.col("value") * 100) - 5000).cast("bigint")
+
+
+@register("rolling_reduce_user", """
+WITH x AS (SELECT event_id, user_id, CAST(round(value * 100) AS BIGINT) - 5000 AS x FROM events),
+s AS (SELECT *, sum(x) OVER w AS s FROM x WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+m AS (SELECT *, least(0, coalesce(min(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM s)
+SELECT event_id, user_id, CAST(max(s - low) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS best FROM m""")
+def q_rolling_reduce_user(spark, sf_dir):
+    """A user's reduce that is not field by field (A-4): the best stretch of consecutive events so far."""
+    start, merge = rolling.best_stretch("best", cents_over_mean())
+    e = events(spark, sf_dir, "event_id", "user_id", "value")
+    return rolling.rolling_reduce_by(e, "user_id", "event_id", start, merge).select("event_id", "user_id", "best")
+
+
 # ---------------------------------------------------------------- windows
 
 @register("tumble_count", f"""

@@ -43,52 +43,59 @@ def _acc_cols(fold: Fold) -> list[str]:
     return [f.name for f in T._parse_datatype_string(fold.acc).fields]
 
 
+#: Accumulator rows a task holds before it passes them on; a group may then come out in several parts.
+MOST_GROUPS = 200_000
+
+
+def _folded(batches, to_accs, merge, most: int | None):
+    """Accumulators of a partition. Parts are merged once they are twice as long as the last merge's result, so merging
+    costs each row a bounded number of times; with ``most``, results that long are passed on."""
+    held, rows, last = [], 0, 0
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        held.append(to_accs(pdf))
+        rows += len(held[-1])
+        if rows >= max(2 * last, 4096):
+            run = merge(pd.concat(held, ignore_index=True))
+            held, rows, last = [run], len(run), len(run)
+            if most and last >= most:
+                yield run
+                held, rows, last = [], 0, 0
+    if held:
+        yield merge(pd.concat(held, ignore_index=True))
+
+
+def _merger(keys: list[str], fold: Fold):
+    cols = keys + _acc_cols(fold)
+    return lambda frame: fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()[cols]
+
+
 def fold_accumulate(df: DataFrame, keys: list[str], fold: Fold, inputs: list[str],
                     num_partitions: int | None = None, merged: bool = True) -> DataFrame:
     """Accumulators of ``fold`` per group: map-side partial fold, then (if
     ``merged``) one accumulator row per group after a shuffle by key. Already
     accumulated rows (same columns) can be unioned in before merging."""
-    key_ddl = _ddl(df.schema, keys)
-    acc_cols = _acc_cols(fold)
-
-    def _merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()
+    cols, merger = keys + _acc_cols(fold), _merger(keys, fold)
 
     def partial(batches):
-        run = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            part = fold.add(pdf.groupby(keys, sort=False, dropna=False)).reset_index()
-            run = part if run is None else _merge(pd.concat([run, part], ignore_index=True))
-        if run is not None:
-            yield run[keys + acc_cols]
+        add = lambda pdf: fold.add(pdf.groupby(keys, sort=False, dropna=False)).reset_index()[cols]
+        yield from _folded(batches, add, merger, MOST_GROUPS)
 
-    partials = df.select(*keys, *inputs).mapInPandas(partial, f"{key_ddl}, {fold.acc}")
+    partials = df.select(*keys, *inputs).mapInPandas(partial, f"{_ddl(df.schema, keys)}, {fold.acc}")
     return merge_accumulators(partials, keys, fold, num_partitions) if merged else partials
 
 
 def merge_accumulators(accs: DataFrame, keys: list[str], fold: Fold,
                        num_partitions: int | None = None) -> DataFrame:
     """Shuffle accumulator rows by key and merge them to one row per group."""
-    acc_cols = _acc_cols(fold)
-    schema = ", ".join([_ddl(accs.schema, keys), fold.acc])
-
-    def _merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()
+    merger = _merger(keys, fold)
 
     def merge(batches):
-        run = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = _merge(pdf)
-            run = m if run is None else _merge(pd.concat([run, m], ignore_index=True))
-        if run is not None:
-            yield run[keys + acc_cols]
+        yield from _folded(batches, lambda pdf: pdf, merger, None)
 
     shuffled = accs.repartition(num_partitions, *keys) if num_partitions else accs.repartition(*keys)
-    return shuffled.mapInPandas(merge, schema)
+    return shuffled.mapInPandas(merge, ", ".join([_ddl(accs.schema, keys), fold.acc]))
 
 
 def finish_accumulators(accs: DataFrame, keys: list[str], fold: Fold) -> DataFrame:
@@ -108,38 +115,7 @@ def finish_accumulators(accs: DataFrame, keys: list[str], fold: Fold) -> DataFra
 def fold_by(df: DataFrame, keys: list[str], fold: Fold, inputs: list[str],
             num_partitions: int | None = None) -> DataFrame:
     """Group ``df`` by ``keys`` and apply ``fold`` to ``inputs``."""
-    key_ddl = _ddl(df.schema, keys)
-    acc_cols = _acc_cols(fold)
-    res_cols = [f.name for f in T._parse_datatype_string(fold.result).fields]
-
-    def _merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return fold.merge(frame.groupby(keys, sort=False, dropna=False)).reset_index()
-
-    def partial(batches):
-        run = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            part = fold.add(pdf.groupby(keys, sort=False, dropna=False)).reset_index()
-            run = part if run is None else _merge(pd.concat([run, part], ignore_index=True))
-        if run is not None:
-            yield run[keys + acc_cols]
-
-    def final(batches):
-        run = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            merged = _merge(pdf)
-            run = merged if run is None else _merge(pd.concat([run, merged], ignore_index=True))
-        if run is not None:
-            out = fold.finish(run)
-            yield pd.concat([run[keys].reset_index(drop=True), out[res_cols].reset_index(drop=True)], axis=1)
-
-    partials = df.select(*keys, *inputs).mapInPandas(partial, f"{key_ddl}, {fold.acc}")
-    shuffled = (partials.repartition(num_partitions, *keys) if num_partitions
-                else partials.repartition(*keys))
-    return shuffled.mapInPandas(final, f"{key_ddl}, {fold.result}")
+    return finish_accumulators(fold_accumulate(df, keys, fold, inputs, num_partitions), keys, fold)
 
 
 def _round_half_up(s: pd.Series, digits: int) -> pd.Series:
@@ -173,3 +149,25 @@ def avg_fold(value: str, name: str = "avg_value", sum_digits: int | None = None)
 
     return Fold(acc="s double, n bigint", result=f"{name} double", add=add,
                 merge=lambda g: g[["s", "n"]].sum(), finish=finish)
+
+
+def min_by_fold(value: str, order: str, time_us: str) -> Fold:
+    """Rows, and the record with the smallest ``value`` (a null is smaller than any; ties: smallest ``order``):
+    ``cnt``, ``min_<value>``, ``min_<order>``, ``min_time`` (from microseconds)."""
+    def first(g, by: list[str]) -> pd.DataFrame:
+        frame = g.obj.assign(_g=g.ngroup()).sort_values(by, na_position="first", kind="mergesort").drop_duplicates("_g").sort_values("_g")
+        return frame.set_axis(g.size().index, axis=0)
+
+    def add(g):
+        f = first(g, [value, order])
+        return pd.DataFrame({"cnt": g.size(), "v": f[value], "o": f[order], "t": f[time_us]})
+
+    def merge(g):
+        f = first(g, ["v", "o"])
+        return pd.DataFrame({"cnt": g["cnt"].sum(), "v": f["v"], "o": f["o"], "t": f["t"]})
+
+    def finish(a):
+        return pd.DataFrame({"cnt": a["cnt"], f"min_{value}": a["v"], f"min_{order}": a["o"], "min_time": pd.to_datetime(a["t"].astype("int64"), unit="us")})
+
+    return Fold(acc="cnt bigint, v double, o bigint, t bigint",
+                result=f"cnt bigint, `min_{value}` double, `min_{order}` bigint, min_time timestamp_ntz", add=add, merge=merge, finish=finish)

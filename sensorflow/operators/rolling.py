@@ -7,9 +7,12 @@ value comes from the skew-safe segmented scan in :mod:`sensorflow.plans.scan`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.plans.prefix import Merge, prefix_scan
 from sensorflow.plans.scan import Run, scan
 
 _CHANGE_TYPE = "array<struct<change_seq:int,is_insert:boolean,cnt:bigint,avg_value:double>>"
@@ -58,6 +61,31 @@ def rolling_reduce(df: DataFrame, key: str, order: str, fields: dict[str, tuple[
     return scan(df, [key], [order], runs, segments)
 
 
+def rolling_reduce_by(df: DataFrame, key: str, order: str, start: dict[str, Column], merge: Merge, segments=None,
+                      n_segments: int | None = None) -> DataFrame:
+    """``keyBy(key).reduce(f)`` for any associative ``f`` (A-4): a value next to every row.
+
+    ``start`` gives a row's own accumulator columns, ``merge(left, right)`` takes two pandas frames of them (row by row
+    the earlier and the later part) and returns the merged ones. It may use all fields together and need not commute.
+    """
+    return prefix_scan(df.withColumns(start), key, order, list(start), merge, segments, n_segments)
+
+
+def best_stretch(name: str, value: Column) -> tuple[dict[str, Column], Merge]:
+    """A reduce that is not field by field: the largest sum of consecutive rows so far, as ``name`` (whole numbers).
+
+    A part is told by its total, its best beginning, its best ending and its best stretch; a stretch of the whole lies
+    in one part or is an ending of the left with a beginning of the right.
+    """
+    fields = [f"{name}_total", f"{name}_begin", f"{name}_end", name]
+    t, b, e, s = fields
+
+    def merge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({t: left[t] + right[t], b: np.maximum(left[b], left[t] + right[b]), e: np.maximum(right[e], right[t] + left[e]),
+                             s: np.maximum(np.maximum(left[s], right[s]), left[e] + right[b])})
+    return {f: value.cast("bigint") for f in fields}, merge
+
+
 def changelog(df: DataFrame, key: str, order: str, value: str, segments=None,
               with_count: bool = True, sum_digits: int | None = None) -> DataFrame:
     """Retract/insert changelog of ``count(key), avg(value)`` per key (A-6).

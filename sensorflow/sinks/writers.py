@@ -8,6 +8,7 @@ exactly-once without any driver-side collection.
 
 from __future__ import annotations
 
+import itertools
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from sensorflow.session import prepare
 
 BATCH = "_batch"
+_IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def print_sink(df: DataFrame, label: str | None = None, output_mode: str = "append"):
@@ -48,6 +50,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Data files right under a path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [st.getPath().getName() for st in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return sum(not n.startswith(("_", ".")) for n in names)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
@@ -69,9 +78,11 @@ def run_to_end(query, timeout_s: float | None = None) -> None:
 
 def stream_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str,
                     output_mode: str = "append", keys: list[str] | None = None,
-                    timeout_s: float | None = None) -> DataFrame:
+                    timeout_s: float | None = None, idle_batches: bool = True) -> DataFrame:
     """Run ``stream`` to the end of its input (``availableNow``) through an
     idempotent ``foreachBatch`` and return the result as a batch DataFrame.
+    A stream in processing-time mode (timers, cells with a time to live) always
+    asks for one more batch without data; ``idle_batches=False`` ends it.
 
     ``append``: every emitted row. ``update``: the last emitted row per
     ``keys`` (max by batch id; a partial aggregate, so no key is gathered
@@ -82,8 +93,13 @@ def stream_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoin
     def sink(batch: DataFrame, batch_id: int) -> None:
         _write_batch(batch, path, batch_id)
 
-    q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    before = spark.conf.get(_IDLE)
+    spark.conf.set(_IDLE, str(idle_batches).lower())  # a query keeps the settings it starts with
+    try:
+        q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(_IDLE, before)
     run_to_end(q, timeout_s)
     return read_batches(spark, path, stream.columns, output_mode, keys, stream.schema)
 
@@ -126,34 +142,42 @@ def upsert_state(spark: SparkSession, target: str, key: str, cols: list[str]) ->
 
 
 def upsert_dbapi(df: DataFrame, connect: Callable, table: str, key: str, cols: list[str],
-                 order: str | None = None) -> None:
-    """Keyed upsert into a DB-API database (SNK-3 with a real connection):
-    ``UPDATE … WHERE key = ?``, then ``INSERT`` if no row was updated.
-
-    The connection is opened once per partition and closed in ``finally``
-    (the reference's open/close). Rows are first reduced to the latest per
-    key so no two tasks touch the same key. ``connect`` must be picklable and
-    build its own connection on the executor; credentials come from the caller.
+                 order: str | None = None, rows_per_call: int = 500) -> None:
+    """Keyed upsert into a DB-API database (SNK-3 with a real connection).
+
+    Rows are first reduced to one per key (the latest by ``order``, else the
+    largest), so no two tasks touch the same key. A task then goes by
+    ``rows_per_call`` rows: one query for which of their keys exist, one batched
+    ``UPDATE`` for those, one batched ``INSERT`` for the others. The connection
+    is opened once per partition and closed in ``finally``. ``connect`` must be
+    picklable and build its own connection on the executor; credentials come
+    from the caller. Rows with a null key are an error, as a key cannot match them.
     """
-    rows = latest_in_batch(df, key, order, [key, *cols]) if order else df.select(key, *cols)
-    sets = ", ".join(f"{c} = ?" for c in cols)
-    upd = f"UPDATE {table} SET {sets} WHERE {key} = ?"
-    ins = f"INSERT INTO {table} ({key}, {', '.join(cols)}) VALUES ({', '.join('?' * (len(cols) + 1))})"
+    if order:
+        rows = latest_in_batch(df, key, order, [key, *cols])
+    else:
+        g = df.groupBy(key).agg(F.max(F.struct(*cols)).alias("_sf_last"))
+        rows = g.select(key, *[F.col(f"_sf_last.{c}").alias(c) for c in cols])
+    upd = f"UPDATE {table} SET {', '.join(f'{c} = ?' for c in cols)} WHERE {key} = ?"
+    ins = f"INSERT INTO {table} ({', '.join(cols)}, {key}) VALUES ({', '.join('?' * (len(cols) + 1))})"
 
     def run(it):
         conn = connect()
         try:
             cur = conn.cursor()
-            for r in it:
-                d = r.asDict()
-                cur.execute(upd, [d[c] for c in cols] + [d[key]])
-                if cur.rowcount == 0:
-                    cur.execute(ins, [d[key]] + [d[c] for c in cols])
+            while part := [tuple(r) for r in itertools.islice(it, rows_per_call)]:
+                if any(r[-1] is None for r in part):
+                    raise ValueError(f"null {key} in an upsert into {table}")
+                cur.execute(f"SELECT {key} FROM {table} WHERE {key} IN ({', '.join('?' * len(part))})", [r[-1] for r in part])
+                there = {r[0] for r in cur.fetchall()}
+                for sql, own in ((upd, [r for r in part if r[-1] in there]), (ins, [r for r in part if r[-1] not in there])):
+                    if own:
+                        cur.executemany(sql, own)
             conn.commit()
         finally:
             conn.close()
 
-    rows.foreachPartition(run)
+    rows.select(*cols, key).foreachPartition(run)
 
 
 def two_way_writer(main_path: str, side_path: str, is_side: Column) -> Callable:

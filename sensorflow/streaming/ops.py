@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorflow.functions.fold import avg_fold
 from sensorflow.operators.aggregates import words
 from sensorflow.schema import as_ntz, event_time, tumble_end
 from sensorflow.session import prepare
 from sensorflow.streaming import processors as P
+from sensorflow.streaming.cells import fold_stream
+from sensorflow.streaming.event_windows import US, clocked
 
 
 def _ddl(df: DataFrame, *names: str) -> str:
@@ -34,6 +37,16 @@ def running_count_stream(df: DataFrame, key: str, order) -> DataFrame:
         P.RunningCount(key, order), f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
 
 
+def running_count_many_keys_stream(df: DataFrame, key: str, order: list[str], buckets: int = 256) -> DataFrame:
+    """:func:`running_count_stream` where keys are many and mostly rare, such as words: state lies in ``buckets`` hash
+    buckets of keys, so a micro-batch makes one Python call a bucket instead of one a key."""
+    prepare(df.sparkSession)
+    src = df.select(key, *order, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("sf_bucket"))
+    return src.groupBy("sf_bucket").transformWithStateInPandas(
+        P.BucketRunningCount("sf_bucket", key, df.schema[key].dataType.simpleString(), order),
+        f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
+
+
 def rolling_max_by_stream(df: DataFrame, key: str, order: str, value: str, carry: list[str],
                           keep: list[str] | None = None) -> DataFrame:
     """Per-record rolling ``maxBy`` (A-3) and reduce-max (A-4): for each row the
@@ -82,22 +95,20 @@ def over_rows_stream(df: DataFrame, key: str, order: list[str], value: str, prec
 
 
 def avg_fold_stream(df: DataFrame, key: str, value: str, sum_digits: int | None = None) -> DataFrame:
-    """User aggregate on a stream (Spark rejects pandas UDAFs in streaming
-    aggregation); emits the updated result per key each batch (update mode)."""
-    prepare(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(
-        P.AvgFold(key, value, sum_digits), f"{_ddl(df, key)}, avg_value double", "Update", "None")
+    """The average as a user aggregate on a stream (Spark rejects pandas UDAFs in streaming aggregation); emits the
+    updated result per key each batch (update mode)."""
+    return fold_stream(df, key, avg_fold(value, sum_digits=sum_digits), [value])
 
 
 def rise_alert_stream(df: DataFrame, key: str, order: str, time: str, value: str,
                       interval_s: int, delay: str) -> DataFrame:
-    """Event-time rise alert (F-5): ``time`` must be a TIMESTAMP; the
-    watermark (``delay``) drives the timers."""
+    """Event-time rise alert (F-5); the watermark (``delay``) drives the timers. Rows behind the watermark come out
+    with ``late`` set instead of being dropped."""
     prepare(df.sparkSession)
-    src = df.withColumn(time, event_time(df, time)).withWatermark(time, delay)
+    src = clocked(df.select(key, order, time, value), time, delay).drop(time)
     return src.groupBy(key).transformWithStateInPandas(
-        P.RiseAlert(key, order, time, value, interval_s),
-        f"{_ddl(df, key, order)}, start_ts timestamp_ntz, alert_ts timestamp_ntz", "Append", "EventTime")
+        P.RiseAlert(key, order, US, value, interval_s),
+        f"{_ddl(df, key, order)}, start_ts timestamp_ntz, alert_ts timestamp_ntz, late boolean", "Append", "EventTime")
 
 
 def idle_timer_stream(df: DataFrame, key: str, delay_ms: int = 1000) -> DataFrame:
@@ -115,6 +126,8 @@ def event_window_min_stream(df: DataFrame, key: str, time: str, size: str, value
     watermark passes its end. Keeping the state for ``lateness`` longer is a
     watermark of ``delay + lateness``; in update mode each changed window is
     re-emitted (like the reference's re-firing), and the last emission is final.
+    Rows behind that watermark are dropped by Spark; where they are wanted,
+    :func:`streaming.event_windows.fold_windows_stream` gives them as a second output.
     """
     src = df.withColumn("_sf_et", event_time(df, time)) \
         .withWatermark("_sf_et", f"{delay_s + lateness_s} seconds")
@@ -190,100 +203,14 @@ def _retain(spark: SparkSession, path: str, batch_id: int) -> None:
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/_v={v}"), True)
 
 
-def running_count_batch_writer(spark: SparkSession, state_path: str, out_path: str, keys: list[str],
-                               order: list[str], name: str = "cnt"):
-    """``foreachBatch`` function: per-record running count per key across
-    micro-batches (A-2 on a stream with one output per record).
-
-    Within a batch the count is the skew-safe segmented scan (a hot key is
-    spread over many tasks, unlike a per-key stateful processor); the totals
-    of earlier batches come from a small versioned table (``_v=<batch id>``,
-    one row per key), joined in by key. A replayed batch re-reads the same
-    earlier version and overwrites its own output and version.
-    """
-    from sensorflow.operators.rolling import running_count
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _versions(spark, state_path) if v < batch_id]
-        b = batch.persist()
-        try:
-            local = running_count(b, keys, order, name)
-            counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-            if prev:
-                prior = spark.read.parquet(f"{state_path}/_v={prev[-1]}")
-                p = prior.select(*[F.col(k).alias(f"_sf_p_{k}") for k in keys], F.col(name).alias("_sf_prior"))
-                cond = [F.col(k).eqNullSafe(F.col(f"_sf_p_{k}")) for k in keys]
-                local = (local.join(p, cond, "left")
-                         .withColumn(name, F.col(name) + F.coalesce(F.col("_sf_prior"), F.lit(0)))
-                         .drop("_sf_prior", *[f"_sf_p_{k}" for k in keys]))
-                counts = counts.unionByName(prior).groupBy(*keys).agg(F.sum(name).cast("bigint").alias(name))
-            local.write.mode("overwrite").parquet(f"{out_path}/_batch={batch_id}")
-            counts.write.mode("overwrite").parquet(f"{state_path}/_v={batch_id}")
-            _retain(spark, state_path, batch_id)
-        finally:
-            b.unpersist()
-    return fn
-
-
-def window_fold_batch_writer(spark: SparkSession, base: str, key: str, time: str, size: str,
-                             delay_s: int, fold, inputs: list[str]):
-    """``foreachBatch`` function: a user fold per key and tumbling event-time
-    window on a stream (W-2 / UDF-4), fully vectorised.
-
-    Per micro-batch: rows of windows the watermark already closed go to the
-    late side output; the rest are folded map-side, merged with the open-window
-    accumulators of the previous batch (a versioned table ``state/_v=<id>``),
-    and every window whose end the new watermark (max event time − delay)
-    has passed is finished and emitted to ``out/_batch=<id>``. The others are
-    kept as the next version. A replayed batch rewrites its own outputs.
-    """
-    from sensorflow.functions.fold import finish_accumulators, fold_accumulate, merge_accumulators
-
-    keys = [key, "window_end"]
-    state, hwm_path = f"{base}/state", f"{base}/hwm"
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _versions(spark, hwm_path) if v < batch_id]
-        prev_hwm = spark.read.parquet(f"{hwm_path}/_v={prev[-1]}").first()["hwm"] if prev else None
-        et = event_time(batch, time)
-        rows = batch.select(key, as_ntz(F.window(et, size).end).alias("window_end"), et.alias("_sf_et"), *inputs)
-        closes = F.col("window_end") - F.expr("INTERVAL 1 MILLISECOND")
-        if prev_hwm is not None:
-            old_wm = F.lit(prev_hwm).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_s))
-            rows.where(closes <= old_wm).write.mode("overwrite").parquet(f"{base}/late/_batch={batch_id}")
-            rows = rows.where(closes > old_wm)
-        accs = fold_accumulate(rows, keys, fold, inputs, merged=False)
-        if prev:
-            accs = accs.unionByName(spark.read.parquet(f"{state}/_v={prev[-1]}"))
-        merged = merge_accumulators(accs, keys, fold).persist()
-        try:
-            top = batch.select(et.alias("t")).agg(F.max("t").alias("m")).first()["m"]
-            hwm = max(x for x in (prev_hwm, top) if x is not None) if (prev_hwm or top) else None
-            if hwm is not None:
-                wm = F.lit(hwm).cast("timestamp").cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(delay_s))
-                done = merged.where(closes <= wm)
-                keep = merged.where(closes > wm)
-            else:
-                done, keep = merged.limit(0), merged
-            finish_accumulators(done, keys, fold).write.mode("overwrite").parquet(f"{base}/out/_batch={batch_id}")
-            keep.write.mode("overwrite").parquet(f"{state}/_v={batch_id}")
-            spark.createDataFrame([(batch_id, hwm)], "batch_id bigint, hwm timestamp") \
-                .write.mode("overwrite").parquet(f"{hwm_path}/_v={batch_id}")
-            _retain(spark, state, batch_id)
-            _retain(spark, hwm_path, batch_id)
-        finally:
-            merged.unpersist()
-    return fn
-
-
 def over_rows_event_time_stream(df: DataFrame, key: str, time: str, seq: str, value: str,
                                 preceding: int, delay: str) -> DataFrame:
     """Exact event-time OVER window on a stream (W-8): rows are released in
     ``(time, seq)`` order once the watermark (``delay``) passes them; rows
-    behind the released point come out with ``late = true``."""
+    behind the released point come out with ``late = true``, none is dropped."""
     prepare(df.sparkSession)
-    src = df.withColumn(time, event_time(df, time)).withWatermark(time, delay)
+    src = clocked(df.select(key, time, seq, value), time, delay).drop(time)
     return src.groupBy(key).transformWithStateInPandas(
-        P.OverRowsEventTime(key, time, seq, value, preceding),
+        P.OverRowsEventTime(key, time, US, seq, value, preceding),
         f"{_ddl(df, key)}, `{time}` timestamp_ntz, {_ddl(df, seq)}, cnt bigint, avg_value double, late boolean",
         "Append", "EventTime")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorflow.operators.alerts import JAVA_DOUBLE_MIN_VALUE
+from sensorflow.streaming.event_windows import NO_TIME, Alarm, watermark_ms
 
 
 def _rows(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
@@ -50,6 +51,34 @@ class RunningCount(StatefulProcessor):
         pass
 
 
+class BucketRunningCount(StatefulProcessor):
+    """:class:`RunningCount` for very many keys (A-2, one output per word): the state of a hash bucket of keys is a map
+    from key to count, and only the keys of the batch are read and written. A bucket's rows are numbered together, so
+    the cost per key is two state calls."""
+
+    def __init__(self, bucket: str, key: str, key_ddl: str, order: list[str]):
+        self.bucket, self.key, self.key_ddl, self.order = bucket, key, key_ddl, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", f"k {self.key_ddl}", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, self.order)
+        own = pdf.groupby(self.key, sort=False, dropna=False)
+        within, sizes = own.cumcount() + 1, own.size()
+        base = []
+        for k, n in zip(sizes.index.tolist(), sizes.tolist()):
+            at = (None if pd.isna(k) else k,)
+            held = self.counts.getValue(at) if self.counts.containsKey(at) else (0,)
+            self.counts.updateValue(at, (held[0] + n,))
+            base.append(held[0])
+        cnt = within.to_numpy("int64") + np.array(base, "int64")[own.ngroup().to_numpy()]
+        yield pd.DataFrame({self.key: pdf[self.key], **{c: pdf[c] for c in self.order}, "cnt": cnt})
+
+    def close(self) -> None:
+        pass
+
+
 class JumpAlert(StatefulProcessor):
     """Change alert (F-3): ``(key, order, prev_value, value)`` when the jump
     from the previous reading is ``>= threshold``; the first reading only sets state."""
@@ -128,30 +157,6 @@ class OverRows(StatefulProcessor):
         yield pd.DataFrame(out)
 
 
-class AvgFold(StatefulProcessor):
-    """Streaming user aggregate (UDF-3 / UDF-4): accumulator ``(sum, count)``
-    per key in ValueState, result emitted per batch in update mode."""
-
-    def __init__(self, key: str, value: str, sum_digits: int | None = None):
-        self.key, self.value, self.sum_digits = key, value, sum_digits
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "s double, n bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        s, n = self.acc.get() if self.acc.exists() else (0.0, 0)
-        for pdf in rows:
-            v = pdf[self.value]
-            s += float(v.sum(min_count=0))
-            n += int(v.count())
-        self.acc.update((s, n))
-        total = s
-        if self.sum_digits is not None:
-            from decimal import ROUND_HALF_UP, Decimal
-            total = float(Decimal(repr(s)).quantize(Decimal(1).scaleb(-self.sum_digits), ROUND_HALF_UP))
-        yield pd.DataFrame({self.key: [key[0]], "avg_value": [total / n if n else None]})
-
-
 class RiseAlert(StatefulProcessor):
     """Continuous-rise alert with event-time timers (F-5).
 
@@ -161,67 +166,96 @@ class RiseAlert(StatefulProcessor):
     emits the alert at once if it is later. An expired timer emits the alert;
     so does a rising row that is later than the deadline, which then starts
     the next run.
-    Times are kept in microseconds; only the timer is rounded up to ms.
-    Output: ``(key, order of start, start_ts, alert_ts)``.
+    Times are microseconds; only the timer is rounded up to ms.
+    A row behind the watermark, or without an event time, takes no part: what
+    it would change may have been decided. It comes out with ``late`` set,
+    its own time as ``start_ts`` and no alert.
+    Output: ``(key, order of start, start_ts, alert_ts, late)``.
     """
 
-    def __init__(self, key: str, order: str, time: str, value: str, interval_s: int):
-        self.key, self.order, self.time, self.value = key, order, time, value
+    def __init__(self, key: str, order: str, us: str, value: str, interval_s: int):
+        self.key, self.order, self.us, self.value = key, order, us, value
         self.interval_us = interval_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "v double")
-        self.run = handle.getValueState(
-            "run", "o bigint, t bigint, deadline bigint, timer bigint, fired boolean")
+        self.run = handle.getValueState("run", "o bigint, t bigint, deadline bigint, timer bigint, fired boolean")
 
-    def _alert(self, key, o, t_us, deadline_us) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]], self.order: [o],
-                             "start_ts": [pd.Timestamp(t_us, unit="us")],
-                             "alert_ts": [pd.Timestamp(deadline_us, unit="us")]})
+    def _frame(self, key, order, start, alert, late: bool) -> pd.DataFrame:
+        return pd.DataFrame({self.key: [key[0]] * len(order), self.order: order, "start_ts": pd.to_datetime(start, unit="us"),
+                             "alert_ts": pd.to_datetime(alert, unit="us"), "late": late})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
+        wm = watermark_ms(timerValues)
+        parts = []
+        for pdf in rows:
+            us = pdf[self.us].to_numpy("int64")
+            late = (us == NO_TIME) | (us <= wm * 1000)
+            if late.any():
+                times = pd.Series(us[late]).where(us[late] != NO_TIME)
+                yield self._frame(key, pdf[self.order][late].to_numpy(), times, [None] * int(late.sum()), True)
+            parts.append(pdf[~late])
+        pdf = _rows(iter(parts), [self.order])
+        if not len(pdf):
+            return
         last = self.last.get()[0] if self.last.exists() else JAVA_DOUBLE_MIN_VALUE
         run = self.run.get() if self.run.exists() else None
-        out = []
-        ts_us = pdf[self.time].astype("datetime64[us]").astype("int64").tolist()
-        for o, t, v in zip(pdf[self.order].tolist(), ts_us, pdf[self.value].tolist()):
-            if v > last:
-                if run is not None and t > run[2]:
-                    ro, rt, deadline, timer, fired = run
-                    if not fired:
-                        self.handle.deleteTimer(timer)
-                        out.append(self._alert(key, ro, rt, deadline))
-                    run = None
+        v, t, o = pdf[self.value].to_numpy("float64"), pdf[self.us].to_numpy("int64"), pdf[self.order].to_numpy()
+        before = np.concatenate([[np.nan if last is None else last], v[:-1]])
+        rise = v > np.where(np.isnan(before), JAVA_DOUBLE_MIN_VALUE, before)  # after a null as at the start
+        falls = np.append(np.flatnonzero(~rise), len(v))  # ends of rising runs
+        alerts, at = [], 0
+        while at < len(v):
+            if rise[at]:
+                end = int(falls[np.searchsorted(falls, at)])
                 if run is None:
-                    deadline = int(t) + self.interval_us
-                    timer = -(-deadline // 1000)
-                    run = (int(o), int(t), deadline, timer, False)
-                    self.handle.registerTimer(timer)
-            elif run is not None:
-                ro, rt, deadline, timer, fired = run
-                if not fired:
-                    self.handle.deleteTimer(timer)
-                    if t > deadline:
-                        out.append(self._alert(key, ro, rt, deadline))
-                run = None
-            last = v
-        self.last.update((float(last),))
+                    run = self._start(o[at], t[at])
+                later = np.flatnonzero(t[at:end] > run[2])  # a rising row past the deadline
+                if len(later):
+                    at += int(later[0])
+                    alerts += self._end(run, True)
+                    run = self._start(o[at], t[at])
+                    at += 1
+                else:
+                    at = end
+            else:
+                if run is not None:
+                    alerts += self._end(run, t[at] > run[2])
+                    run = None
+                at += 1
+        self.last.update((None if np.isnan(v[-1]) else float(v[-1]),))
         if run is None:
             self.run.clear()
         else:
             self.run.update(run)
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        if alerts:
+            yield self._frame(key, *(list(x) for x in zip(*alerts)), False)
+
+    def _start(self, order, us) -> tuple:
+        deadline = int(us) + self.interval_us
+        timer = -(-deadline // 1000)
+        self.handle.registerTimer(timer)
+        return int(order), int(us), deadline, timer, False
+
+    def _end(self, run: tuple, alert: bool) -> list[tuple]:
+        """The run's alert, if it is due and was not given yet."""
+        order, us, deadline, timer, fired = run
+        if fired:
+            return []
+        self.handle.deleteTimer(timer)
+        return [(order, us, deadline)] if alert else []
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.run.exists():
             return
-        ro, rt, deadline, timer, fired = self.run.get()
+        order, us, deadline, timer, fired = self.run.get()
         if not fired and timer == expiredTimerInfo.getExpiryTimeInMs():
-            self.run.update((ro, rt, deadline, timer, True))
-            yield self._alert(key, ro, rt, deadline)
+            self.run.update((order, us, deadline, timer, True))
+            yield self._frame(key, [order], [us], [deadline], False)
+
+    def close(self) -> None:
+        pass
 
 
 class IdleTimer(StatefulProcessor):
@@ -344,68 +378,63 @@ class OverRowsEventTime(StatefulProcessor):
     released values from state. One event-time timer per key is pending at a
     time (at the earliest buffered row); when it fires, every buffered row
     behind the current watermark is released and the timer is re-armed at the
-    next buffered row. A row arriving behind the released point is late: it
-    is emitted with ``late = true`` and a frame of itself only.
+    next buffered row. A row that arrives behind the released point, or
+    without an event time, is late: it is emitted with ``late = true`` and a
+    frame of itself only. Counts are those of ``count(key)``: null values
+    count, a null key does not.
     """
 
-    def __init__(self, key: str, time: str, seq: str, value: str, preceding: int = 2):
-        self.key, self.time, self.seq, self.value, self.preceding = key, time, seq, value, preceding
+    def __init__(self, key: str, time: str, us: str, seq: str, value: str, preceding: int = 2):
+        self.key, self.time, self.us, self.seq, self.value, self.preceding = key, time, us, seq, value, preceding
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.buf = handle.getListState("buf", "t bigint, o bigint, v double")
         self.tail = handle.getListState("tail", "v double")
         self.point = handle.getValueState("point", "t bigint, o bigint")
-        self.timer = handle.getValueState("timer", "ms bigint")
+        self.alarm = Alarm(handle)
 
     def _emit(self, key, t, o, cnt, avg, late) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]] * len(t), self.time: pd.to_datetime(t, unit="us"),
-                             self.seq: o, "cnt": cnt, "avg_value": avg, "late": late})
-
-    def _arm(self, first_us: int) -> None:
-        ms = -(-first_us // 1000)
-        if self.timer.exists():
-            cur = self.timer.get()[0]
-            if cur <= ms:
-                return
-            self.handle.deleteTimer(cur)
-        self.handle.registerTimer(ms)
-        self.timer.update((ms,))
+        counts = np.asarray(cnt, "int64") * (key[0] is not None)
+        times = pd.Series(np.asarray(t, "int64"))
+        return pd.DataFrame({self.key: [key[0]] * len(o), self.time: pd.to_datetime(times.where(times != NO_TIME), unit="us"),
+                             self.seq: o, "cnt": counts, "avg_value": avg, "late": late})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        t = pdf[self.time].astype("datetime64[us]").astype("int64").tolist()
-        o = pdf[self.seq].astype("int64").tolist()
-        v = pdf[self.value].astype("float64").tolist()
-        point = tuple(self.point.get()) if self.point.exists() else None
-        late_rows, fresh = [], []
-        for row in zip(t, o, v):
-            (late_rows if point is not None and (row[0], row[1]) <= point else fresh).append(row)
-        if fresh:
-            self.buf.appendList([(int(a), int(b), float(c)) for a, b, c in fresh])
-            self._arm(min(a for a, _, _ in fresh))
-        if late_rows:
-            lt, lo, lv = zip(*late_rows)
-            yield self._emit(key, list(lt), list(lo), [1] * len(lt), list(lv), [True] * len(lt))
+        point = tuple(self.point.get()) if self.point.exists() else (NO_TIME, 0)
+        first = None
+        for pdf in rows:
+            t, o, v = pdf[self.us].to_numpy("int64"), pdf[self.seq].to_numpy("int64"), pdf[self.value].to_numpy("float64")
+            late = (t == NO_TIME) | (t < point[0]) | ((t == point[0]) & (o <= point[1]))
+            if late.any():
+                yield self._emit(key, t[late], o[late], np.ones(int(late.sum())), v[late], True)
+            keep = ~late
+            if keep.any():
+                self.buf.appendList([(a, b, None if np.isnan(c) else c) for a, b, c in zip(t[keep].tolist(), o[keep].tolist(), v[keep].tolist())])
+                first = int(t[keep].min()) if first is None else min(first, int(t[keep].min()))
+        if first is not None:
+            self.alarm.no_later_than(-(-first // 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
+        self.alarm.went_off()
         limit_us = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
-        pending = sorted(self.buf.get()) if self.buf.exists() else []
-        ready = [r for r in pending if r[0] <= limit_us]
-        rest = [r for r in pending if r[0] > limit_us]
-        if rest:
-            self.buf.put([tuple(r) for r in rest])
-            self._arm(rest[0][0])
+        pending = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [], columns=["t", "o", "v"])
+        pending["v"] = pending["v"].astype("float64")
+        due = pending["t"] <= limit_us
+        ready, rest = pending[due].sort_values(["t", "o"], kind="mergesort"), pending[~due]
+        if len(rest):
+            self.buf.put([(a, b, None if np.isnan(c) else c) for a, b, c in zip(*[rest[x].tolist() for x in ("t", "o", "v")])])
+            self.alarm.no_later_than(-(-int(rest["t"].min()) // 1000))
         else:
             self.buf.clear()
-        if not ready:
+        if not len(ready):
             return
         tail = [x[0] for x in self.tail.get()] if self.tail.exists() else []
-        vals = pd.Series(tail + [r[2] for r in ready])
-        w = vals.rolling(self.preceding + 1, min_periods=1)
-        cnt = w.count().iloc[len(tail):].astype("int64").tolist()
-        avg = w.mean().iloc[len(tail):].tolist()
-        self.tail.put([(float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
-        self.point.update((int(ready[-1][0]), int(ready[-1][1])))
-        yield self._emit(key, [r[0] for r in ready], [r[1] for r in ready], cnt, avg, [False] * len(ready))
+        vals = pd.Series([*tail, *ready["v"].tolist()], dtype="float64")
+        avg = vals.rolling(self.preceding + 1, min_periods=1).mean().iloc[len(tail):].tolist()
+        cnt = np.minimum(np.arange(len(tail) + 1, len(vals) + 1), self.preceding + 1)
+        self.tail.put([(None if np.isnan(x) else float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
+        self.point.update((int(ready["t"].iloc[-1]), int(ready["o"].iloc[-1])))
+        yield self._emit(key, ready["t"], ready["o"].tolist(), cnt, avg, False)
+
+    def close(self) -> None:
+        pass

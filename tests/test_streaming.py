@@ -203,17 +203,14 @@ def test_rolling_max_by_and_changelog_stream(spark, readings, sliced, tmp_path):
 
 def test_window_fold_stream(spark, readings, sliced, tmp_path):
     from sensorflow.functions.fold import count_fold
+    from sensorflow.streaming.event_windows import fold_windows_stream
     from tests.test_windows import W15
     # the end marker is the last file of the replay, so it arrives in the last micro-batch
     spark.createDataFrame([(99, "__end__", 4102444800, 0.0)], readings.schema).coalesce(1) \
         .write.mode("append").parquet(sliced)
     s = _stream(spark, readings, sliced)
-    base = str(tmp_path / "wf")
-    fn = S.window_fold_batch_writer(spark, base, "id", "timestamp", "15 seconds", 62, count_fold("cnt"), [])
-    q = s.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start()
-    q.awaitTermination(300)
-    out = spark.read.parquet(f"{base}/out").where("id <> '__end__'") \
-        .withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1547718000)
+    out = _run(spark, fold_windows_stream(s, "id", "timestamp", "15 seconds", count_fold("cnt"), [], "seq", "62 seconds"), tmp_path)
+    out = out.where("id <> '__end__'").withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1547718000)
     assert collect(out, "id", "end_s", "cnt") == [w[:3] for w in W15]
 
 
