@@ -66,7 +66,8 @@ def rise_alert(df: DataFrame, key: str, order: str, time: str, value: str,
     kind = rows.schema["_sf_rows"].dataType.simpleString()
     starts = F.aggregate("_sf_rows", F.array().cast(kind), lambda done, r: F.when(
         (F.size(done) == 0) | (r["t"] > F.element_at(done, -1)["t"] + wait), F.concat(done, F.array(r))).otherwise(done))
-    fired = (rows.select(key, "_sf_brk", F.explode(starts).alias("s"))
-             .where(F.col("_sf_brk").isNull() | (F.col("_sf_brk") > F.col("s.t") + wait)))
+    # a row that sets the next timer is later than this one's deadline; only the last timer depends on the break
+    fired = (rows.withColumn("_sf_starts", starts).select(key, "_sf_brk", F.size("_sf_starts").alias("_sf_n"), F.posexplode("_sf_starts").alias("i", "s"))
+             .where((F.col("i") < F.col("_sf_n") - 1) | F.col("_sf_brk").isNull() | (F.col("_sf_brk") > F.col("s.t") + wait)))
     return fired.select(key, F.col("s.o").alias(order), as_ntz(F.col("s.t")).alias("start_ts"),
                         as_ntz(F.col("s.t") + wait).alias("alert_ts"))

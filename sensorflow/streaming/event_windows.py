@@ -69,7 +69,7 @@ class Alarm:
 
 def plain(v):
     """A cell of a pandas frame as state and Arrow take it."""
-    if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and np.isnan(v)):
         return None
     return v.item() if isinstance(v, np.generic) else v
 
@@ -285,7 +285,7 @@ class RowWindows(StatefulProcessor):
                     yield self._aside(key[0], pdf[pick], tag)
             keep = ~untimed & ~late
             if keep.any():
-                self.rows.appendList(tuples(pdf[keep].assign(w=start[keep]), ["w", *self.cols]))
+                self.rows.appendList(tuples(typed(pdf[keep], self.whole).assign(w=start[keep]), ["w", *self.cols]))
                 first = int(start[keep].min()) if first is None else min(first, int(start[keep].min()))
         if first is not None:
             self.alarm.no_later_than(first + self.size_ms - 1)

@@ -142,7 +142,7 @@ def test_rise_alert_gives_late_rows(spark, tmp_path):
 
 def test_over_rows_counts_like_the_batch_form(spark, tmp_path):
     """Null values count, null keys do not, and the rows that come too late for their place come out."""
-    parts = batches(4)
+    parts = batches(4, jitter=300)
     out = replay(spark, tmp_path, parts, lambda d: S.over_rows_event_time_stream(d, "k", "ts", "seq", "v", 2, "10 minutes"))
     assert out.count() == len(flat(parts))
     late = {r["seq"] for r in out.where("late").collect()}
