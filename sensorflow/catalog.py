@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.fold import avg_fold, count_fold, fold_by
+from sensorflow.functions.sqlfold import register_fold
 from sensorflow.functions.text import java_hash
 from sensorflow.operators import aggregates as agg
 from sensorflow.operators import alerts, late, lateral, rolling, transforms, windows
@@ -255,6 +256,16 @@ def q_udaf_avg_temp(spark, sf_dir):
     return f.select("user_id", r6("avg_value").alias("avg_value"))
 
 
+@register("sql_udaf_avg", ORACLE["udaf_avg_temp"])
+def q_sql_udaf_avg(spark, sf_dir):
+    """A user aggregate called from SQL (UDF-3), folded where the rows are and merged by key."""
+    e = events(spark, sf_dir, "user_id", "value")
+    register_fold(prepare(spark), "avg_temp", avg_fold("value", sum_digits=6), "user_id", e.schema["user_id"].dataType.simpleString())
+    e.createOrReplaceTempView("sf_readings")
+    out = spark.sql("SELECT * FROM avg_temp(TABLE(SELECT * FROM avg_temp_partial(TABLE(SELECT user_id, value FROM sf_readings))) PARTITION BY user_id)")
+    return out.select("user_id", r6("avg_value").alias("avg_value"))
+
+
 @register("latest_per_key", """
 SELECT user_id, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY user_id""")
 def q_latest_per_key(spark, sf_dir):

@@ -22,7 +22,7 @@ from sensorflow.functions.fold import count_fold, min_by_fold
 from sensorflow.operators import rolling
 from sensorflow.session import prepare, scratch_path
 from sensorflow.sinks import tables
-from sensorflow.sinks.writers import file_count, read_batches, run_to_end, stream_to_table
+from sensorflow.sinks.writers import file_count, path_exists, read_batches, run_to_end, run_until, stream_to_table
 from sensorflow.sources.readers import read_table_stream
 from sensorflow.streaming import cells, event_windows as W
 from sensorflow.streaming import ops as S
@@ -412,3 +412,56 @@ def q_changelog_applied_stream(spark, sf_dir):
                 .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     _replay(e, "changelog-table", start)
     return made["table"].read().select("user_id", "cnt", C.r6("avg_value").alias("avg_value"))
+
+
+# ------------------------------------------------- timers and operator state
+
+IDLE_MS, IDLE_LIMIT_S = 500, 300
+
+
+@register("idle_timer_stream", "SELECT DISTINCT user_id FROM events")
+def q_idle_timer_stream(spark, sf_dir):
+    """Processing-time timers (F-4): every key's timer fires some time after its rows. The stream runs on a
+    processing-time trigger until each key has fired; the result is the keys, as the times are the clock's."""
+    e = _slices(spark, sf_dir, "events", ["user_id"])
+    keys = e.rows.select("user_id").distinct().count()
+
+    def start(stream, base):
+        q = (S.idle_timer_stream(stream, "user_id", IDLE_MS).writeStream
+             .foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{base}/out/_batch={k}"))
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="1 second").start())
+
+        def fired() -> bool:
+            done = [n for n in range((q.lastProgress or {"batchId": -1})["batchId"] + 1) if path_exists(spark, f"{base}/out/_batch={n}/_SUCCESS")]
+            return bool(done) and spark.read.schema(e.rows.schema).parquet(*[f"{base}/out/_batch={n}" for n in done]) \
+                .select("user_id").distinct().count() == keys
+        run_until(q, (lambda: True) if not keys else fired, IDLE_LIMIT_S)
+        return q
+    base = _replay(e, "idle-timer", start)
+    rows = spark.read.schema(e.rows.schema).parquet(f"{base}/out") if keys else e.rows
+    return rows.select("user_id").distinct()
+
+
+BEFORE, AFTER = 4, 3
+HALF = "2024-01-16 00:00:00"
+
+
+@register("operator_count_stream", f"""
+SELECT 'before' AS run, {BEFORE} AS instances, count(*) AS total FROM events WHERE ts < TIMESTAMP '{HALF}'
+UNION ALL SELECT 'after', {AFTER}, count(*) FROM events""")
+def q_operator_count_stream(spark, sf_dir):
+    """Operator state that survives a change of parallelism (F-2): the rows before a time are counted by four instances,
+    the others by three that start from the four's parts."""
+    e = C.events(spark, sf_dir, "event_id", "ts")
+    base = scratch_path(prepare(spark), "operator-count")
+    early = F.coalesce(F.col("ts") < F.lit(HALF).cast("timestamp_ntz"), F.lit(False))
+    out, parts = None, None
+    for run, pick, n in (("before", early, BEFORE), ("after", ~early, AFTER)):
+        e.where(pick).write.parquet(f"{base}/{run}/source")
+        stream = read_table_stream(spark, f"{base}/{run}/source", e.schema)
+        got = stream_to_table(spark, cells.instance_count_stream(stream, ["event_id"], n, parts), f"{base}/{run}/out", f"{base}/{run}/checkpoint",
+                              "update", ["instance"])
+        told = got.agg(F.sum("cnt").alias("total")).select(F.lit(run).alias("run"), F.lit(n).alias("instances"), F.coalesce("total", F.lit(0)).alias("total"))
+        out = told if out is None else out.unionByName(told)
+        parts = cells.saved_parts(spark, f"{base}/{run}/checkpoint")
+    return out

@@ -9,6 +9,7 @@ exactly-once without any driver-side collection.
 from __future__ import annotations
 
 import itertools
+import time
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +77,21 @@ def run_to_end(query, timeout_s: float | None = None) -> None:
         raise TimeoutError(f"the stream did not reach the end of its input in {timeout_s} s")
 
 
+def run_until(query, done: Callable[[], bool], timeout_s: float, every_s: float = 0.5) -> None:
+    """Let a query without an end run until ``done()``, then stop it. A query that fails raises, and so does one that is
+    not done after ``timeout_s``."""
+    end = time.monotonic() + timeout_s
+    try:
+        while not done():
+            if query.exception() is not None:
+                raise query.exception()
+            if time.monotonic() > end:
+                raise TimeoutError(f"the stream did not meet its stop condition in {timeout_s} s")
+            time.sleep(every_s)
+    finally:
+        query.stop()
+
+
 def stream_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str,
                     output_mode: str = "append", keys: list[str] | None = None,
                     timeout_s: float | None = None, idle_batches: bool = True) -> DataFrame:

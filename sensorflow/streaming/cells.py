@@ -15,7 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorflow.functions.fold import Fold
@@ -197,3 +198,45 @@ def rolling_reduce_by_stream(df: DataFrame, key: str, order: str, start: dict[st
     ddl = lambda names: ", ".join(f"`{n}` {whole.schema[n].dataType.simpleString()}" for n in names)
     processor = RollingReduce(order, list(start), ddl(start), merge, whole.columns)
     return whole.groupBy(key).transformWithStateInPandas(processor, ddl(whole.columns), "Append", "None")
+
+
+class InstanceCount(StatefulProcessor):
+    """Operator state (F-2 on a stream): each parallel instance counts its rows and keeps the count as a list of parts.
+    On a restore an instance gets any number of parts, which it adds up."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.parts = handle.getListState("parts", "n bigint")
+
+    def _held(self) -> int:
+        return sum(p[0] for p in self.parts.get()) if self.parts.exists() else 0
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.parts.appendList([(int(n),) for n in initialState["n"].tolist()])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        total = self._held() + sum(len(pdf) for pdf in rows)
+        self.parts.put([(total,)])
+        yield pd.DataFrame({"instance": [key[0]], "cnt": [total]})
+
+    def close(self) -> None:
+        pass
+
+
+def instance_count_stream(df: DataFrame, spread_by: list[str], parallelism: int, parts: DataFrame | None = None) -> DataFrame:
+    """Rows counted by ``parallelism`` instances (update mode: ``instance``, ``cnt`` of all its rows so far).
+
+    ``parts``: what :func:`saved_parts` found in another run's checkpoint, of whatever parallelism; the parts are dealt
+    round robin to the instances, so the counts go on where that run stopped.
+    """
+    prepare(df.sparkSession)
+    src = df.select(F.pmod(F.xxhash64(*spread_by), F.lit(parallelism)).cast("int").alias("instance"))
+    begin = None
+    if parts is not None:
+        begin = parts.select((F.pmod(F.col("part"), F.lit(parallelism))).cast("int").alias("instance"), "n").groupBy("instance")
+    return src.groupBy("instance").transformWithStateInPandas(InstanceCount(), "instance int, cnt bigint", "Update", "None", initialState=begin)
+
+
+def saved_parts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``part`` (0, 1, …; one an instance) and ``n`` of the instance counts in a checkpoint."""
+    held = read_cell(spark, checkpoint, "parts").select(F.col("key.instance").alias("instance"), F.col("list_element.n").alias("n"))
+    return held.select((F.row_number().over(Window.orderBy("instance", "n")) - 1).alias("part"), "n")  # a row an instance
