@@ -192,12 +192,16 @@ def fit(x: np.ndarray, lang: list[str]) -> Model | None:
 
 
 def fit_model(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int = SAMPLE_PER_LANG) -> Model | None:
-    """Fit on at most ``per_lang`` labelled rows of each language (smallest hash of the id)."""
-    w = Window.partitionBy(lang_col).orderBy("_h", id_col)
-    chosen = (labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .withColumn("_h", F.xxhash64(F.col(id_col).cast("string"))).select(id_col, lang_col, "_h")
-              .withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_lang).select(id_col, F.col(lang_col).alias("_lang")))
-    rows = labelled.join(F.broadcast(chosen.dropDuplicates([id_col])), id_col).select("_lang", text_col)
+    """Fit on at most ``per_lang`` rows of each language that have a label and a text (smallest hash of the id); of equal
+    rows one counts."""
+    w = Window.partitionBy(lang_col).orderBy("_h", id_col, "_t")
+    named = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).withColumn("_t", F.xxhash64(text_col))
+    row = [lang_col, "_no", "_id", "_t"]
+    named = named.withColumns({"_no": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
+    chosen = (named.withColumn("_h", F.xxhash64("_id")).select(*row, id_col, "_h")
+              .withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_lang).select(*row).distinct())
+    # at most per_lang rows a language are chosen; equal rows are one before they are shuffled
+    rows = named.join(F.broadcast(chosen), row).groupBy(*row).agg(F.first(text_col).alias(text_col)).select(F.col(lang_col).alias("_lang"), text_col)
 
     def vectors(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:

@@ -49,7 +49,7 @@ PARTS_PER_SHINGLE = 0.6
 SMALL_RUN = 16
 BLOCK = 256
 #: Bytes of text a bucket of signatures stands for.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 U = np.uint64
 
 
@@ -132,41 +132,51 @@ def _pack5(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
-def _unpack5(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
+def _unpack5(b: bytes | pa.Buffer) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8).reshape(-1, 5)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :5] = raw
     return out.view("<u8").reshape(-1)
 
 
-def _runs(sig: np.ndarray, node: np.ndarray, info: np.ndarray):
-    """Candidates of one bucket. ``info`` = need * 2 + upper. Returns pairs and hot memberships."""
-    order = np.lexsort((node, sig))
-    sig, node, info = sig[order], node[order], info[order]
+def _entities(node: np.ndarray, info: np.ndarray):
+    """Distinct (node, info), in order, and the number of each row's: (number, nodes, infos)."""
+    order = np.lexsort((info, node))
+    n, i = node[order], info[order]
+    new = np.ones(len(n), bool)
+    new[1:] = (n[1:] != n[:-1]) | (i[1:] != i[:-1])
+    number = np.empty(len(n), np.uint32)
+    number[order] = (np.cumsum(new) - 1).astype(np.uint32)
+    return number, n[new], i[new]
+
+
+def _runs(sig: np.ndarray, own: np.ndarray, nodes: np.ndarray, infos: np.ndarray):
+    """Candidates of one bucket; ``own`` numbers each signature's (node, info), info = need * 2 + upper.
+
+    Returns pairs of numbers with their counts, and hot signatures with the numbers of their members.
+    """
+    order = np.lexsort((own, sig))
+    sig, own = sig[order], own[order]
+    del order
+    keep = np.ones(len(sig), bool)
+    keep[1:] = (sig[1:] != sig[:-1]) | (nodes[own[1:]] != nodes[own[:-1]])
+    sig, own = sig[keep], own[keep]
     keep = np.ones(len(sig), bool)
-    keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    sig, node, info = sig[keep], node[keep], info[keep]
-    new = np.ones(len(sig), bool)
-    new[1:] = sig[1:] != sig[:-1]
-    run = np.cumsum(new) - 1
-    size = np.bincount(run)
-    hot = size[run] > SMALL_RUN
-    some = (size[run] > 1) & ~hot
-    s, n, i = run[some], node[some], info[some]
-    left, right = [], []
+    keep[1:] = sig[1:] != sig[:-1]
+    size = np.diff(np.append(np.flatnonzero(keep), len(sig)))
+    hot = np.repeat(size > SMALL_RUN, size)
+    some = np.repeat((size > 1) & (size <= SMALL_RUN), size)
+    s, e = sig[some], own[some]
+    upper = (infos & 1).astype(bool)
+    found = []
     for d in range(1, SMALL_RUN):
         at = np.flatnonzero(s[d:] == s[:-d])
         if not len(at):
             break
-        at = at[((i[at] & 1) == 0) | ((i[at + d] & 1) == 0)]  # two larger partners meet in their own index
-        left.append(at)
-        right.append(at + d)
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    if len(a):
-        key = np.stack([n[a], n[b], i[a], i[b]], 1)
-        pairs, count = np.unique(key, axis=0, return_counts=True)
-    else:
-        pairs, count = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)
-    return pairs, count, sig[hot], node[hot], info[hot]
+        at = at[~(upper[e[at]] & upper[e[at + d]])]  # two larger partners meet in their own index
+        found.append(e[at].astype(U) << U(32) | e[at + d].astype(U))
+    pairs, count = np.unique(np.concatenate(found) if found else np.zeros(0, U), return_counts=True)
+    return (pairs >> U(32)).astype(np.int64), (pairs & U(0xFFFFFFFF)).astype(np.int64), count, sig[hot], own[hot]
 
 
 def candidates(texts: DataFrame, buckets: int) -> DataFrame:
@@ -206,25 +216,24 @@ def candidates(texts: DataFrame, buckets: int) -> DataFrame:
 
         def out():
             sig = np.concatenate([_unpack5(x[0]) for x in held])
-            n = np.concatenate([np.frombuffer(x[2], "<u4") for x in held]).astype(np.int64)
-            node = np.repeat(np.concatenate([np.frombuffer(x[1], "<i8") for x in held]), n)
-            info = np.repeat(np.concatenate([np.frombuffer(x[3], "<i8") for x in held]), n)
-            pairs, count, hs, hn, hi = _runs(sig, node, info)
-            m, k = len(pairs), len(hs)
+            n = np.concatenate([np.frombuffer(x[2], "<u4") for x in held])
+            own, nodes, infos = _entities(*(np.concatenate([np.frombuffer(x[k], "<i8") for x in held]) for k in (1, 3)))
+            held.clear()
+            a, b, count, hs, he = _runs(sig, np.repeat(own, n), nodes, infos)
+            m, k = len(a), len(hs)
             col = lambda p, h: pa.array(np.concatenate([p, h]).astype(np.int64))
             full = hs.astype(np.int64) * np.int64(buckets) + np.int64(now)
             zero = np.zeros(k, np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(m + k) >= m), col(pairs[:, 0], hn), col(pairs[:, 1], full), col(pairs[:, 2], hi), col(pairs[:, 3], zero), col(count, zero)],
+                [pa.array(np.arange(m + k) >= m), col(nodes[a], nodes[he]), col(nodes[b], full), col(infos[a], infos[he]), col(infos[b], zero), col(count, zero)],
                 names=["hot", "a", "b", "ia", "ib", "n"])
 
         for batch in it:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if row[0] != now and held:
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                if bucket != now and held:
                     yield out()
-                    held = []
-                now = row[0]
-                held.append(row[1:])
+                now = bucket
+                held.append(tuple(c[i].as_buffer() for c in batch.columns[1:]))
         if held:
             yield out()
 

@@ -67,10 +67,11 @@ def test_signatures_of_similar_sets_meet(size):
         u, off = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
         sig, e, doc, upper, need = ngram_join.signatures(u, off)
         node = doc[e]
-        pairs, count, _, _, _ = ngram_join._runs(sig, node, need[e] * 2 + upper[e])
-        if (pairs[:, 0] == pairs[:, 1]).all():
+        own, nodes, infos = ngram_join._entities(node, need[e] * 2 + upper[e])
+        x, y, count, _, _ = ngram_join._runs(sig, own, nodes, infos)
+        if (nodes[x] == nodes[y]).all():
             pytest.fail("similar sets share no signature")
-        assert max(c - max(p[2] >> 1, p[3] >> 1) for p, c in zip(pairs, count)) >= 0
+        assert max(c - max(p >> 1, q >> 1) for p, q, c in zip(infos[x], infos[y], count)) >= 0
 
 
 def test_components(spark):
