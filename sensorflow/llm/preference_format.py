@@ -7,10 +7,11 @@ prompt; the others become the two completions. A mask names, run by run, how
 many characters belong to a turn and whether they are trained on: assistant
 turns of a completion are, everything else is not.
 
-Conversations are never gathered whole: a result row covers
-``TURNS_PER_ROW`` turn numbers of a pair (``part`` counts them from 0), so a
-conversation of any length is spread over bounded groups; usual conversations
-give one row per pair.
+A pair gives one row. Its turns are put together in two steps: blocks of
+``BLOCK_TURNS`` turn numbers become strings first, spread over tasks, and only
+these strings meet in the pair's row. With ``split_rows`` a row covers one
+block instead (``part`` counts them from 0), for conversations that should not
+be one row.
 
 Edge cases: exactly repeated turn rows count once; several messages of one
 turn are rendered in order of role and text. A null text is empty, a null
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TURNS_PER_ROW = 512
+BLOCK_TURNS = 512
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -32,16 +33,16 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def format_preferences(turns: DataFrame, pair: Column, is_chosen: Column, turn_col: str = "turn", role_col: str = "role",
-                       text_col: str = "text", turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
+                       text_col: str = "text", block_turns: int = BLOCK_TURNS, split_rows: bool = False) -> DataFrame:
     """``pair``: pair id of a turn row; ``is_chosen``: whether it belongs to the chosen side.
 
-    Returns ``pair_id``, ``part``, ``prompt_turns`` (those of this part),
-    ``prompt``, ``chosen``, ``rejected``, ``chosen_mask``, ``rejected_mask``;
-    a mask is ``chars:0|1`` runs joined by commas.
+    Returns ``pair_id``, ``prompt_turns``, ``prompt``, ``chosen``,
+    ``rejected``, ``chosen_mask``, ``rejected_mask``, and with ``split_rows``
+    ``part``; a mask is ``chars:0|1`` runs joined by commas.
     """
     turn = F.coalesce(F.col(turn_col), F.lit(-1)).cast("long")
     base = turns.select(
-        F.coalesce(pair, F.lit(0)).alias("pair"), pair.isNull().alias("none"), F.floor(turn / F.lit(turns_per_row)).cast("long").alias("part"),
+        F.coalesce(pair, F.lit(0)).alias("pair"), pair.isNull().alias("none"), F.floor(turn / F.lit(block_turns)).cast("long").alias("part"),
         turn.alias("turn"), is_chosen.alias("side"),
         F.struct(F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("m"))
 
@@ -74,7 +75,18 @@ def format_preferences(turns: DataFrame, pair: Column, is_chosen: Column, turn_c
         F.when(~shared, text_of(F.col("c"))).alias("c"), F.when(~shared, text_of(F.col("r"))).alias("r"),
         F.when(~shared, mask_of(F.col("c"))).alias("cm"), F.when(~shared, mask_of(F.col("r"))).alias("rm")).alias("row"))
     lines = own.groupBy(*key).agg(F.sort_array(F.collect_list("row")).alias("all"), F.max("nc").alias("nc"), F.max("nr").alias("nr"))
+    texts = {"p": "", "c": "", "r": "", "cm": ",", "rm": ","}
+    lines = lines.select(*key, "nc", "nr", F.size(F.filter("all", lambda x: x["p"].isNotNull())).cast("long").alias("prompt_turns"),
+                         *[joined(name, sep).alias(name) for name, sep in texts.items()])
+    if not split_rows:
+        lines = lines.groupBy("pair", "none").agg(F.max("nc").alias("nc"), F.max("nr").alias("nr"), F.sum("prompt_turns").alias("prompt_turns"),
+                                                  F.sort_array(F.collect_list(F.struct("part", *texts))).alias("all"))
+
+        def whole_text(name: str, sep: str) -> Column:
+            return F.array_join(F.filter(F.transform("all", lambda x: x[name]), lambda x: x != ""), sep)
+        lines = lines.select("pair", "none", "nc", "nr", "prompt_turns", *[whole_text(name, sep).alias(name) for name, sep in texts.items()])
+    has_c, has_r = F.col("nc") > 0, F.col("nr") > 0
     return lines.select(
-        F.when(~F.col("none"), F.col("pair")).alias("pair_id"), "part", F.size(F.filter("all", lambda x: x["p"].isNotNull())).cast("long").alias("prompt_turns"),
-        joined("p").alias("prompt"), F.when(F.col("nc") > 0, joined("c")).alias("chosen"), F.when(F.col("nr") > 0, joined("r")).alias("rejected"),
-        F.when(F.col("nc") > 0, joined("cm", ",")).alias("chosen_mask"), F.when(F.col("nr") > 0, joined("rm", ",")).alias("rejected_mask"))
+        F.when(~F.col("none"), F.col("pair")).alias("pair_id"), *(["part"] if split_rows else []), "prompt_turns", F.col("p").alias("prompt"),
+        F.when(has_c, F.col("c")).alias("chosen"), F.when(has_r, F.col("r")).alias("rejected"),
+        F.when(has_c, F.col("cm")).alias("chosen_mask"), F.when(has_r, F.col("rm")).alias("rejected_mask"))

@@ -55,8 +55,7 @@ h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
 b0 AS (SELECT page_id, translate(raw, '{u.UPPER}', '{u.LOWER}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
 b AS (SELECT *, CASE {rule} END AS rule, CASE {says} END AS says FROM b0),
 paths AS (SELECT host, path, count(rule) AS lab, count(*) FILTER (says = 'block') AS bad FROM b GROUP BY ALL),
-s0 AS (SELECT host, path, string_split(path, '/') AS s FROM paths),
-s1 AS (SELECT host, path, CASE WHEN len(s) > {u.MAX_DEPTH} THEN list_concat(s[1:{u.MAX_DEPTH - 1}], ['{{tail}}']) ELSE s END AS s FROM s0),
+s1 AS (SELECT host, path, string_split(path, '/') AS s FROM paths),
 s2 AS (SELECT host, path, list_transform(s, lambda x: CASE
          WHEN regexp_matches(x, '^[0-9]+$') THEN '{{num}}'
          WHEN regexp_matches(x, '^[0-9]+[.][A-Za-z0-9]+$') THEN '{{num}}.' || regexp_extract(x, '[.](.*)$', 1)
@@ -116,14 +115,14 @@ m AS (SELECT pair_id, side, turn, string_agg(line, '' ORDER BY role, text) AS li
 s AS (SELECT pair_id, turn, max(line) FILTER (side) AS c, max(line) FILTER (NOT side) AS r,
              max(mask) FILTER (side) AS cm, max(mask) FILTER (NOT side) AS rm FROM m GROUP BY ALL),
 e AS (SELECT pair_id, min(turn) FILTER (c IS DISTINCT FROM r) AS cut, count(c) AS nc, count(r) AS nr FROM s GROUP BY ALL),
-t AS (SELECT s.*, cut, nc, nr, cut IS NULL OR turn < cut AS shared, CAST(floor(turn / 512) AS BIGINT) AS part FROM s JOIN e USING (pair_id))
-SELECT pair_id, part, count(*) FILTER (shared AND c IS NOT NULL) AS prompt_turns,
+t AS (SELECT s.*, cut, nc, nr, cut IS NULL OR turn < cut AS shared FROM s JOIN e USING (pair_id))
+SELECT pair_id, count(*) FILTER (shared AND c IS NOT NULL) AS prompt_turns,
        coalesce(string_agg(c, '' ORDER BY turn) FILTER (shared), '') AS prompt,
        CASE WHEN max(nc) > 0 THEN coalesce(string_agg(c, '' ORDER BY turn) FILTER (NOT shared), '') END AS chosen,
        CASE WHEN max(nr) > 0 THEN coalesce(string_agg(r, '' ORDER BY turn) FILTER (NOT shared), '') END AS rejected,
        CASE WHEN max(nc) > 0 THEN coalesce(string_agg(cm, ',' ORDER BY turn) FILTER (NOT shared), '') END AS chosen_mask,
        CASE WHEN max(nr) > 0 THEN coalesce(string_agg(rm, ',' ORDER BY turn) FILTER (NOT shared), '') END AS rejected_mask
-FROM t GROUP BY pair_id, part""")
+FROM t GROUP BY pair_id""")
 def op10(spark, sf_dir):
     """Conversations 2i (chosen) and 2i + 1 (rejected) form pair i."""
     t = table(spark, sf_dir, "conversations")

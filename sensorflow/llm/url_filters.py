@@ -5,8 +5,8 @@
 2. Every path becomes a chain of tree nodes below its host. A segment that is
    a number, a number with an extension or a long hex string is a wildcard by
    its shape; all literal children of a node with more than ``MAX_CHILDREN``
-   of them become one wildcard. Segments from ``MAX_DEPTH`` on form one tail
-   node.
+   of them become one wildcard. The chain has a node for every segment, however
+   deep the path is.
 3. Templates that differ in their last literal segment only are sibling
    branches. Sorted by bad share, neighbours whose shares do not differ
    significantly (two-proportion z test) are merged.
@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_CHILDREN = 20
-MAX_DEPTH = 8
 Z = 1.96
 PRIOR_WEIGHT = 4.0
 REJECT_OVER = 0.5
@@ -64,9 +63,7 @@ def _shape(seg: Column) -> Column:
 def templates(paths: DataFrame) -> DataFrame:
     """``host``, ``path`` -> ``template``, ``family``: the generalised path, and the
     path with its last literal segment also replaced."""
-    segs = F.split("path", "/")
-    segs = F.when(F.size(segs) > MAX_DEPTH, F.concat(F.slice(segs, 1, MAX_DEPTH - 1), F.array(F.lit("{tail}")))).otherwise(segs)
-    nodes = (paths.select("host", "path", F.transform(segs, _shape).alias("_s"))
+    nodes = (paths.select("host", "path", F.transform(F.split("path", "/"), _shape).alias("_s"))
              .select("host", "path", "_s", F.posexplode("_s").alias("_d", "_c"))
              .withColumn("_p", F.array_join(F.slice("_s", F.lit(1), F.col("_d")), "/")).drop("_s"))
     literal = ~F.col("_c").startswith("{") & (F.col("_c") != "")

@@ -69,10 +69,17 @@ def test_template_tree(spark):
     assert got[("h", "/tag/never-seen")] == ("/tag/{any}", True)
     assert got[("h", "/item/7")] == ("/item/{num}", False)
     assert got[("h", "/user/ann")][0] == "/user/ann" and got[("g", "/x/1.html")][0] == "/x/{num}.html"
-    assert got[("h", "/a/b/c/d/e/f/g/h/i/j/k/l")][0].endswith("{tail}")
+    assert got[("h", "/a/b/c/d/e/f/g/h/i/j/k/l")][0] == "/a/b/c/d/e/f/g/h/i/j/k/l"
     assert len(got) == len(paths)
 
 
+def test_deep_branches_are_told_apart(spark):
+    rows = [("h", f"/a/b/c/d/e/f/g/{c}/{k}", 1, int(c == "bad")) for c in ("good", "bad") for k in range(20)]
+    df = spark.createDataFrame(rows, "host string, path string, n_labelled bigint, n_bad bigint")
+    got = {r["path"].split("/")[8]: (r["template"], r["rejected"]) for r in uf.judged_paths(df).collect()}
+    assert got == {"good": ("/a/b/c/d/e/f/g/good/{num}", False), "bad": ("/a/b/c/d/e/f/g/bad/{num}", True)}
+
+
 def test_similar_branches_are_merged(spark):
     rows = [("h", f"/{c}/{k}", 1, int(k < bad)) for c, bad in (("a", 29), ("b", 28), ("c", 1)) for k in range(30)] + [("h", "/d/1", 0, 0)]
     df = spark.createDataFrame(rows, "host string, path string, n_labelled bigint, n_bad bigint")
@@ -98,6 +105,18 @@ def test_preferences(spark):
     assert (got[1]["chosen"], got[1]["rejected"], got[1]["prompt_turns"]) == ("", "", 1)
     assert got[2]["rejected"] is None and got[2]["chosen"] == "<|unknown|>\n<|end|>\n" and got[2]["chosen_mask"].endswith(":0")
     assert got[3]["prompt_turns"] == 5 and got[3]["rejected_mask"].count(":1") == 2
-    parts = pf.format_preferences(df, pair, side, turns_per_row=2).where("pair_id = 3").orderBy("part").collect()
+    whole = {r["pair_id"]: r for r in pf.format_preferences(df, pair, side, block_turns=2).collect()}
+    assert whole == got  # blocks don't show
+    parts = pf.format_preferences(df, pair, side, block_turns=2, split_rows=True).where("pair_id = 3").orderBy("part").collect()
     assert "".join(r["prompt"] for r in parts) == got[3]["prompt"] and "".join(r["rejected"] for r in parts) == got[3]["rejected"]
     assert pf.format_preferences(df.limit(0), pair, side).collect() == []
+
+
+def test_long_conversations_give_one_row(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"t{t}" if t < 600 else f"{c}t{t}") for c in (0, 1) for t in range(1300)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    (r,) = pf.format_preferences(df, F.floor(F.col("conv_id") / 2).cast("long"), F.col("conv_id") % 2 == 0).collect()
+    line = lambda t, text: f"<|{'assistant' if t % 2 else 'user'}|>\n{text}<|end|>\n"
+    assert r["prompt"] == "".join(line(t, f"t{t}") for t in range(600)) and r["prompt_turns"] == 600
+    assert r["chosen"] == "".join(line(t, f"0t{t}") for t in range(600, 1300)) and r["chosen_mask"].count(":1") == 350
+    assert r["rejected"] == "".join(line(t, f"1t{t}") for t in range(600, 1300))
