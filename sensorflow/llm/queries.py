@@ -29,9 +29,14 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def bounded_batches(spark: SparkSession) -> None:
+    """Session settings of the operators; they must still hold when a returned DataFrame is run."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
