@@ -85,9 +85,8 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def to_table(df: DataFrame, mapping: dict[str, str], rowtime: tuple[str, str] | None = None) -> DataFrame:
-    """``fromDataStream(ds, "id, timestamp as ts, temperature as temp, rt.rowtime")`` (SRC-9):
-    select and rename fields; ``rowtime=(name, epoch_seconds_col)`` appends an
-    event-time TIMESTAMP column."""
+    """A stream or batch as a table (SRC-9): the columns of ``mapping`` under their new names;
+    ``rowtime=(name, epoch_seconds_col)`` appends an event-time TIMESTAMP column."""
     cols = [F.col(src).alias(dst) for src, dst in mapping.items()]
     if rowtime:
         cols.append(F.timestamp_seconds(F.col(rowtime[1])).alias(rowtime[0]))
