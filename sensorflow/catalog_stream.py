@@ -446,10 +446,10 @@ BEFORE, AFTER = 4, 3
 HALF = "2024-01-16 00:00:00"
 
 
-@register("operator_count_stream", f"""
+@register("instance_count_stream", f"""
 SELECT 'before' AS run, {BEFORE} AS instances, count(*) AS total FROM events WHERE ts < TIMESTAMP '{HALF}'
 UNION ALL SELECT 'after', {AFTER}, count(*) FROM events""")
-def q_operator_count_stream(spark, sf_dir):
+def q_instance_count_stream(spark, sf_dir):
     """Operator state that survives a change of parallelism (F-2): the rows before a time are counted by four instances,
     the others by three that start from the four's parts."""
     e = C.events(spark, sf_dir, "event_id", "ts")
