@@ -9,8 +9,9 @@ so rows in equals rows out.
 The clock is Spark's: in a micro-batch, the largest event time of the earlier
 batches minus the delay, in milliseconds.
 
-State is bounded by the open windows of a key: one accumulator each for
-:class:`FoldWindows`, the rows for :class:`RowWindows`. A key has one pending
+State is bounded by the open windows: one accumulator each for
+:class:`FoldWindows`, the rows for :class:`RowWindows`. It is kept by hash
+bucket of keys (:mod:`sensorflow.streaming.buckets`). A bucket has one pending
 timer, at the earliest time anything is due; when it fires, everything due is
 handled at once.
 """
@@ -27,8 +28,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorflow.functions.fold import Fold
+from sensorflow.plans.prefix import running
 from sensorflow.schema import duration_us, event_time
 from sensorflow.session import prepare
+from sensorflow.streaming.buckets import KEY, Frame, by_bucket, keyed, told
 
 #: Microseconds that stand for a missing event time.
 NO_TIME = -(2**63)
@@ -49,7 +52,7 @@ def watermark_ms(timer_values) -> float:
 
 
 class Alarm:
-    """The one pending event-time timer of a key, moved to earlier times as needed."""
+    """The one pending event-time timer of a bucket, moved to earlier times as needed."""
 
     def __init__(self, handle: StatefulProcessorHandle, name: str = "alarm"):
         self.handle, self.at = handle, handle.getValueState(name, "ms bigint")
@@ -92,7 +95,7 @@ def typed(frame: pd.DataFrame, whole: list[str]) -> pd.DataFrame:
 
 
 class FoldWindows(StatefulProcessor):
-    """Tumbling windows of a key under a :class:`Fold` (state: a map from window start to accumulator).
+    """Tumbling windows of keys under a :class:`Fold` (state: an accumulator and the last firing by key and window start).
 
     With ``wm`` the watermark, a row of a window that ends at ``end`` is
 
@@ -112,25 +115,29 @@ class FoldWindows(StatefulProcessor):
         self.acc, self.whole = fields(fold.acc), whole_numbers(fold.acc)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.windows = handle.getMapState("windows", "start bigint", f"firing int, {self.fold.acc}")
+        self.windows = Frame(handle, "windows", [KEY, "_w", "firing", *self.acc])
         self.alarm = Alarm(handle)
 
-    def _frame(self, starts: list[int], accs: list[tuple]) -> pd.DataFrame:
-        data = {a: [x[k] for x in accs] for k, a in enumerate(self.acc)}
-        return typed(pd.DataFrame({"_w": starts, **data}), self.whole)
+    def _held(self) -> pd.DataFrame:
+        held = self.windows.get()
+        return typed(held, self.whole).astype({"_w": "int64", "firing": "int64"})
 
-    def _merge(self, frame: pd.DataFrame) -> pd.DataFrame:
-        return typed(self.fold.merge(frame.groupby("_w", sort=False)).reset_index()[["_w", *self.acc]], self.whole)
+    def _added(self, rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+        return typed(self.fold.add(rows.groupby(by, sort=False, dropna=False)).reset_index()[[*by, *self.acc]], self.whole)
 
-    def _told(self, key, frame: pd.DataFrame, firing) -> pd.DataFrame:
+    def _merge(self, frame: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+        return typed(self.fold.merge(frame.groupby(by, sort=False, dropna=False)).reset_index()[[*by, *self.acc]], self.whole)
+
+    def _told(self, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.reset_index(drop=True)
         start = frame["_w"].to_numpy("int64")
         got = self.fold.finish(frame).reset_index(drop=True)
-        head = pd.DataFrame({"output": "window", self.key: [key] * len(frame), "window_start": pd.to_datetime(start, unit="ms"),
-                             "window_end": pd.to_datetime(start + self.size_ms, unit="ms"), "firing": firing})
+        head = pd.DataFrame({"output": "window", self.key: told(frame[KEY]), "window_start": pd.to_datetime(start, unit="ms"),
+                             "window_end": pd.to_datetime(start + self.size_ms, unit="ms"), "firing": frame["firing"]})
         return self._whole(pd.concat([head, got], axis=1))
 
-    def _rows_out(self, key, rows: pd.DataFrame, tag: str) -> pd.DataFrame:
-        head = {"output": tag, self.key: [key] * len(rows)}
+    def _rows_out(self, rows: pd.DataFrame, tag: str) -> pd.DataFrame:
+        head = {"output": tag, self.key: rows[KEY].to_numpy()}
         if tag == "late":
             start = rows["_w"].to_numpy("int64")
             head |= {"window_start": pd.to_datetime(start, unit="ms"), "window_end": pd.to_datetime(start + self.size_ms, unit="ms")}
@@ -145,88 +152,91 @@ class FoldWindows(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = watermark_ms(timerValues)
         added, again = [], []
-        for pdf in rows:
+        for pdf in keyed(key, rows, self.key):
             us = pdf[US].to_numpy("int64")
             start = us // (self.size_ms * 1000) * self.size_ms
             fire = start + self.size_ms - 1
             untimed = us == NO_TIME
             late = ~untimed & (fire + self.lateness_ms <= wm)
-            pdf = pdf.assign(_w=np.where(untimed, 0, start))
+            pdf = pdf.assign(**{KEY: pdf[self.key], "_w": np.where(untimed, 0, start)})
             for tag, pick in (("untimed", untimed), ("late", late)):
                 if pick.any():
-                    yield self._rows_out(key[0], pdf[pick].reset_index(drop=True), tag)
+                    yield self._rows_out(pdf[pick], tag)
             due = ~untimed & ~late & (fire <= wm)
             on_time = ~untimed & ~late & ~due
             if on_time.any():
-                added.append(self.fold.add(pdf[on_time].groupby("_w", sort=False)).reset_index()[["_w", *self.acc]])
+                added.append(self._added(pdf[on_time], [KEY, "_w"]))
             if due.any():
                 again.append(pdf[due])
+        if not added and not again:
+            return
+        held = self._held()
         if added:
-            self._keep(pd.concat(added, ignore_index=True))
+            frame = pd.concat(added, ignore_index=True).assign(firing=0)
+            held = self._keep(held, frame)
         if again:
-            yield from self._fire_again(key[0], pd.concat(again).sort_values(["_w", self.order], kind="mergesort").reset_index(drop=True))
-
-    def _keep(self, frame: pd.DataFrame) -> None:
-        """Merge accumulators into the open windows."""
-        own = set(frame["_w"].tolist())
-        held = [(start, tuple(acc)) for (start,), (_, *acc) in self.windows.iterator() if start in own]
-        if held:
-            frame = pd.concat([self._frame(*(list(x) for x in zip(*held))), typed(frame, self.whole)], ignore_index=True)
-        merged = self._merge(frame)
-        for w, acc in zip(merged["_w"].tolist(), tuples(merged, self.acc)):
-            self.windows.updateValue((int(w),), (0, *acc))
+            fired, held = self._fire_again(held, pd.concat(again, ignore_index=True))
+            yield self._told(fired)
+        self.windows.put(held)
+
+    def _split(self, held: pd.DataFrame, frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The held windows that ``frame`` has rows of, and the others."""
+        if not len(held):
+            return held, held
+        both = pd.concat([held[[KEY, "_w"]], frame[[KEY, "_w"]]], ignore_index=True)
+        window = both.groupby([KEY, "_w"], sort=False, dropna=False).ngroup().to_numpy()
+        own = np.isin(window[: len(held)], window[len(held):])
+        return held[own], held[~own]
+
+    def _keep(self, held: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
+        """The windows with accumulators merged into the open ones."""
+        own, others = self._split(held, frame)
+        merged = self._merge(pd.concat([own, frame], ignore_index=True) if len(own) else frame, [KEY, "_w"]).assign(firing=0)
         self.alarm.no_later_than(int(merged["_w"].min()) + self.size_ms - 1)
-
-    def _fire_again(self, key, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """One result a row, each with all rows of its window before it."""
-        rows["_row"] = np.arange(len(rows))
-        one = self.fold.add(rows.groupby("_row", sort=False)).reset_index()[self.acc]
-        for w, part in rows.groupby("_w", sort=False):
-            w = int(w)
-            acc = typed(one.iloc[part["_row"]].reset_index(drop=True), self.whole)
-            firing = 0
-            if self.windows.containsKey((w,)):
-                firing, *before = self.windows.getValue((w,))
-                before = self._frame([w], [tuple(before)])
-                if not firing:  # due in this batch, before this row
-                    firing = 1
-                    yield self._told(key, before, [1])
-                acc = pd.concat([before[self.acc], acc], ignore_index=True)
-            run = self._running(acc)
-            run = run.iloc[len(run) - len(part):].reset_index(drop=True).assign(_w=w)
-            yield self._told(key, run, np.arange(firing + 1, firing + len(part) + 1))
-            self.windows.updateValue((w,), (firing + len(part), *tuples(run.iloc[-1:], self.acc)[0]))
-            self.alarm.no_later_than(w + self.size_ms - 1 + self.lateness_ms)
-
-    def _running(self, acc: pd.DataFrame) -> pd.DataFrame:
-        """Running merges by doubling steps: after step k a row holds the merge of the 2^k rows up to it."""
-        d = 1
-        while d < len(acc):
-            left, right = acc.iloc[:-d], acc.iloc[d:]
-            pair = pd.concat([left, right], ignore_index=True).assign(_w=np.tile(np.arange(len(left)), 2))
-            acc = pd.concat([acc.iloc[:d], self._merge(pair.sort_values("_w", kind="mergesort"))[self.acc]], ignore_index=True)
-            d *= 2
-        return acc
+        return pd.concat([others, merged], ignore_index=True) if len(others) else merged
+
+    def _pairs(self, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        pair = pd.concat([left, right], ignore_index=True).assign(_p=np.tile(np.arange(len(left)), 2))
+        return self._merge(pair.sort_values("_p", kind="mergesort"), ["_p"])[self.acc]
+
+    def _fire_again(self, held: pd.DataFrame, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """One result a row, each with all rows of its window before it, after that of a window due in this batch; and the
+        windows with these rows."""
+        own, others = self._split(held, rows)
+        rows = rows.sort_values(self.order, kind="mergesort").reset_index(drop=True).assign(_row=np.arange(len(rows)))
+        one = pd.concat([rows[[KEY, "_w"]], self._added(rows, ["_row"])[self.acc]], axis=1).assign(firing=0, _held=False)
+        frame = pd.concat([own.assign(_held=True), one], ignore_index=True) if len(own) else one
+        window = frame.groupby([KEY, "_w"], sort=False, dropna=False).ngroup().to_numpy()
+        by = np.argsort(window, kind="stable")
+        frame, window = frame.iloc[by].reset_index(drop=True), window[by]
+        frame[self.acc] = running(typed(frame[self.acc], self.whole), window, self._pairs)[self.acc]
+        led, firing = frame["_held"].to_numpy(bool), frame["firing"].to_numpy("int64")
+        before = np.zeros(window.max() + 1, "int64")
+        before[window[led]] = np.maximum(firing[led], 1)  # due in this batch, before the first row
+        new = np.ones(len(window), bool)
+        new[1:] = window[1:] != window[:-1]
+        at = np.arange(len(window)) - np.maximum.accumulate(np.where(new, np.arange(len(window)), 0))
+        with_held = np.zeros(len(before), bool)
+        with_held[window[led]] = True
+        frame["firing"] = before[window] + at + ~with_held[window]
+        last = np.append(new[1:], True)
+        self.alarm.no_later_than(int(frame["_w"].min()) + self.size_ms - 1 + self.lateness_ms)
+        left = frame.loc[last, [KEY, "_w", "firing", *self.acc]]
+        return frame[~led | (firing == 0)], pd.concat([others, left], ignore_index=True) if len(others) else left
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.went_off()
         wm = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        due, later = [], []
-        for (start,), (firing, *acc) in list(self.windows.iterator()):
-            fire = start + self.size_ms - 1
-            if firing == 0 and fire <= wm:
-                due.append((start, tuple(acc)))
-            if fire + self.lateness_ms <= wm:
-                self.windows.removeKey((start,))
-                continue
-            if firing == 0 and fire <= wm:
-                self.windows.updateValue((start,), (1, *acc))
-            later.append(fire if fire > wm else fire + self.lateness_ms)
-        if later:
-            self.alarm.no_later_than(min(later))
-        if due:
-            due.sort()
-            yield self._told(key[0], self._frame(*(list(x) for x in zip(*due))), 1)
+        held = self._held()
+        fire = held["_w"].to_numpy("int64") + self.size_ms - 1
+        due = (held["firing"].to_numpy("int64") == 0) & (fire <= wm)
+        held.loc[due, "firing"] = 1
+        left = fire + self.lateness_ms > wm
+        self.windows.put(held[left])
+        if left.any():
+            self.alarm.no_later_than(int(np.where(fire > wm, fire, fire + self.lateness_ms)[left].min()))
+        if due.any():
+            yield self._told(held[due])
 
     def close(self) -> None:
         pass
@@ -250,42 +260,42 @@ def fold_windows_stream(df: DataFrame, key: str, time: str, size: str, fold: Fol
     schema = f"{head}, " + ", ".join(f"`late_{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     src = clocked(df.select(key, F.col(time).alias("_sf_time"), *keep), "_sf_time", delay).drop("_sf_time")
     processor = FoldWindows(key, order, inputs, fold, duration_us(size) // 1000, duration_us(lateness) // 1000, fields(schema))
-    return src.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    return by_bucket(src, key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
 
 
 class RowWindows(StatefulProcessor):
     """Tumbling windows that keep their rows for a user function (state: a list of the open windows' rows).
 
-    When the watermark reaches a window's last millisecond, ``fn`` gets its rows as a pandas frame in ``order``. Rows of
+    When the watermark reaches a window's last millisecond, ``fn`` gets a key's rows in it as a pandas frame in ``order``. Rows of
     windows that are already done come out as ``late``, rows without an event time as ``untimed``.
     """
 
     def __init__(self, key: str, order: str, cols: list[str], state: str, times: list[str], fn: Callable, size_ms: int, out: list[str]):
-        self.key, self.order, self.cols, self.state, self.times = key, order, cols, state, times
+        self.key, self.order, self.cols, self.times = key, order, cols, times
         self.fn, self.size_ms, self.out, self.whole = fn, size_ms, out, whole_numbers(state)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", f"w bigint, {self.state}")
+        self.rows = Frame(handle, "rows", ["_w", *self.cols])
         self.alarm = Alarm(handle)
 
-    def _aside(self, key, rows: pd.DataFrame, tag: str) -> pd.DataFrame:
-        frame = pd.DataFrame({"output": tag, self.key: [key] * len(rows), f"late_{self.order}": rows[self.order].to_numpy()})
+    def _aside(self, rows: pd.DataFrame, tag: str) -> pd.DataFrame:
+        frame = pd.DataFrame({"output": tag, self.key: rows[self.key].to_numpy(), f"late_{self.order}": rows[self.order].to_numpy()})
         return frame.reindex(columns=self.out).astype(object).where(lambda x: x.notna(), None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = watermark_ms(timerValues)
         first = None
-        for pdf in rows:
+        for pdf in keyed(key, rows, self.key):
             us = pdf[US].to_numpy("int64")
             start = us // (self.size_ms * 1000) * self.size_ms
             untimed = us == NO_TIME
             late = ~untimed & (start + self.size_ms - 1 <= wm)
             for tag, pick in (("untimed", untimed), ("late", late)):
                 if pick.any():
-                    yield self._aside(key[0], pdf[pick], tag)
+                    yield self._aside(pdf[pick], tag)
             keep = ~untimed & ~late
             if keep.any():
-                self.rows.appendList(tuples(typed(pdf[keep], self.whole).assign(w=start[keep]), ["w", *self.cols]))
+                self.rows.append(typed(pdf[keep], self.whole).assign(_w=start[keep]))
                 first = int(start[keep].min()) if first is None else min(first, int(start[keep].min()))
         if first is not None:
             self.alarm.no_later_than(first + self.size_ms - 1)
@@ -293,24 +303,27 @@ class RowWindows(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.went_off()
         wm = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        held = [tuple(r) for r in self.rows.get()]
-        rest = [r for r in held if r[0] + self.size_ms - 1 > wm]
-        ready = [r for r in held if r[0] + self.size_ms - 1 <= wm]
-        if rest:
-            self.rows.put(rest)
-            self.alarm.no_later_than(min(r[0] for r in rest) + self.size_ms - 1)
-        else:
-            self.rows.clear()
-        if not ready:
+        held = self.rows.get()
+        due = held["_w"].to_numpy("int64") + self.size_ms - 1 <= wm
+        rest = held[~due]
+        self.rows.put(rest)
+        if len(rest):
+            self.alarm.no_later_than(int(rest["_w"].min()) + self.size_ms - 1)
+        if not due.any():
             return
-        frame = typed(pd.DataFrame(ready, columns=["w", *self.cols]), self.whole)
+        frame = typed(held[due], self.whole)
         for c in self.times:
             frame[c] = pd.to_datetime(frame[c], unit="us")
-        frame["window_end"] = pd.to_datetime(frame.pop("w").astype("int64") + self.size_ms, unit="ms")
-        for _, part in frame.sort_values(["window_end", self.order], kind="mergesort").groupby("window_end", sort=False):
-            got = self.fn(part.reset_index(drop=True)).assign(output="window")
-            got[f"late_{self.order}"] = None
-            yield got[self.out]
+        frame["window_end"] = pd.to_datetime(frame.pop("_w").astype("int64") + self.size_ms, unit="ms")
+        frame = frame.sort_values(["window_end", self.order], kind="mergesort").reset_index(drop=True)
+        frame[self.key] = told(frame[self.key])
+        window = frame.groupby([self.key, "window_end"], sort=False, dropna=False).ngroup().to_numpy()
+        by = np.argsort(window, kind="stable")
+        frame, ends = frame.take(by), np.cumsum(np.bincount(window)).tolist()
+        got = [self.fn(frame.iloc[begin:end].reset_index(drop=True)) for begin, end in zip([0, *ends], ends)]
+        got = pd.concat(got, ignore_index=True).assign(output="window")
+        got[f"late_{self.order}"] = None
+        yield got[self.out]
 
     def close(self) -> None:
         pass
@@ -332,4 +345,4 @@ def apply_windows_stream(df: DataFrame, key: str, time: str, size: str, fn: Call
     state = _ddl(plain_df, *df.columns)
     whole = f"output string, {schema}, `late_{order}` {df.schema[order].dataType.simpleString()}"
     processor = RowWindows(key, order, df.columns, state, times, fn, duration_us(size) // 1000, fields(whole))
-    return plain_df.groupBy(key).transformWithStateInPandas(processor, whole, "Append", "EventTime")
+    return by_bucket(plain_df, key).transformWithStateInPandas(processor, whole, "Append", "EventTime")
