@@ -319,39 +319,39 @@ RECENT = 3
 def _episodes(key, rows: pd.DataFrame, cell: dict) -> pd.DataFrame:
     """Each row's number in its key, the last event of its type in the episode, the episode's largest value so far and
     the mean of the last values. A row that ends an episode still belongs to it."""
-    out = rows[["user_id", "event_id"]].copy()
     before = cell["count"].get()[0] if cell["count"].exists() else 0
-    out["cnt"] = before + rows.index.to_numpy("int64") + 1
-    ends = rows["event_type"] == EPISODE_END
-    episode = ends.shift(fill_value=False).cumsum()
-    by_type = rows.groupby([episode.rename("episode"), rows["event_type"].rename("type")], sort=False, dropna=False)["event_id"]
-    previous = by_type.shift().astype("Int64").to_numpy(dtype=object, na_value=None)
-    first = episode == 0
-    for kind in rows["event_type"][first].dropna().unique():  # what the episode had before this batch
-        if cell["by_type"].containsKey((kind,)):
-            at = rows.index[first & (rows["event_type"] == kind)][0]
-            previous[at] = cell["by_type"].getValue((kind,))[0]
-    out["same_type_before"] = previous
-    peak = rows["value"].groupby(episode).cummax().groupby(episode).ffill()
-    held = cell["peak"].get()
-    if held is not None:
-        peak[first] = peak[first].clip(lower=held[0]).fillna(held[0])
-    out["peak"] = peak
-    tail = [t[0] for t in cell["recent"].get()] if cell["recent"].exists() else []
-    values = pd.Series([*tail, *rows["value"].tolist()], dtype="float64")
-    out["recent_sum"] = values.rolling(RECENT, min_periods=1).sum().iloc[len(tail):].to_numpy()
-    cell["count"].update((int(out["cnt"].iloc[-1]),))
-    cell["recent"].put([(None if pd.isna(v) else v,) for v in values.iloc[-(RECENT - 1):].tolist()])
-    if ends.any():  # the episode is over: its types go one by one, its peak at once
+    types = {kind: event for (kind,), (event,) in cell["by_type"].iterator()}
+    peak = cell["peak"].get()
+    peak = None if peak is None else peak[0]
+    recent = [t[0] for t in cell["recent"].get()] if cell["recent"].exists() else []
+    previous, peaks, sums, over = [], [], [], False
+    values = [None if pd.isna(v) else v for v in rows["value"].tolist()]
+    for kind, event, v in zip(rows["event_type"].tolist(), rows["event_id"].tolist(), values):
+        kind = None if pd.isna(kind) else kind
+        previous.append(types.get(kind))
+        types[kind] = None if pd.isna(event) else int(event)
+        if v is not None:
+            peak = v if peak is None else max(peak, v)
+        peaks.append(peak)
+        recent = [*recent[-(RECENT - 1):], v]
+        there = [x for x in recent if x is not None]
+        sums.append(sum(there) if there else None)
+        if kind == EPISODE_END:  # the episode is over
+            types, peak, over = {}, None, True
+    cell["count"].update((before + len(rows),))
+    cell["recent"].put([(v,) for v in recent[-(RECENT - 1):]])
+    if over:  # its types go one by one, its peak at once
         for (kind,), _ in list(cell["by_type"].iterator()):
             cell["by_type"].removeKey((kind,))
         cell["peak"].clear()
-    open_ = rows[(episode == episode.iloc[-1]) & ~(ends.iloc[-1])]
-    for kind, event in open_.dropna(subset=["event_type"]).groupby("event_type")["event_id"].last().items():
-        cell["by_type"].updateValue((kind,), (int(event),))
-    if open_["value"].notna().any():
-        cell["peak"].add((float(open_["value"].max()),))
-    return out
+    for kind, event in types.items():
+        if kind is not None and event is not None:
+            cell["by_type"].updateValue((kind,), (event,))
+    if peak is not None:
+        cell["peak"].add((float(peak),))
+    return pd.DataFrame({"user_id": rows["user_id"], "event_id": rows["event_id"], "cnt": range(before + 1, before + len(rows) + 1),
+                         "same_type_before": pd.array(previous, dtype="Int64"), "peak": pd.array(peaks, dtype="Float64"),
+                         "recent_sum": pd.array(sums, dtype="Float64")})
 
 
 @register("keyed_state_cells_stream", f"""

@@ -10,6 +10,7 @@ the map run once a task, around all of its keys.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from sensorflow.functions.fold import Fold
 from sensorflow.plans.prefix import Merge, running
 from sensorflow.session import prepare
+from sensorflow.streaming.buckets import BUCKET, KEY, Frame, by_bucket, in_front, in_order, keyed
 from sensorflow.streaming.event_windows import fields, plain, tuples, typed, whole_numbers
 
 
@@ -35,6 +37,9 @@ class Value:
     def make(self, handle: StatefulProcessorHandle, name: str):
         return handle.getValueState(name, self.schema, self.ttl_ms)
 
+    def kept(self, handle: StatefulProcessorHandle, name: str, key: str):
+        return KeptValue(handle, name, key, self.schema)
+
 
 @dataclass(frozen=True)
 class Items:
@@ -46,6 +51,9 @@ class Items:
     def make(self, handle: StatefulProcessorHandle, name: str):
         return handle.getListState(name, self.schema, self.ttl_ms)
 
+    def kept(self, handle: StatefulProcessorHandle, name: str, key: str):
+        return KeptItems(handle, name, key, self.schema)
+
 
 @dataclass(frozen=True)
 class Table:
@@ -58,6 +66,9 @@ class Table:
     def make(self, handle: StatefulProcessorHandle, name: str):
         return handle.getMapState(name, self.key, self.schema, self.ttl_ms)
 
+    def kept(self, handle: StatefulProcessorHandle, name: str, key: str):
+        return KeptTable(handle, name, key, self.key, self.schema)
+
 
 @dataclass(frozen=True)
 class Reducing:
@@ -70,6 +81,9 @@ class Reducing:
     def make(self, handle: StatefulProcessorHandle, name: str) -> ReducingCell:
         return ReducingCell(handle.getValueState(name, self.schema, self.ttl_ms), self.fn)
 
+    def kept(self, handle: StatefulProcessorHandle, name: str, key: str) -> ReducingCell:
+        return ReducingCell(KeptValue(handle, name, key, self.schema), self.fn)
+
 
 class ReducingCell:
     def __init__(self, cell, fn: Callable[[tuple, tuple], tuple]):
@@ -88,22 +102,139 @@ class ReducingCell:
         self.cell.clear()
 
 
+class Kept:
+    """A cell of every key of a bucket, in one list of ``(key, row)``: read at the first use in a micro-batch, written
+    once after it."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, key: str, schema: str):
+        self.rows = handle.getListState(name, f"`{KEY}` {key}, {schema}")
+
+    def open(self) -> None:
+        self.by: dict = {}
+        for key, *row in self.rows.get() if self.rows.exists() else ():
+            self.by.setdefault(key, []).append(tuple(row))
+
+    def at(self, key) -> None:
+        self.key = key
+
+    def exists(self) -> bool:
+        return bool(self.by.get(self.key))
+
+    def clear(self) -> None:
+        self.by.pop(self.key, None)
+
+    def save(self) -> None:
+        rows = [(key, *row) for key, held in self.by.items() for row in held]
+        if rows:
+            self.rows.put(rows)
+        else:
+            self.rows.clear()
+
+
+class KeptValue(Kept):
+    def get(self) -> tuple | None:
+        return self.by[self.key][0] if self.exists() else None
+
+    def update(self, row: tuple) -> None:
+        self.by[self.key] = [tuple(row)]
+
+
+class KeptItems(Kept):
+    def get(self) -> Iterator[tuple]:
+        return iter(list(self.by.get(self.key, ())))
+
+    def put(self, rows: list[tuple]) -> None:
+        self.by[self.key] = [tuple(row) for row in rows]
+
+    def appendValue(self, row: tuple) -> None:
+        self.appendList([row])
+
+    def appendList(self, rows: list[tuple]) -> None:
+        self.by.setdefault(self.key, []).extend(tuple(row) for row in rows)
+
+
+class KeptTable(Kept):
+    def __init__(self, handle: StatefulProcessorHandle, name: str, key: str, entry: str, schema: str):
+        super().__init__(handle, name, key, f"entry struct<{entry}>, held struct<{schema}>")
+
+    def open(self) -> None:
+        super().open()
+        self.by = {key: {tuple(entry): tuple(held) for entry, held in rows} for key, rows in self.by.items()}
+
+    def save(self) -> None:
+        self.by = {key: list(rows.items()) for key, rows in self.by.items()}
+        super().save()
+
+    def _own(self) -> dict:
+        return self.by.get(self.key, {})
+
+    def containsKey(self, key: tuple) -> bool:
+        return tuple(key) in self._own()
+
+    def getValue(self, key: tuple) -> tuple | None:
+        return self._own().get(tuple(key))
+
+    def updateValue(self, key: tuple, row: tuple) -> None:
+        self.by.setdefault(self.key, {})[tuple(key)] = tuple(row)
+
+    def removeKey(self, key: tuple) -> None:
+        self._own().pop(tuple(key), None)
+
+    def iterator(self) -> Iterator[tuple]:
+        return iter(list(self._own().items()))
+
+    def keys(self) -> Iterator[tuple]:
+        return iter(list(self._own()))
+
+    def values(self) -> Iterator[tuple]:
+        return iter(list(self._own().values()))
+
+
 class RichMap(StatefulProcessor):
-    def __init__(self, fn: Callable, cells: dict, order: list[str], out: list[str], opened: Callable | None, closed: Callable | None):
+    """One call of the function a key; ``key`` None: groups are keys, else buckets of this column of type ``kind``."""
+
+    def __init__(self, fn: Callable, cells: dict, order: list[str], out: list[str], opened: Callable | None, closed: Callable | None,
+                 key: str | None = None, kind: str = ""):
         self.fn, self.specs, self.order, self.out, self.opened, self.closed = fn, cells, order, out, opened, closed
+        self.key, self.kind = key, kind
         self.resource = None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cells = {name: spec.make(handle, name) for name, spec in self.specs.items()}
+        self.cells = {name: spec.make(handle, name) if self.key is None else spec.kept(handle, name, self.kind) for name, spec in self.specs.items()}
         if self.opened:
             self.resource = self.opened()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="mergesort").reset_index(drop=True)
-        args = (key[0], frame, self.cells) if self.opened is None else (key[0], frame, self.cells, self.resource)
-        got = self.fn(*args)
-        if got is not None and len(got):
-            yield got[self.out]
+        frames = rows if self.key is None else keyed(key, rows, self.key)
+        frame = pd.concat(list(frames), ignore_index=True).sort_values(self.order, kind="mergesort").reset_index(drop=True)
+        if self.key is None:
+            got = [self._mapped(key[0], frame)]
+        else:
+            kept = [c.cell if isinstance(c, ReducingCell) else c for c in self.cells.values()]
+            for cell in kept:
+                cell.open()
+            got = []
+            frame = frame.drop(columns=BUCKET)
+            codes, distinct = pd.factorize(frame[self.key], use_na_sentinel=False)
+            by = np.argsort(codes, kind="stable")
+            frame = frame.take(by)
+            ends = np.cumsum(np.bincount(codes)).tolist()
+            for begin, end, own in zip([0, *ends], ends, distinct):
+                for cell in kept:
+                    cell.at(plain(own))
+                got.append(self._mapped(plain(own), frame.iloc[begin:end].reset_index(drop=True)))
+            for cell in kept:
+                cell.save()
+        got = [g[self.out] for g in got if g is not None and len(g)]
+        if got:
+            with warnings.catch_warnings():  # about columns that are all null for a key
+                warnings.simplefilter("ignore", FutureWarning)
+                whole = pd.concat(got, ignore_index=True)
+            yield whole
+
+    def _mapped(self, key, frame: pd.DataFrame) -> pd.DataFrame | None:
+        args = (key, frame, self.cells) if self.opened is None else (key, frame, self.cells, self.resource)
+        return self.fn(*args)
 
     def close(self) -> None:
         if self.closed:
@@ -118,12 +249,14 @@ def rich_map_stream(df: DataFrame, key: str, order: list[str], cells: dict, fn:
     ``fn(key, rows, cells)`` gets a key's rows of a micro-batch as a pandas frame in ``order``; so a task holds those rows,
     which ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` of the source bound. ``opened()`` makes a task's resource (a
     connection, say), which ``fn`` gets as a fourth argument and ``closed(resource)`` releases at the end of the task.
-    Cells with a time to live need Spark's processing-time mode, which this sets if there are any.
+    Cells with a time to live are Spark's own, one per key, and need its processing-time mode, which this sets if there are
+    any. Else the cells of a bucket of keys are kept together (:class:`Kept`).
     """
     prepare(df.sparkSession)
-    mode = "ProcessingTime" if any(spec.ttl_ms for spec in cells.values()) else "None"
-    processor = RichMap(fn, cells, order, fields(schema), opened, closed)
-    return df.groupBy(key).transformWithStateInPandas(processor, schema, "Append", mode)
+    if any(spec.ttl_ms for spec in cells.values()):
+        return df.groupBy(key).transformWithStateInPandas(RichMap(fn, cells, order, fields(schema), opened, closed), schema, "Append", "ProcessingTime")
+    processor = RichMap(fn, cells, order, fields(schema), opened, closed, key, df.schema[key].dataType.simpleString())
+    return by_bucket(df, key).transformWithStateInPandas(processor, schema, "Append", "None")
 
 
 def read_cell(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
@@ -132,25 +265,30 @@ def read_cell(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
 
 
 class KeyedFold(StatefulProcessor):
-    """A :class:`Fold` whose accumulator is one cell per key; frames are added as they come, in any order."""
+    """A :class:`Fold` with one accumulator per key, those of a bucket as one frame; frames are added as they come, in any
+    order."""
 
     def __init__(self, key: str, fold: Fold):
-        self.key, self.fold, self.acc, self.whole = key, fold, fields(fold.acc), whole_numbers(fold.acc)
+        self.key, self.fold, self.cols, self.whole = key, fold, [KEY, *fields(fold.acc)], whole_numbers(fold.acc)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = handle.getValueState("acc", self.fold.acc)
+        self.cell = Frame(handle, "acc", self.cols)
 
-    def _merge(self, frame: pd.DataFrame) -> pd.DataFrame:
-        return typed(self.fold.merge(frame.assign(_k=0).groupby("_k"))[self.acc].reset_index(drop=True), self.whole)
+    def _by_key(self, fn: Callable, frame: pd.DataFrame) -> pd.DataFrame:
+        return typed(fn(frame.groupby(KEY, sort=False, dropna=False)).reset_index()[self.cols], self.whole)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = typed(pd.DataFrame([tuple(self.cell.get())], columns=self.acc), self.whole) if self.cell.exists() else None
-        for pdf in rows:
-            part = self.fold.add(pdf.assign(_k=0).groupby("_k"))[self.acc].reset_index(drop=True)
-            held = typed(part, self.whole) if held is None else self._merge(pd.concat([held, typed(part, self.whole)], ignore_index=True))
-        self.cell.update(tuples(held, self.acc)[0])
-        out = self.fold.finish(held).reset_index(drop=True)
-        out.insert(0, self.key, [plain(key[0])])
+        new = None
+        for pdf in keyed(key, rows, self.key):
+            part = self._by_key(self.fold.add, pdf.assign(**{KEY: pdf[self.key]}))
+            new = part if new is None else self._by_key(self.fold.merge, pd.concat([new, part], ignore_index=True))
+        held = typed(self.cell.get(), self.whole)
+        own = held[KEY].isin(new[KEY])
+        if own.any():
+            new = self._by_key(self.fold.merge, pd.concat([held[own], new], ignore_index=True))
+        self.cell.put(new if own.all() else pd.concat([held[~own], new], ignore_index=True))
+        out = self.fold.finish(new).reset_index(drop=True)
+        out.insert(0, self.key, [plain(k) for k in new[KEY]])
         yield out
 
     def close(self) -> None:
@@ -162,28 +300,31 @@ def fold_stream(df: DataFrame, key: str, fold: Fold, inputs: list[str]) -> DataF
     batch gives the new results of its keys (update mode)."""
     prepare(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, *[c for c in inputs if c != key]).groupBy(key).transformWithStateInPandas(
+    return by_bucket(df.select(key, *[c for c in inputs if c != key]), key).transformWithStateInPandas(
         KeyedFold(key, fold), f"`{key}` {kind}, {fold.result}", "Update", "None")
 
 
 class RollingReduce(StatefulProcessor):
-    """Running merges of a key's rows (A-4 on a stream); the last accumulator is the only state."""
+    """Running merges of the rows of keys (A-4 on a stream); every key's last accumulator is the only state."""
 
-    def __init__(self, order: str, cols: list[str], ddl: str, merge: Merge, out: list[str]):
-        self.order, self.cols, self.ddl, self.merge, self.out, self.whole = order, cols, ddl, merge, out, whole_numbers(ddl)
+    def __init__(self, key: str, order: str, cols: list[str], ddl: str, merge: Merge, out: list[str]):
+        self.key, self.order, self.cols, self.merge, self.out, self.whole = key, order, cols, merge, out, whole_numbers(ddl)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cell = handle.getValueState("acc", self.ddl)
+        self.cell = Frame(handle, "acc", [KEY, *self.cols])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="mergesort").reset_index(drop=True)
-        acc, at = typed(frame[self.cols], self.whole), 0
-        if self.cell.exists():
-            acc, at = pd.concat([typed(pd.DataFrame([tuple(self.cell.get())], columns=self.cols), self.whole), acc], ignore_index=True), 1
-        acc = running(acc, np.zeros(len(acc), int), self.merge)
-        self.cell.update(tuples(acc.iloc[[-1]], self.cols)[0])
+        held = self.cell.get()
+        of_held, frame, codes, keys = in_order(keyed(key, rows, self.key), held[KEY], self.key, [self.order])
+        order, both, new = in_front(of_held, codes)
+        acc = typed(frame[self.cols], self.whole)
+        if len(held):
+            acc = pd.concat([typed(held[self.cols], self.whole), acc], ignore_index=True)
+        acc = running(acc.iloc[order], both, self.merge)
+        last = np.append(both[1:] != both[:-1], True)
+        self.cell.put(typed(acc[last], self.whole).assign(**{KEY: keys.take(both[last]).to_numpy()}))
         for c in self.cols:
-            frame[c] = acc[c].iloc[at:].to_numpy()
+            frame[c] = acc[c][new].to_numpy()
         yield frame[self.out]
 
     def close(self) -> None:
@@ -196,8 +337,8 @@ def rolling_reduce_by_stream(df: DataFrame, key: str, order: str, start: dict[st
     prepare(df.sparkSession)
     whole = df.withColumns(start)
     ddl = lambda names: ", ".join(f"`{n}` {whole.schema[n].dataType.simpleString()}" for n in names)
-    processor = RollingReduce(order, list(start), ddl(start), merge, whole.columns)
-    return whole.groupBy(key).transformWithStateInPandas(processor, ddl(whole.columns), "Append", "None")
+    processor = RollingReduce(key, order, list(start), ddl(start), merge, whole.columns)
+    return by_bucket(whole, key).transformWithStateInPandas(processor, ddl(whole.columns), "Append", "None")
 
 
 class InstanceCount(StatefulProcessor):
