@@ -17,6 +17,7 @@ from sensorflow.operators.aggregates import words
 from sensorflow.schema import as_ntz, event_time, tumble_end
 from sensorflow.session import prepare
 from sensorflow.streaming import processors as P
+from sensorflow.streaming.buckets import BUCKETS, by_bucket
 from sensorflow.streaming.cells import fold_stream
 from sensorflow.streaming.event_windows import US, clocked
 
@@ -33,18 +34,16 @@ def word_count_stream(lines: DataFrame, col: str = "value", sep: str = " ") -> D
 def running_count_stream(df: DataFrame, key: str, order) -> DataFrame:
     prepare(df.sparkSession)
     order = [order] if isinstance(order, str) else list(order)
-    return df.groupBy(key).transformWithStateInPandas(
+    return by_bucket(df, key).transformWithStateInPandas(
         P.RunningCount(key, order), f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
 
 
-def running_count_many_keys_stream(df: DataFrame, key: str, order: list[str], buckets: int = 256) -> DataFrame:
-    """:func:`running_count_stream` where keys are many and mostly rare, such as words: state lies in ``buckets`` hash
-    buckets of keys, so a micro-batch makes one Python call a bucket instead of one a key."""
+def running_count_many_keys_stream(df: DataFrame, key: str, order: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """:func:`running_count_stream` in a chosen number of hash buckets of keys, for keys that are many and mostly rare,
+    such as words."""
     prepare(df.sparkSession)
-    src = df.select(key, *order, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("sf_bucket"))
-    return src.groupBy("sf_bucket").transformWithStateInPandas(
-        P.BucketRunningCount("sf_bucket", key, df.schema[key].dataType.simpleString(), order),
-        f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
+    return by_bucket(df.select(key, *order), key, buckets).transformWithStateInPandas(
+        P.RunningCount(key, order), f"{_ddl(df, key, *order)}, cnt bigint", "Append", "None")
 
 
 def rolling_max_by_stream(df: DataFrame, key: str, order: str, value: str, carry: list[str],
@@ -55,7 +54,7 @@ def rolling_max_by_stream(df: DataFrame, key: str, order: str, value: str, carry
     prepare(df.sparkSession)
     keep = list(keep or [])
     extra = "".join(f", `max_{c}` string" for c in carry)
-    out = df.groupBy(key).transformWithStateInPandas(
+    out = by_bucket(df, key).transformWithStateInPandas(
         P.RollingMaxBy(key, order, value, carry, keep),
         f"{_ddl(df, key, order, *keep)}, `max_{value}` double, `max_{order}` bigint{extra}", "Append", "None")
     for c in carry:  # state keeps carried fields as text; restore their types
@@ -66,7 +65,7 @@ def rolling_max_by_stream(df: DataFrame, key: str, order: str, value: str, carry
 def changelog_stream(df: DataFrame, key: str, order: str, value: str, sum_digits: int | None = None) -> DataFrame:
     """Retract stream of ``count, avg`` per key (A-6, ``toRetractStream``)."""
     prepare(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(
+    return by_bucket(df, key).transformWithStateInPandas(
         P.Changelog(key, order, value, sum_digits),
         f"{_ddl(df, key, order)}, change_seq int, is_insert boolean, cnt bigint, avg_value double",
         "Append", "None")
@@ -74,7 +73,7 @@ def changelog_stream(df: DataFrame, key: str, order: str, value: str, sum_digits
 
 def jump_alert_stream(df: DataFrame, key: str, order: str, value: str, threshold: float) -> DataFrame:
     prepare(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(
+    return by_bucket(df, key).transformWithStateInPandas(
         P.JumpAlert(key, order, value, threshold),
         f"{_ddl(df, key, order)}, `prev_{value}` double, `{value}` double", "Append", "None")
 
@@ -82,14 +81,14 @@ def jump_alert_stream(df: DataFrame, key: str, order: str, value: str, threshold
 def count_window_avg_stream(df: DataFrame, key: str, order: str, value: str, size: int = 5,
                             slide: int = 2) -> DataFrame:
     prepare(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(
+    return by_bucket(df, key).transformWithStateInPandas(
         P.CountWindowAvg(key, order, value, size, slide),
         f"{_ddl(df, key, order)}, n bigint, avg_value double", "Append", "None")
 
 
 def over_rows_stream(df: DataFrame, key: str, order: list[str], value: str, preceding: int = 2) -> DataFrame:
     prepare(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(
+    return by_bucket(df, key).transformWithStateInPandas(
         P.OverRows(key, order, value, preceding),
         f"{_ddl(df, key, *order)}, cnt bigint, avg_value double", "Append", "None")
 
@@ -106,7 +105,7 @@ def rise_alert_stream(df: DataFrame, key: str, order: str, time: str, value: str
     with ``late`` set instead of being dropped."""
     prepare(df.sparkSession)
     src = clocked(df.select(key, order, time, value), time, delay).drop(time)
-    return src.groupBy(key).transformWithStateInPandas(
+    return by_bucket(src, key).transformWithStateInPandas(
         P.RiseAlert(key, order, US, value, interval_s),
         f"{_ddl(df, key, order)}, start_ts timestamp_ntz, alert_ts timestamp_ntz, late boolean", "Append", "EventTime")
 
@@ -210,7 +209,7 @@ def over_rows_event_time_stream(df: DataFrame, key: str, time: str, seq: str, va
     behind the released point come out with ``late = true``, none is dropped."""
     prepare(df.sparkSession)
     src = clocked(df.select(key, time, seq, value), time, delay).drop(time)
-    return src.groupBy(key).transformWithStateInPandas(
+    return by_bucket(src, key).transformWithStateInPandas(
         P.OverRowsEventTime(key, time, US, seq, value, preceding),
         f"{_ddl(df, key)}, `{time}` timestamp_ntz, {_ddl(df, seq)}, cnt bigint, avg_value double, late boolean",
         "Append", "EventTime")

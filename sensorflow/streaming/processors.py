@@ -5,6 +5,9 @@ sorts the rows it receives by the order column, since Spark does not order
 rows within a group. Rows of one key must arrive in order *across*
 micro-batches (true for a time-ordered or sliced replay).
 
+But for the processing-time timers, groups are hash buckets of keys
+(:mod:`sensorflow.streaming.buckets`): a call works on all keys of a bucket.
+
 Output schemas are DDL strings next to each class.
 """
 
@@ -17,16 +20,12 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorflow.operators.alerts import JAVA_DOUBLE_MIN_VALUE
+from sensorflow.streaming.buckets import KEY, Frame, coded, frame_means, in_front, in_order, keyed, place, told
 from sensorflow.streaming.event_windows import NO_TIME, Alarm, watermark_ms
 
 
-def _rows(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(frames), ignore_index=True)
-    return pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-
-
 class RunningCount(StatefulProcessor):
-    """Keyed ValueState counter (F-1, and the per-record word count of A-2):
+    """Keyed counter (F-1, and the per-record word count of A-2):
     emits ``(key, *order, cnt)`` per row."""
 
     def __init__(self, key: str, order):
@@ -34,46 +33,15 @@ class RunningCount(StatefulProcessor):
         self.order = [order] if isinstance(order, str) else list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
+        self.counts = Frame(handle, "count", [KEY, "n"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
-        base = self.count.get()[0] if self.count.exists() else 0
-        cnt = base + np.arange(1, len(pdf) + 1, dtype="int64")
-        self.count.update((int(cnt[-1]),))
-        out = {self.key: pdf[self.key]}
-        for c in self.order:
-            out[c] = pdf[c]
-        out["cnt"] = cnt
-        yield pd.DataFrame(out)
-
-    def close(self) -> None:
-        pass
-
-
-class BucketRunningCount(StatefulProcessor):
-    """:class:`RunningCount` for very many keys (A-2, one output per word): the state of a hash bucket of keys is a map
-    from key to count, and only the keys of the batch are read and written. A bucket's rows are numbered together, so
-    the cost per key is two state calls."""
-
-    def __init__(self, bucket: str, key: str, key_ddl: str, order: list[str]):
-        self.bucket, self.key, self.key_ddl, self.order = bucket, key, key_ddl, order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", f"k {self.key_ddl}", "n bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
-        own = pdf.groupby(self.key, sort=False, dropna=False)
-        within, sizes = own.cumcount() + 1, own.size()
-        base = []
-        for k, n in zip(sizes.index.tolist(), sizes.tolist()):
-            at = (None if pd.isna(k) else k,)
-            held = self.counts.getValue(at) if self.counts.containsKey(at) else (0,)
-            self.counts.updateValue(at, (held[0] + n,))
-            base.append(held[0])
-        cnt = within.to_numpy("int64") + np.array(base, "int64")[own.ngroup().to_numpy()]
-        yield pd.DataFrame({self.key: pdf[self.key], **{c: pdf[c] for c in self.order}, "cnt": cnt})
+        held = self.counts.get()
+        of_held, pdf, codes, keys = in_order(keyed(key, rows, self.key), held[KEY], self.key, self.order)
+        base = np.zeros(len(keys), "int64")
+        base[of_held] = held["n"].to_numpy("int64")
+        self.counts.put(pd.DataFrame({KEY: keys, "n": base + np.bincount(codes, minlength=len(keys))}))
+        yield pd.DataFrame({self.key: pdf[self.key], **{c: pdf[c] for c in self.order}, "cnt": base[codes] + place(codes) + 1})
 
     def close(self) -> None:
         pass
@@ -87,21 +55,22 @@ class JumpAlert(StatefulProcessor):
         self.key, self.order, self.value, self.threshold = key, order, value, threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "v double")
+        self.last = Frame(handle, "last", [KEY, "v"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
-        v = pdf[self.value].astype("float64")
-        prev = v.shift(1)
-        has_prev = pd.Series(True, index=pdf.index)
-        if self.last.exists():
-            prev.iloc[0] = self.last.get()[0]
-        else:
-            has_prev.iloc[0] = False
-        self.last.update((float(v.iloc[-1]),))
-        hit = has_prev & ((v - prev).abs() >= self.threshold)
-        yield pd.DataFrame({self.key: pdf[self.key][hit], self.order: pdf[self.order][hit],
-                            f"prev_{self.value}": prev[hit], self.value: v[hit]})
+        held = self.last.get()
+        of_held, pdf, codes, keys = in_order(keyed(key, rows, self.key), held[KEY], self.key, [self.order])
+        order, both, new = in_front(of_held, codes)
+        v = np.concatenate([held["v"].to_numpy("float64"), pdf[self.value].to_numpy("float64")])[order]
+        prev = np.concatenate([[np.nan], v[:-1]])
+        hit = (place(both) > 0) & (np.abs(v - prev) >= self.threshold)
+        last = np.append(both[1:] != both[:-1], True)
+        self.last.put(pd.DataFrame({KEY: keys.take(both[last]).to_numpy(), "v": v[last]}))
+        at = hit[new]  # a state row is its key's first, so never a hit
+        yield pd.DataFrame({self.key: pdf[self.key][at], self.order: pdf[self.order][at], f"prev_{self.value}": prev[hit], self.value: v[hit]})
+
+    def close(self) -> None:
+        pass
 
 
 class CountWindowAvg(StatefulProcessor):
@@ -112,23 +81,27 @@ class CountWindowAvg(StatefulProcessor):
         self.key, self.order, self.value, self.size, self.slide = key, order, value, size, slide
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
-        self.tail = handle.getListState("tail", "v double")
+        self.counts = Frame(handle, "count", [KEY, "n"])
+        self.tail = Frame(handle, "tail", [KEY, "v"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
-        base = self.count.get()[0] if self.count.exists() else 0
-        tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
-        vals = pd.Series(tail + pdf[self.value].astype("float64").tolist())
-        avg = vals.rolling(self.size, min_periods=1).mean().iloc[len(tail):].to_numpy()
-        rn = base + np.arange(1, len(pdf) + 1, dtype="int64")
+        held, tail = self.counts.get(), self.tail.get()
+        of_held, pdf, codes, keys = in_order(keyed(key, rows, self.key), pd.concat([held[KEY], tail[KEY]], ignore_index=True), self.key, [self.order])
+        of_held, of_tail = of_held[: len(held)], of_held[len(held):]
+        base = np.zeros(len(keys), "int64")
+        base[of_held] = held["n"].to_numpy("int64")
+        avg, _, left = frame_means(tail, of_tail, pdf[self.value], codes, keys, self.size)
+        rn = base[codes] + place(codes) + 1
         n = np.minimum(rn, self.size)  # rows of the frame, null values included
         fire = rn % self.slide == 0
-        self.count.update((int(rn[-1]),))
-        self.tail.put([(float(x),) for x in vals.iloc[-(self.size - 1):]] if self.size > 1 else [])
+        self.counts.put(pd.DataFrame({KEY: keys, "n": base + np.bincount(codes, minlength=len(keys))}))
+        self.tail.put(left)
         yield pd.DataFrame({self.key: pdf[self.key][fire], self.order: pdf[self.order][fire],
                             "n": n[fire].astype("int64"), "avg_value": avg[fire]})
 
+    def close(self) -> None:
+        pass
+
 
 class OverRows(StatefulProcessor):
     """Row-frame OVER window (W-8) on a stream (Spark rejects row frames on
@@ -139,22 +112,19 @@ class OverRows(StatefulProcessor):
         self.key, self.order, self.value, self.preceding = key, order, value, preceding
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getListState("tail", "v double")
+        self.tail = Frame(handle, "tail", [KEY, "v"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
-        tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
-        vals = pd.Series(tail + pdf[self.value].astype("float64").tolist())
-        w = vals.rolling(self.preceding + 1, min_periods=1)
+        tail = self.tail.get()
+        of_tail, pdf, codes, keys = in_order(keyed(key, rows, self.key), tail[KEY], self.key, self.order)
+        avg, n, left = frame_means(tail, of_tail, pdf[self.value], codes, keys, self.preceding + 1)
+        self.tail.put(left)
         # rows of the frame, null values included; a null key is not counted, as in count(key)
-        cnt = np.minimum(np.arange(len(tail) + 1, len(vals) + 1), self.preceding + 1) * (key[0] is not None)
-        avg = w.mean().iloc[len(tail):].to_numpy()
-        self.tail.put([(float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
-        out = {self.key: pdf[self.key]}
-        for c in self.order:
-            out[c] = pdf[c]
-        out.update({"cnt": cnt, "avg_value": avg})
-        yield pd.DataFrame(out)
+        yield pd.DataFrame({self.key: pdf[self.key], **{c: pdf[c] for c in self.order},
+                            "cnt": n * pdf[self.key].notna().to_numpy(), "avg_value": avg})
+
+    def close(self) -> None:
+        pass
 
 
 class RiseAlert(StatefulProcessor):
@@ -178,32 +148,48 @@ class RiseAlert(StatefulProcessor):
         self.interval_us = interval_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "v double")
-        self.run = handle.getValueState("run", "o bigint, t bigint, deadline bigint, timer bigint, fired boolean")
+        self.keys = Frame(handle, "keys", [KEY, "v", "o", "t", "deadline", "timer", "fired"])  # the last value and the open run
+        self.alarm = Alarm(handle)
 
     def _frame(self, key, order, start, alert, late: bool) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]] * len(order), self.order: order, "start_ts": pd.to_datetime(start, unit="us"),
+        return pd.DataFrame({self.key: told(pd.Series(key)).array, self.order: order, "start_ts": pd.to_datetime(start, unit="us"),
                              "alert_ts": pd.to_datetime(alert, unit="us"), "late": late})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = watermark_ms(timerValues)
         parts = []
-        for pdf in rows:
+        for pdf in keyed(key, rows, self.key):
             us = pdf[self.us].to_numpy("int64")
             late = (us == NO_TIME) | (us <= wm * 1000)
             if late.any():
                 times = pd.Series(us[late]).where(us[late] != NO_TIME)
-                yield self._frame(key, pdf[self.order][late].to_numpy(), times, [None] * int(late.sum()), True)
-            parts.append(pdf[~late])
-        pdf = _rows(iter(parts), [self.order])
-        if not len(pdf):
+                yield self._frame(pdf[self.key][late].to_numpy(), pdf[self.order][late].to_numpy(), times, [None] * int(late.sum()), True)
+            if not late.all():
+                parts.append(pdf[~late])
+        if not parts:
             return
-        last = self.last.get()[0] if self.last.exists() else JAVA_DOUBLE_MIN_VALUE
-        run = self.run.get() if self.run.exists() else None
+        held = self.keys.get()
+        of_held, pdf, codes, keys = in_order(iter(parts), held[KEY], self.key, [self.order])
+        last, runs = [JAVA_DOUBLE_MIN_VALUE] * len(keys), [None] * len(keys)
+        for k, v, *run in zip(of_held.tolist(), *[held[c].tolist() for c in self.keys.cols[1:]]):
+            last[k], runs[k] = v, None if pd.isna(run[0]) else tuple(run)
         v, t, o = pdf[self.value].to_numpy("float64"), pdf[self.us].to_numpy("int64"), pdf[self.order].to_numpy()
-        before = np.concatenate([[np.nan if last is None else last], v[:-1]])
+        first = place(codes) == 0
+        before = np.where(first, np.array(last, "float64")[codes], np.concatenate([[np.nan], v[:-1]]))
         rise = v > np.where(np.isnan(before), JAVA_DOUBLE_MIN_VALUE, before)  # after a null as at the start
+        ends = np.append(np.flatnonzero(first)[1:], len(v))
+        alerts = []
+        for begin, end, k in zip(np.flatnonzero(first).tolist(), ends.tolist(), codes[first].tolist()):
+            runs[k], due = self._rows(v[begin:end], t[begin:end], o[begin:end], rise[begin:end], runs[k])
+            alerts += [(k, *x) for x in due]
+            last[k] = v[end - 1]
+        self._save(keys, last, runs)
+        if alerts:
+            k, *rest = (list(x) for x in zip(*alerts))
+            yield self._frame(keys.take(k).to_numpy(), *rest, False)
+
+    def _rows(self, v, t, o, rise, run) -> tuple[tuple | None, list[tuple]]:
+        """A key's rows in order: its open run after them and the alerts that they give."""
         falls = np.append(np.flatnonzero(~rise), len(v))  # ends of rising runs
         alerts, at = [], 0
         while at < len(v):
@@ -224,35 +210,41 @@ class RiseAlert(StatefulProcessor):
                     alerts += self._end(run, t[at] > run[2])
                     run = None
                 at += 1
-        self.last.update((None if np.isnan(v[-1]) else float(v[-1]),))
-        if run is None:
-            self.run.clear()
-        else:
-            self.run.update(run)
-        if alerts:
-            yield self._frame(key, *(list(x) for x in zip(*alerts)), False)
+        return run, alerts
 
     def _start(self, order, us) -> tuple:
         deadline = int(us) + self.interval_us
-        timer = -(-deadline // 1000)
-        self.handle.registerTimer(timer)
-        return int(order), int(us), deadline, timer, False
+        return int(order), int(us), deadline, -(-deadline // 1000), False
 
     def _end(self, run: tuple, alert: bool) -> list[tuple]:
         """The run's alert, if it is due and was not given yet."""
-        order, us, deadline, timer, fired = run
-        if fired:
-            return []
-        self.handle.deleteTimer(timer)
-        return [(order, us, deadline)] if alert else []
+        order, us, deadline, _, fired = run
+        return [(order, us, deadline)] if alert and not fired else []
+
+    def _save(self, keys: pd.Series, last: list, runs: list) -> None:
+        """State of all keys of the bucket, with the alarm at the first deadline of a run."""
+        none = (None,) * 5
+        cells = zip(*[run or none for run in runs])
+        frame = pd.DataFrame({KEY: keys, "v": pd.Series(last, dtype="float64")})
+        for c, cell in zip(self.keys.cols[2:], cells):
+            frame[c] = pd.array(cell, dtype="boolean" if c == "fired" else "Int64")
+        self.keys.put(frame)
+        timers = [run[3] for run in runs if run and not run[4]]
+        if timers:
+            self.alarm.no_later_than(min(timers))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.run.exists():
-            return
-        order, us, deadline, timer, fired = self.run.get()
-        if not fired and timer == expiredTimerInfo.getExpiryTimeInMs():
-            self.run.update((order, us, deadline, timer, True))
-            yield self._frame(key, [order], [us], [deadline], False)
+        self.alarm.went_off()
+        wm = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held = self.keys.get()
+        due = ((held["timer"] <= wm) & ~held["fired"]).fillna(False).to_numpy(bool)
+        held.loc[due, "fired"] = True
+        self.keys.put(held)
+        rest = held["timer"][~held["fired"].fillna(True).to_numpy(bool)]
+        if len(rest):
+            self.alarm.no_later_than(int(rest.min()))
+        if due.any():
+            yield self._frame(*(held[c][due].to_numpy() for c in (KEY, "o")), *(held[c][due].to_numpy("int64") for c in ("t", "deadline")), False)
 
     def close(self) -> None:
         pass
@@ -290,42 +282,34 @@ class RollingMaxBy(StatefulProcessor):
         self.keep = list(keep or [])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = ", ".join([f"v double", "o bigint"] + [f"c{i} string" for i in range(len(self.carry))])
-        self.best = handle.getValueState("best", fields)
+        self.best = Frame(handle, "best", [KEY, "v", "o", *[f"c{i}" for i in range(len(self.carry))]])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
-        best = self.best.get() if self.best.exists() else None
-        value = pdf[self.value].astype("float64")
-        rank = value.fillna(-np.inf).to_numpy()  # a null is below every value
-        start = -np.inf if best is None or best[0] is None or np.isnan(best[0]) else best[0]
-        before = np.concatenate([[start], np.maximum.accumulate(np.maximum(rank, start))[:-1]])
-        better = rank > before
-        if best is None:
-            better[0] = True  # the first record of a key, whatever its value
-        at = np.maximum.accumulate(np.where(better, np.arange(len(rank)), -1))
-        old = at < 0
-        pick = np.maximum(at, 0)
-
-        def told(col, earlier):
-            now = col.iloc[pick].reset_index(drop=True).astype(object)
-            now[old] = earlier
-            return now.where(now.notna(), None)
-        out = {self.key: pdf[self.key], self.order: pdf[self.order]}
-        for c in self.keep:
-            out[c] = pdf[c]
-        out[f"max_{self.value}"] = told(value, best[0] if best else None)
-        out[f"max_{self.order}"] = told(pdf[self.order], best[1] if best else None)
-        for j, c in enumerate(self.carry):
-            text = pdf[c].astype(str).where(pdf[c].notna(), None)
-            out[f"max_{c}"] = told(text, best[2 + j] if best else None)
-        last = [out[f"max_{self.value}"].iloc[-1], out[f"max_{self.order}"].iloc[-1]]
-        self.best.update((None if last[0] is None else float(last[0]), int(last[1]),
-                          *[out[f"max_{c}"].iloc[-1] for c in self.carry]))
-        frame = pd.DataFrame(out)
-        frame[f"max_{self.value}"] = frame[f"max_{self.value}"].astype("float64")
-        frame[f"max_{self.order}"] = frame[f"max_{self.order}"].astype("int64")
-        yield frame
+        held = self.best.get()
+        of_held, pdf, codes, keys = in_order(keyed(key, rows, self.key), held[KEY], self.key, [self.order])
+        order, both, new = in_front(of_held, codes)
+        value = pd.Series(np.concatenate([held["v"].to_numpy("float64"), pdf[self.value].to_numpy("float64")])[order])
+        rank = value.fillna(-np.inf)  # a null is below every value
+        first = place(both) == 0
+        before = rank.groupby(both).cummax().shift().to_numpy()
+        better = first | (rank.to_numpy() > before)  # the first record of a key, whatever its value
+        at = np.maximum.accumulate(np.where(better, np.arange(len(rank)), 0))
+        texts = [pdf[c].astype(str).where(pdf[c].notna(), None) for c in self.carry]
+
+        def best_so_far(earlier: pd.Series, own: pd.Series) -> pd.Series:
+            col = own if not len(earlier) else pd.concat([earlier, own], ignore_index=True)
+            return col.take(order[at]).reset_index(drop=True)
+        best = {"v": value.take(at).reset_index(drop=True), "o": best_so_far(held["o"], pdf[self.order].astype("Int64")),
+                **{f"c{i}": best_so_far(held[f"c{i}"], text) for i, text in enumerate(texts)}}
+        last = np.append(both[1:] != both[:-1], True)
+        self.best.put(pd.DataFrame({KEY: keys.take(both[last]).to_numpy(), **{c: x[last].to_numpy() if c != "o" else x[last].array for c, x in best.items()}}))
+        out = {self.key: pdf[self.key], self.order: pdf[self.order], **{c: pdf[c] for c in self.keep}}
+        for name, c in zip([self.value, self.order, *self.carry], best):
+            out[f"max_{name}"] = best[c][new].array
+        yield pd.DataFrame(out)
+
+    def close(self) -> None:
+        pass
 
 
 class Changelog(StatefulProcessor):
@@ -337,48 +321,51 @@ class Changelog(StatefulProcessor):
         self.key, self.order, self.value, self.sum_digits = key, order, value, sum_digits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "n bigint, c bigint, s double")
+        self.acc = Frame(handle, "acc", [KEY, "n", "c", "s"])
 
-    def _avg(self, c, s):
-        if not c:
-            return None
+    def _avg(self, c: np.ndarray, s: np.ndarray) -> np.ndarray:
+        """The averages, null (NaN) over no values."""
         if self.sum_digits is not None:
             from decimal import ROUND_HALF_UP, Decimal
-            s = float(Decimal(repr(s)).quantize(Decimal(1).scaleb(-self.sum_digits), ROUND_HALF_UP))
-        return s / c
+            unit = Decimal(1).scaleb(-self.sum_digits)
+            s = np.array([float(Decimal(repr(x)).quantize(unit, ROUND_HALF_UP)) for x in s.tolist()], "float64")
+        return np.divide(s, c, out=np.full(len(s), np.nan), where=c > 0)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.order])
-        n, c, s = self.acc.get() if self.acc.exists() else (0, 0, 0.0)
-        out = []
-        for o, v in zip(pdf[self.order].tolist(), pdf[self.value].tolist()):
-            old = (n, self._avg(c, s))
-            n += 1
-            if v is not None and not pd.isna(v):
-                c += 1
-                s += float(v)
-            new = (n, self._avg(c, s))
-            if old[0] == 0:
-                out.append((o, 1, True) + new)
-            elif old != new:
-                out.append((o, 0, False) + old)
-                out.append((o, 1, True) + new)
-        self.acc.update((n, c, s))
-        if out:
-            df = pd.DataFrame(out, columns=[self.order, "change_seq", "is_insert", "cnt", "avg_value"])
-            df.insert(0, self.key, key[0])
-            yield df
+        held = self.acc.get()
+        of_held, pdf, codes, keys = in_order(keyed(key, rows, self.key), held[KEY], self.key, [self.order])
+        order, both, new = in_front(of_held, codes)
+        v = pdf[self.value].to_numpy("float64")
+        there = ~np.isnan(v)
+        # state rows lead with their totals, so running sums go on from them
+        n, c, s = (np.concatenate([held[x].to_numpy(own.dtype), own])[order] for x, own in
+                   (("n", np.ones(len(v), "int64")), ("c", there.astype("int64")), ("s", np.where(there, v, 0.0))))
+        begins = np.flatnonzero(place(both) == 0)
+        for x in (n, c, s):
+            for begin, end in zip(begins.tolist(), np.append(begins[1:], len(both)).tolist()):
+                np.cumsum(x[begin:end], out=x[begin:end])
+        last = np.append(both[1:] != both[:-1], True)
+        self.acc.put(pd.DataFrame({KEY: keys.take(both[last]).to_numpy(), "n": n[last], "c": c[last], "s": s[last]}))
+        avg = self._avg(c, s)
+        old_n, old_avg = np.where(place(both) > 0, np.roll(n, 1), 0)[new], np.roll(avg, 1)[new]
+        n, avg = n[new], avg[new]
+        insert = pd.DataFrame({self.key: pdf[self.key], self.order: pdf[self.order], "change_seq": 1, "is_insert": True, "cnt": n, "avg_value": avg})
+        retract = insert.assign(change_seq=0, is_insert=False, cnt=old_n, avg_value=old_avg)[old_n > 0]
+        yield pd.concat([insert, retract]).sort_index(kind="stable")
+
+    def close(self) -> None:
+        pass
 
 
 class OverRowsEventTime(StatefulProcessor):
     """Row-frame OVER window in event-time order on a stream (W-8, exact).
 
-    Rows are buffered per key and released in ``(event time, seq)`` order once
-    the watermark has passed them; the frame takes the last ``preceding``
-    released values from state. One event-time timer per key is pending at a
+    Rows are buffered and released by key in ``(event time, seq)`` order once
+    the watermark has passed them; the frame takes the key's last ``preceding``
+    released values from state. One event-time timer per bucket is pending at a
     time (at the earliest buffered row); when it fires, every buffered row
     behind the current watermark is released and the timer is re-armed at the
-    next buffered row. A row that arrives behind the released point, or
+    next buffered row. A row that arrives behind the point its key is released to, or
     without an event time, is late: it is emitted with ``late = true`` and a
     frame of itself only. Counts are those of ``count(key)``: null values
     count, a null key does not.
@@ -388,53 +375,56 @@ class OverRowsEventTime(StatefulProcessor):
         self.key, self.time, self.us, self.seq, self.value, self.preceding = key, time, us, seq, value, preceding
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buf = handle.getListState("buf", "t bigint, o bigint, v double")
-        self.tail = handle.getListState("tail", "v double")
-        self.point = handle.getValueState("point", "t bigint, o bigint")
+        self.buf = Frame(handle, "buf", [KEY, "t", "o", "v"])
+        self.tail = Frame(handle, "tail", [KEY, "v"])
+        self.point = Frame(handle, "point", [KEY, "t", "o"])
         self.alarm = Alarm(handle)
 
-    def _emit(self, key, t, o, cnt, avg, late) -> pd.DataFrame:
-        counts = np.asarray(cnt, "int64") * (key[0] is not None)
-        times = pd.Series(np.asarray(t, "int64"))
-        return pd.DataFrame({self.key: [key[0]] * len(o), self.time: pd.to_datetime(times.where(times != NO_TIME), unit="us"),
-                             self.seq: o, "cnt": counts, "avg_value": avg, "late": late})
+    def _emit(self, rows: pd.DataFrame, cnt, avg, late) -> pd.DataFrame:
+        counts = np.asarray(cnt, "int64") * rows[KEY].notna().to_numpy()
+        times = rows["t"].reset_index(drop=True)
+        return pd.DataFrame({self.key: told(rows[KEY]).to_numpy(), self.time: pd.to_datetime(times.where(times != NO_TIME), unit="us"),
+                             self.seq: rows["o"].to_numpy(), "cnt": counts, "avg_value": avg, "late": late})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        point = tuple(self.point.get()) if self.point.exists() else (NO_TIME, 0)
+        point = self.point.get()
         first = None
-        for pdf in rows:
-            t, o, v = pdf[self.us].to_numpy("int64"), pdf[self.seq].to_numpy("int64"), pdf[self.value].to_numpy("float64")
-            late = (t == NO_TIME) | (t < point[0]) | ((t == point[0]) & (o <= point[1]))
+        for pdf in keyed(key, rows, self.key):
+            own = pd.DataFrame({KEY: pdf[self.key].to_numpy(), "t": pdf[self.us].to_numpy("int64"), "o": pdf[self.seq].to_numpy("int64"),
+                                "v": pdf[self.value].to_numpy("float64")})
+            of_point, codes, keys = coded(point[KEY], own[KEY])
+            at, seq = np.full(len(keys), NO_TIME), np.zeros(len(keys), "int64")
+            at[of_point], seq[of_point] = point["t"].to_numpy("int64"), point["o"].to_numpy("int64")
+            at, seq, t, o = at[codes], seq[codes], own["t"].to_numpy(), own["o"].to_numpy()
+            late = (t == NO_TIME) | (t < at) | ((t == at) & (o <= seq))
             if late.any():
-                yield self._emit(key, t[late], o[late], np.ones(int(late.sum())), v[late], True)
-            keep = ~late
-            if keep.any():
-                self.buf.appendList([(a, b, None if np.isnan(c) else c) for a, b, c in zip(t[keep].tolist(), o[keep].tolist(), v[keep].tolist())])
-                first = int(t[keep].min()) if first is None else min(first, int(t[keep].min()))
+                yield self._emit(own[late], np.ones(int(late.sum())), own["v"][late].to_numpy(), True)
+            if not late.all():
+                self.buf.append(own[~late])
+                first = int(t[~late].min()) if first is None else min(first, int(t[~late].min()))
         if first is not None:
             self.alarm.no_later_than(-(-first // 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.went_off()
         limit_us = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
-        pending = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [], columns=["t", "o", "v"])
-        pending["v"] = pending["v"].astype("float64")
-        due = pending["t"] <= limit_us
-        ready, rest = pending[due].sort_values(["t", "o"], kind="mergesort"), pending[~due]
+        pending, tail, point = self.buf.get(), self.tail.get(), self.point.get()
+        due = (pending["t"] <= limit_us).to_numpy(bool)
+        rest = pending[~due]
+        self.buf.put(rest)
         if len(rest):
-            self.buf.put([(a, b, None if np.isnan(c) else c) for a, b, c in zip(*[rest[x].tolist() for x in ("t", "o", "v")])])
             self.alarm.no_later_than(-(-int(rest["t"].min()) // 1000))
-        else:
-            self.buf.clear()
-        if not len(ready):
+        if not due.any():
             return
-        tail = [x[0] for x in self.tail.get()] if self.tail.exists() else []
-        vals = pd.Series([*tail, *ready["v"].tolist()], dtype="float64")
-        avg = vals.rolling(self.preceding + 1, min_periods=1).mean().iloc[len(tail):].tolist()
-        cnt = np.minimum(np.arange(len(tail) + 1, len(vals) + 1), self.preceding + 1)
-        self.tail.put([(None if np.isnan(x) else float(x),) for x in vals.iloc[-self.preceding:]] if self.preceding else [])
-        self.point.update((int(ready["t"].iloc[-1]), int(ready["o"].iloc[-1])))
-        yield self._emit(key, ready["t"], ready["o"].tolist(), cnt, avg, False)
+        held = pd.concat([tail[KEY], point[KEY]], ignore_index=True)
+        of_held, ready, codes, keys = in_order(iter([pending[due]]), held, KEY, ["t", "o"])
+        avg, cnt, left = frame_means(tail, of_held[: len(tail)], ready["v"], codes, keys, self.preceding + 1)
+        self.tail.put(left)
+        last = np.append(codes[1:] != codes[:-1], True)
+        others = point[~np.isin(of_held[len(tail):], codes)]
+        ends = ready.loc[last, [KEY, "t", "o"]]
+        self.point.put(pd.concat([others, ends], ignore_index=True) if len(others) else ends)
+        yield self._emit(ready, cnt, avg, False)
 
     def close(self) -> None:
         pass
