@@ -6,9 +6,12 @@ own) in two steps, a group of classes and the class in it; the id within its
 class comes from the ids' counts over all training documents. Windows of ``2 * STEP`` inputs advance by ``STEP``; each scores the
 inputs of its second half (the first window of a text all of its inputs), so
 every token is scored once, with between STEP and 2 * STEP inputs of context.
-All windows of a batch go through masked attention together. The weights are
-fitted on the ``FIT_DOCS`` training documents with the smallest hash of id;
-everything counted covers the whole corpus.
+All windows of a batch go through masked attention together. The weights
+start from a fit on the ``FIT_DOCS`` training documents with the smallest hash
+of id, then learn from every token of all training documents: in each of
+``ROUNDS`` rounds every task goes through its share of a part of the documents
+from the same weights, and Spark averages the tasks' weights by tokens. Classes
+and everything else counted cover the whole corpus.
 
 The baseline needs the training count of each word of each text. A task turns
 its documents into chunks of about ``CHUNK_WORDS`` words; a chunk asks for the
@@ -23,6 +26,7 @@ are training rows; repeated rows count each. With no training rows counts are
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +51,11 @@ SHARED_INPUTS = 256
 FIT_DOCS = 400
 FIT_STEPS = 400
 FIT_BLOCKS = 128
+#: Rounds of learning from all training documents, each from its part of them; blocks of one of its steps.
+ROUNDS = 4
+ROUND_BLOCKS = 512
+#: Weights of a piece that one row carries.
+PIECE = 1 << 14
 CHUNK_WORDS = 1 << 18
 #: Distinct words of one chunk that a bucket answers, about.
 BUCKET_WORDS = 1 << 13
@@ -147,19 +156,27 @@ class Attention:
         flat = lambda m: m.reshape(-1, m.shape[-1])
         real = np.flatnonzero(y >= 0)
         n = max(1, len(real))
-        hr, group, rest = flat(h)[real], y.reshape(-1)[real] // GROUP, y.reshape(-1)[real] % GROUP
-        row, cols = np.arange(len(real)), group[:, None] * GROUP + np.arange(GROUP)
+        order = real[np.argsort((y.reshape(-1)[real] // GROUP).astype(np.uint16), kind="stable")]
+        hr, group, rest = flat(h)[order], y.reshape(-1)[order] // GROUP, y.reshape(-1)[order] % GROUP
+        row = np.arange(len(real))
         pt = log_softmax(hr @ self.top + self.top_bias)
-        pl = log_softmax(np.take_along_axis(hr @ self.out + self.bias, cols, 1))
-        loss = -(pt[row, group] + pl[row, rest]).mean() if len(real) else 0.0
-        dt, dl = np.exp(pt) / np.float32(n), np.exp(pl) / np.float32(n)
+        dt = np.exp(pt) / np.float32(n)
         dt[row, group] -= np.float32(1 / n)
-        dl[row, rest] -= np.float32(1 / n)
-        d = np.zeros((len(real), self.out.shape[1]), hr.dtype)
-        np.put_along_axis(d, cols, dl, 1)
-        g = {"out": hr.T @ d, "bias": d.sum(0), "top": hr.T @ dt, "top_bias": dt.sum(0)}
+        g = {"out": np.zeros_like(self.out), "bias": np.zeros_like(self.bias), "top": hr.T @ dt, "top_bias": dt.sum(0)}
+        down, total = dt @ self.top.T, pt[row, group].sum()
+        cuts = np.searchsorted(group, np.arange(self.top.shape[1] + 1))
+        for j in np.flatnonzero(np.diff(cuts)):
+            s, c = slice(cuts[j], cuts[j + 1]), slice(j * GROUP, (j + 1) * GROUP)
+            pl = log_softmax(hr[s] @ self.out[:, c] + self.bias[c])
+            one = np.arange(len(pl))
+            total += pl[one, rest[s]].sum()
+            dl = np.exp(pl) / np.float32(n)
+            dl[one, rest[s]] -= np.float32(1 / n)
+            g["out"][:, c], g["bias"][c] = hr[s].T @ dl, dl.sum(0)
+            down[s] += dl @ self.out[:, c].T
+        loss = -total / n
         dh = np.zeros_like(h)
-        flat(dh)[real] = d @ self.out.T + dt @ self.top.T
+        flat(dh)[order] = down
         g["o"] = flat(z).T @ flat(dh)
         dz = dh @ self.o.T
         da = dz @ v.transpose(0, 2, 1)
@@ -171,9 +188,8 @@ class Attention:
         g["q"], g["k"], g["v"] = flat(own).T @ flat(dq), flat(ctx).T @ flat(dk), flat(ctx).T @ flat(dv)
         dctx = dk @ self.k.T + dv @ self.v.T
         down = dh + dq @ self.q.T + dctx[:, STEP:]
-        ge = np.zeros_like(self.e)
-        np.add.at(ge, np.concatenate([x.reshape(-1), past.reshape(-1)]), np.concatenate([flat(down), flat(dctx[:, :STEP])]))
-        g["e"] = ge
+        seen, moved = np.concatenate([x.reshape(-1), past.reshape(-1)]), np.concatenate([flat(down), flat(dctx[:, :STEP])])
+        g["e"] = np.stack([np.bincount(seen, moved[:, j], len(self.e)) for j in range(DIM)], 1).astype(self.e.dtype)
         return loss, g
 
 
@@ -182,6 +198,20 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+class _Adam:
+    def __init__(self, m: Attention):
+        self.m, self.t = m, 0
+        self.first, self.second = ({n: np.zeros_like(getattr(m, n)) for n in m.names} for _ in range(2))
+
+    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.t += 1
+        for n in self.m.names:
+            self.first[n] = 0.9 * self.first[n] + 0.1 * g[n]
+            self.second[n] = 0.99 * self.second[n] + 0.01 * g[n] ** 2
+            move = rate * (self.first[n] / (1 - 0.9**self.t)) / (np.sqrt(self.second[n] / (1 - 0.99**self.t)) + 1e-8)
+            setattr(self.m, n, (getattr(self.m, n) - move).astype(np.float32))
+
+
 def fit_attention(layout: Layout, ids: np.ndarray, off: np.ndarray, steps: int = FIT_STEPS, seed: int = 11) -> Attention:
     """Adam on random blocks of the sample."""
     m = Attention(layout.rows, layout.classes)
@@ -189,17 +219,64 @@ def fit_attention(layout: Layout, ids: np.ndarray, off: np.ndarray, steps: int =
     if not len(x):
         return m
     past = np.concatenate([x[:1], x[:-1]])
-    r = np.random.default_rng(seed)
-    first, second = ({n: np.zeros_like(getattr(m, n)) for n in m.names} for _ in range(2))
+    r, adam = np.random.default_rng(seed), _Adam(m)
     for t in range(1, steps + 1):
         pick = r.integers(0, len(x), min(FIT_BLOCKS, len(x)))
         _, g = m.gradients(x[pick], past[pick], _mask(before[pick]), y[pick])
-        rate = 0.02 * min(1, t / 20) * (1 - 0.9 * t / steps)
-        for n in m.names:
-            first[n] = 0.9 * first[n] + 0.1 * g[n]
-            second[n] = 0.99 * second[n] + 0.01 * g[n] ** 2
-            step = rate * (first[n] / (1 - 0.9**t)) / (np.sqrt(second[n] / (1 - 0.99**t)) + 1e-8)
-            setattr(m, n, (getattr(m, n) - step).astype(np.float32))
+        adam.step(g, 0.02 * min(1, t / 20) * (1 - 0.9 * t / steps))
+    return m
+
+
+def learn_round(chunks: DataFrame, layout: Layout, model: Attention, kind: str, no: int) -> Attention:
+    """The model after one round; ``chunks``: chunk, b, c, d of the ``ids`` rows. Every block of a part of the training
+    documents is in one step of its task; the driver sees one model, added up from the tasks' by piece."""
+    shared = chunks.sparkSession.sparkContext.broadcast((layout, model))
+    rate = 0.004 * (1 - no / ROUNDS)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layout, start = shared.value
+        m = copy.copy(start)
+        adam, weight = _Adam(m), 0
+        for batch in it:
+            for chunk, b, c, d in zip(*[x.to_pylist() for x in batch.columns]):
+                size, ids, mark = _unplanes(b), np.frombuffer(c, kind), np.frombuffer(d, np.uint8)
+                use = (mark & 1 == 1) & ((np.arange(len(size)) + chunk) % ROUNDS == no)
+                if not use.any():
+                    continue
+                first = np.concatenate([[0], np.cumsum(size)])[:-1]
+                own = ids[tb.ranges(first[use], size[use])].astype(np.int64)
+                x, y, before, _ = blocks_of(layout, own, np.concatenate([[0], np.cumsum(size[use])]))
+                past = np.concatenate([x[:1], x[:-1]])
+                order = np.random.default_rng([chunk, no]).permutation(len(x))
+                for pick in np.split(order, range(ROUND_BLOCKS, len(order), ROUND_BLOCKS)):
+                    _, g = m.gradients(x[pick], past[pick], _mask(before[pick]), y[pick])
+                    adam.step(g, rate * min(1, (adam.t + 1) / 10))
+                weight += len(own)
+        if weight:
+            flat = np.concatenate([getattr(m, n).reshape(-1) for n in m.names])
+            cut = range(0, len(flat), PIECE)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([weight] * len(cut), pa.int64()),
+                                              pa.array([flat[x: x + PIECE].astype("<f8").tobytes() for x in cut], pa.binary())], names=["piece", "weight", "v"])
+
+    def add_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}  # by piece, of one model
+        for batch in it:
+            for piece, weight, v in zip(*[x.to_pylist() for x in batch.columns]):
+                t = total.setdefault(piece, [0, 0.0])
+                t[0], t[1] = t[0] + weight, t[1] + weight * np.frombuffer(v, "<f8")
+        for piece, (weight, v) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([weight], pa.int64()), pa.array([v.astype("<f8").tobytes()], pa.binary())],
+                                             names=["piece", "weight", "v"])
+
+    schema = "piece int, weight long, v binary"
+    parts = sorted(chunks.mapInArrow(run, schema).repartition("piece").mapInArrow(add_up, schema).collect())
+    if not parts:
+        return model
+    flat, m, at = np.concatenate([np.frombuffer(p["v"], "<f8") / p["weight"] for p in parts]), copy.copy(model), 0
+    for n in m.names:
+        w = getattr(model, n)
+        setattr(m, n, flat[at: at + w.size].reshape(w.shape).astype(np.float32))
+        at += w.size
     return m
 
 
@@ -392,8 +469,6 @@ def score_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     ids = [np.frombuffer(b, "<u4") for _, b in got]
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
     off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-    layout = Layout.of(np.bincount(flat, minlength=vocab))
-    model = fit_attention(layout, flat, off)
 
     words = base.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # distinct words of all chunks, at a sixth of a word per six bytes, in buckets of a few thousand a chunk
@@ -415,6 +490,12 @@ def score_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     for r in one.mapInArrow(unpacked, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
         seen[r["i"]] = r["n"]
 
+    layout = Layout.of(seen)
+    model = fit_attention(layout, flat, off)
+    kind = "<u4" if vocab > 1 << 16 else "<u2"
+    for no in range(ROUNDS):
+        model = learn_round(table.where("kind = 'ids'").select("chunk", "b", "c", "d"), layout, model, kind, no)
+
     answered = scratch_path(spark, "lm-answers")
     _answers(table.where("kind = 'ask'")).write.parquet(answered)
     answers = spark.read.parquet(answered)
@@ -441,7 +522,6 @@ def score_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     counted = words_of.mapInArrow(baseline, "chunk long, no long, id long, held_out boolean, n_tokens long, n_known long, base_score double")
 
     shared = spark.sparkContext.broadcast(Scorer(layout, model, seen))
-    kind = "<u4" if vocab > 1 << 16 else "<u2"
 
     def attention(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value

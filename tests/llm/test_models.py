@@ -77,6 +77,17 @@ def test_attention_learns_order(spark):
     assert got[0] > got[held] + 10
 
 
+def test_weights_learn_from_documents_outside_the_sample(spark, monkeypatch):
+    """Without any sample the rounds over all training documents teach the order of words."""
+    monkeypatch.setattr(lm_scoring, "ROUND_BLOCKS", 2)
+    held = [k for k in range(1000, 2000) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    real, mixed = "alpha beta gamma delta epsilon zeta", "epsilon alpha zeta gamma beta delta"
+    rows = [(k, " ".join([real] * 20)) for k in range(300) if zlib.crc32(str(k).encode()) % 7 != 2]
+    rows += [(held[0], " ".join([real] * 20)), (held[1], " ".join([mixed] * 20))]
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(documents(spark, rows), BYTE, fit_docs=0).collect()}
+    assert got[held[0]] > got[held[1]] + 10
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     assert lm_scoring.score_documents(none, BYTE).collect() == []
