@@ -230,8 +230,10 @@ def q_word_count_running(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     # Segment bounds from the documents (one small column), not from the exploded words.
     bounds = quantile_bounds(d, "doc_id")
-    w = agg.words(d, "text", " ", keep=["doc_id"], pos="pos").withColumn("pos", F.col("pos").cast("bigint"))
-    return rolling.running_count(w, ["word"], ["doc_id", "pos"], segments=bounds) \
+
+    def words(docs, keep):
+        return agg.words(docs, "text", " ", keep=["doc_id", *keep], pos="pos").withColumn("pos", F.col("pos").cast("bigint"))
+    return rolling.running_count(d, ["word"], ["doc_id", "pos"], segments=bounds, rows=words) \
         .select("doc_id", "pos", "word", "cnt")
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Fixed value: Java's String.hashCode multiplier and the 32-bit mask.
 _JAVA_HASH_BASE = 31
 _MASK32 = 0xFFFFFFFF
+#: Characters that mean something other than themselves in a regular expression.
+_REGEX_SIGNS = frozenset("\\.[]{}()*+?^$|")
 
 
 def _col(c) -> Column:
@@ -30,6 +32,9 @@ def java_split(c, sep: str = ",") -> Column:
     trailing empties, so the array is cut after its last non-empty element.
     """
     s = _col(c)
+    if len(sep) == 1 and sep not in _REGEX_SIGNS:
+        cut = F.rtrim(s, F.lit(sep))  # one plain character: without those at the end there are no trailing empties
+        return F.when(s == "", F.array(F.lit(""))).when(cut == "", F.array().cast("array<string>")).otherwise(F.split(cut, sep, -1))
     parts = F.split(s, sep, -1)
     last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
     return F.when(s == "", F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), last))

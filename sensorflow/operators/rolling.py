@@ -7,21 +7,28 @@ value comes from the skew-safe segmented scan in :mod:`sensorflow.plans.scan`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.plans.prefix import Merge, prefix_scan
-from sensorflow.plans.scan import Run, scan
+from sensorflow.plans.scan import Run, count_of_rows, scan
 
 _CHANGE_TYPE = "array<struct<change_seq:int,is_insert:boolean,cnt:bigint,avg_value:double>>"
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], name: str = "cnt",
-                  segments=None) -> DataFrame:
+                  segments=None, rows: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
     """1, 2, 3 … per key in order (keyed ValueState counter, F-1); with
-    ``keys=[]`` a global count over all rows (operator-state counter, F-2)."""
+    ``keys=[]`` a global count over all rows (operator-state counter, F-2).
+
+    With ``rows``, a function of (frame, columns to keep), it counts the rows
+    that this makes of each row of ``df``; ``df`` is shuffled, they are not."""
+    if rows is not None:
+        return count_of_rows(df, rows, keys, order, name, segments)
     return scan(df, keys, order, [Run(name, "count")], segments)
 
 

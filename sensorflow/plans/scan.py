@@ -17,6 +17,11 @@ three steps, which is the classic two-level prefix sum:
    partitioning, and AQE broadcasts the carry table only when its measured
    size is under the broadcast threshold.
 
+Where one input row makes many scanned rows (the words of a text),
+:func:`count_of_rows` deals the input rows by segment and makes the rows
+afterwards: they are never shuffled, and the carries come in as rows of the
+same window instead of by a join.
+
 Bounded row frames (``n`` preceding rows) are windows per ``(key, segment)``
 over the segment's rows and copies of the last ``n`` rows before it.
 """
@@ -24,6 +29,7 @@ over the segment's rows and copies of the last ``n`` rows before it.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -186,6 +192,31 @@ def row_number(df: DataFrame, keys: list[str], order: list[str], name: str = "rn
     return scan(df, keys, order, [Run(name, "count")], segments, n_segments)
 
 
+def count_of_rows(df: DataFrame, rows: Callable[[DataFrame, list[str]], DataFrame], keys: list[str], order: list[str],
+                  name: str = "cnt", segments=None, n_segments: int | None = None) -> DataFrame:
+    """1, 2, 3 … per key in order, of the rows that ``rows(df, keep)`` makes of each row of ``df`` alone.
+
+    ``order[0]`` is a column of ``df`` that its rows carry on; ``keep`` are columns that ``rows`` has to carry on as well.
+    Every segment's own counts lead the later segments' rows as one row per key and segment.
+    """
+    if segments is None:
+        segments = quantile_bounds(df, order[0], n_segments)
+    n = default_segments(df) if isinstance(segments, Column) else len(segments) + 1
+    dealt = with_segments(df, order[0], segments).withColumn(SEG, F.coalesce(F.col(SEG), F.lit(-1).cast("bigint"))).repartition(n, SEG)
+    made = rows(dealt, [SEG])
+    cols = [c for c in made.columns if c != SEG]
+    totals = made.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_sf_t"))
+    before = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+    carries = (totals.select(*keys, SEG, F.sum("_sf_t").over(before).alias("_sf_n")).where("_sf_n is not null").repartition(n, SEG)
+               .select(SEG, F.lit(0).alias("_sf_own"), "_sf_n",
+                       *[F.col(c) if c in keys else F.lit(None).cast(made.schema[c].dataType).alias(c) for c in cols]))
+    # both sides are dealt by segment, so the window needs no shuffle
+    both = made.select(SEG, F.lit(1).alias("_sf_own"), F.lit(1).cast("bigint").alias("_sf_n"), *cols).unionByName(carries)
+    upto = (Window.partitionBy(*keys, SEG).orderBy("_sf_own", *[F.col(o).asc() for o in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return both.withColumn(name, F.sum("_sf_n").over(upto)).where("_sf_own = 1").select(*cols, name)
+
+
 HALO = "_sf_halo"
 BASE = "_sf_base"
 

@@ -72,3 +72,21 @@ def test_word_count_running(hello):
     w = agg.words(hello.withColumn("line", F.monotonically_increasing_id()), "value", " ", keep=["line"], pos="pos")
     out = rolling.running_count(w, ["word"], ["line", "pos"])
     assert sorted(r["cnt"] for r in out.where("word = 'hello'").collect()) == list(range(1, 8))
+
+
+def test_word_count_running_does_not_shuffle_words(spark):
+    docs = spark.createDataFrame([(k, "a b a" if k % 3 else "c a") for k in range(60)] + [(None, "a z"), (7, "a"), (7, None), (8, ""), (9, "  ")],
+                                 "doc_id bigint, text string")
+
+    def words(d, keep):
+        return agg.words(d, "text", " ", keep=["doc_id", *keep], pos="pos")
+    out = rolling.running_count(docs, ["word"], ["doc_id", "pos"], segments=[10.0, 20.0, 45.0], rows=words)
+    old = rolling.running_count(words(docs, []), ["word"], ["doc_id", "pos"], segments=[10.0, 20.0, 45.0])
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert out.columns == old.columns and out.schema["cnt"].dataType == old.schema["cnt"].dataType
+    # rows of equal order (document 7) share their numbers in either order
+    got, want = (sorted([(r["doc_id"], r["word"], r["cnt"]) for r in x.collect()], key=key) for x in (out, old))
+    assert got == want
+    assert sorted(r["cnt"] for r in out.where("word = 'a'").collect()) == list(range(1, 103))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan[plan.index("Window"): plan.index("Generate")]

@@ -1,6 +1,6 @@
 """Scalar, table and aggregate functions."""
 
-from sensorflow.functions.text import java_hash, java_hash_py
+from sensorflow.functions.text import java_hash, java_hash_py, java_split, java_split_py
 from sensorflow.operators.lateral import lateral_split, register_split_udtf
 from tests.conftest import collect
 
@@ -31,3 +31,13 @@ def test_sql_lateral_split_udtf(spark, readings):
     readings.createOrReplaceTempView("sensor_u")
     rows = spark.sql("select s.id, t.word, t.length from sensor_u s, lateral split_words(s.id, '_') t").collect()
     assert len(rows) == 34 and {(r.word, r.length) for r in rows if r.id == "sensor_10"} == {("sensor", 6), ("10", 2)}
+
+
+def test_java_split_of_plain_separators(spark):
+    texts = ["", " ", "  ", "a", "a ", " a", "a  b  ", " a b", "_", "a__b_", "é 漢 ", "a,b,,", ",", "a.b.", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for sep in [" ", "_", ",", "[.]", "\\."]:
+        parts = df.select("s", java_split("s", sep).alias("p"))
+        got = [r["p"] for r in parts.collect()]
+        assert got == [None if t is None else java_split_py(t, sep) for t in texts], sep
+        assert ("transform" in parts._jdf.queryExecution().executedPlan().toString()) == (len(sep) > 1)
