@@ -7,12 +7,18 @@ which is emptied when it holds ``CACHE_UNITS`` units, so memory is bounded and
 results don't depend on it. Texts whose units can't be told apart safely
 (runs of white space or unusual kinds of it, special tokens' strings) are
 encoded whole by the library.
+
+With a vocabulary of lower-cased words (``FINE``), letters and signs next to
+each other are units of their own and A-Z count as a-z, so there are fewer
+units; new units of letters alone are encoded many in one text and told apart
+by the mark of a word's last token.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +38,37 @@ _ODD = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F])
 _WIDE = {0xC2: [(0x85, None), (0xA0, None)], 0xE1: [(0x9A, (0x80, 0x80))], 0xE2: [(0x80, (0x80, 0x8A)), (0x80, (0xA8, 0xAF)), (0x81, (0x9F, 0x9F))],
          0xE3: [(0x80, (0x80, 0x80))]}
 
+#: Pre-tokenization under which letters and signs other than the apostrophe never share a token.
+FINE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTER, _SIGN = 1, 2
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_CLASS[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"]] = _SIGN
+#: Units encoded in one text.
+JOINED = 64
+
+
+def _classes(raw: np.ndarray) -> np.ndarray:
+    """Of every byte, whether it is of a letter up to U+00FF, an ASCII sign other than the apostrophe, or anything else."""
+    out = _CLASS[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]  # the signs of multiplication and division
+    out[lead] = out[lead + 1] = _LETTER
+    return out
+
+
+def _borders(cls: np.ndarray) -> np.ndarray:
+    """Where a letter follows a sign or a sign a letter."""
+    return np.flatnonzero((cls[1:] | cls[:-1]) == (_LETTER | _SIGN)) + 1
+
+
+def _folded(raw: np.ndarray) -> np.ndarray:
+    """A-Z as a-z, except before bytes that may begin a combining mark: some compose with small letters alone."""
+    out = tb.LOWER[raw]
+    mark = np.flatnonzero((raw[1:] >= 0x80) & (raw[1:] != 0xC3))
+    out[mark] = raw[mark]
+    return out
+
 
 class _Table:
     """An open-addressing map from non-zero 64-bit keys to consecutive numbers."""
@@ -81,14 +118,22 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        spec = json.loads(self.lib.to_str())
-        self.special = [t["content"].encode() for t in spec["added_tokens"]]
-        pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"]
+        # the parts alone: the whole description has the vocabulary in it
+        pre, norm = (x if x is None else json.loads(x.__getstate__()) for x in (self.lib.pre_tokenizer, self.lib.normalizer))
+        pre = pre or {}
+        self.special = [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
+        self.last = None
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
             self.kind = "spaced"  # a unit is a word with the one space or line break before it
         elif (norm or {}).get("type") == "Sequence" and [x["type"] for x in norm["normalizers"]] == ["NFC", "Replace", "Lowercase"] \
                 and pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") and pre["pretokenizers"][0].get("behavior") == "Removed":
             self.kind = "words"  # white space only separates
+            mark = getattr(self.lib.model, "end_of_word_suffix", None)
+            if mark and pre["pretokenizers"][0]["pattern"] == {"Regex": FINE} and pre["pretokenizers"][1:] == [
+                    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]:
+                vocab = self.lib.get_vocab()
+                self.last = np.zeros(max(vocab.values()) + 1, bool)  # whether an id ends a word
+                self.last[[i for t, i in vocab.items() if t.endswith(mark)]] = True
         else:
             self.kind = "whole"
         self.most = cache_units
@@ -104,7 +149,24 @@ class UnitEncoder:
         f = getattr(self.lib, "encode_batch_fast", self.lib.encode_batch)
         ids = [x.ids for x in f(texts, add_special_tokens=False)]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((x for one in ids for x in one), np.uint32, int(lens.sum())), lens
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
+
+    def _raw_units(self, texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of units; ``letters`` marks those of letters alone, each of which is one word."""
+        pick, other = np.flatnonzero(letters), np.flatnonzero(~letters)
+        own = [texts[i] for i in pick.tolist()]
+        groups = [own[a: a + JOINED] for a in range(0, len(own), JOINED)]
+        ids, size = self._raw([" ".join(g) for g in groups])
+        end = np.concatenate([[0], np.cumsum(self.last[ids])])[np.concatenate([[0], np.cumsum(size)])]
+        if not np.array_equal(np.diff(end), [len(g) for g in groups]):  # a word without a last token
+            return self._raw(texts)
+        rest, rest_lens = self._raw([texts[i] for i in other.tolist()])
+        lens = np.empty(len(texts), np.int64)
+        lens[pick], lens[other] = np.diff(np.flatnonzero(self.last[ids]), prepend=-1), rest_lens
+        begin = np.cumsum(lens) - lens
+        out = np.empty(int(lens.sum()), np.uint32)
+        out[ranges(begin[pick], lens[pick])], out[ranges(begin[other], lens[other])] = ids, rest
+        return out, lens
 
     def _append(self, ids: np.ndarray, lens: np.ndarray):
         used = int(self.begin[self.units])
@@ -149,7 +211,12 @@ class UnitEncoder:
         n = len(off) - 1
         whole = self._unsafe(raw, off)
         kind = "words" if self.kind == "whole" else self.kind
-        start, end, h, first = tb.words(raw, off, _SEPARATOR[kind], fold=False)
+        fine = self.last is not None
+        if fine:
+            cls = _classes(raw)
+            start, end, h, first = tb.words(_folded(raw), off, _SEPARATOR[kind], fold=False, cuts=_borders(cls))
+        else:
+            start, end, h, first = tb.words(raw, off, _SEPARATOR[kind], fold=False)
         if kind == "spaced":
             before = np.concatenate([np.zeros(1, np.uint8), raw])
             before[off[:-1]] = 0  # nothing comes before a text
@@ -179,7 +246,11 @@ class UnitEncoder:
                 texts = [data[a:b].decode() for a, b in zip(lead, end[pick].tolist())]
             at[miss] = self.table.n + inv
             self.table.add(key)
-            self._append(*self._raw(texts))
+            if fine:
+                odd = np.concatenate([[0], np.cumsum(cls != _LETTER)])
+                self._append(*self._raw_units(texts, odd[end[pick]] == odd[start[pick]]))
+            else:
+                self._append(*self._raw(texts))
         lens = self.begin[at + 1] - self.begin[at]
         ids = self.flat[ranges(self.begin[at], lens)]
         total = np.concatenate([[0], np.cumsum(lens)])

@@ -23,6 +23,18 @@ def test_units_encode_like_whole_texts(path):
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_signs_and_letters_are_units_of_their_own():
+    r = random.Random(3)
+    parts = ["word", "Word", "für", "É", "J\u030c", "j", "\u030c", "H", "\u0331", "ß", "×", "'", "'s", "'S", ",", "(", ")", ".", "_", "7", "½", "Σ", "İ", "…", "漢", " ", " "]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(3000)]
+    enc, lib = tokens.UnitEncoder(WORD), Tokenizer.from_file(WORD)
+    ids, off = enc.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    few = tokens.UnitEncoder(WORD)
+    few.encode(["word Word, WORD. (word) für Für, für."])
+    assert few.units == 6  # word für , . ( )
+
+
 def expected(rows, path):
     lib = Tokenizer.from_file(path)
     return [np.array([*lib.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for _, t in rows]
