@@ -41,7 +41,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from sensorflow.llm import graph
 from sensorflow.llm import textbatch as tb
-from sensorflow.session import scratch_path
 
 WIDTH = 5
 PERCENT = 75
@@ -185,8 +184,6 @@ def candidates(texts: DataFrame, buckets: int) -> DataFrame:
     Every row emits, but of equal sets in a batch only one does; a bucket drops the rest. So copies need no shuffle
     of texts, and as a text's signatures go to all buckets, a large class makes none of them larger than others.
     """
-    spark = texts.sparkSession
-
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for _, _, u, at in _sets(batch, 0):
@@ -238,10 +235,8 @@ def candidates(texts: DataFrame, buckets: int) -> DataFrame:
             yield out()
 
     packed = texts.mapInArrow(emit, "bucket int, sig binary, node binary, n binary, info binary")
-    path = scratch_path(spark, "ngram-candidates")
-    (packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-     .mapInArrow(meet, "hot boolean, a long, b long, ia long, ib long, n long").write.parquet(path))
-    found = spark.read.parquet(path)
+    found = graph.saved(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                        .mapInArrow(meet, "hot boolean, a long, b long, ia long, ib long, n long"), "ngram-candidates")
     # info = need * 2 + upper; (class, info) names a class in an index
     hot = found.where("hot").select(F.col("a").alias("c"), F.col("ia").alias("i"), F.col("b").alias("sig"))
     heat = hot.groupBy("c", "i").agg(F.count("*").alias("h"))
@@ -256,7 +251,9 @@ def candidates(texts: DataFrame, buckets: int) -> DataFrame:
     member = hot.join(needy, ["c", "i"]).select("sig", "c")
     centre = member.groupBy("sig").agg(F.min("c").alias("m"))
     stars = member.join(centre, "sig").where(F.col("c") != F.col("m")).select(F.col("m").alias("a"), F.col("c").alias("b")).distinct()
-    return kept.unionByName(stars)
+    edges = graph.saved(kept.unionByName(stars), "ngram-edges")
+    graph.dropped(found)
+    return edges
 
 
 def _similar(sets: list[np.ndarray], other: list[np.ndarray] | None, percent: int):
@@ -390,7 +387,6 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
 
     ``no`` and ``key`` of a class name its first row: ids before null ids, smaller ones first.
     """
-    spark = docs.sparkSession
     seen = graph.saved(_with_sets(docs, id_col, text_col, F.col(id_col)), "ngram-sets")
     classes = (seen.where("n > 0").groupBy("c").agg(F.min(F.struct("no", "key")).alias("rep"), F.count("*").alias("w"), F.max("bytes").alias("bytes")))
     classes = graph.saved(classes.select("c", "w", "bytes", F.col("rep.no").alias("no"), F.col("rep.key").alias("key")), "ngram-classes")
@@ -401,16 +397,20 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[
 
     edges = candidates(texts.select("text"), buckets)
     cluster = graph.components(edges)
+    graph.dropped(edges)
     sizes = cluster.groupBy("root").agg(F.count("*").alias("n"))
     members = (cluster.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
                .join(classes, F.col("node") == F.col("c")).select("no", "key", "c", "w", F.col("root").alias("cluster"), "blocks"))
     member_texts = members.join(texts, ["no", "key"]).select("c", "w", "cluster", "blocks", "text")
     checked = graph.saved(verified(member_texts, percent), "ngram-links")
+    graph.dropped(cluster)
     comp = graph.components(checked.where("b is not null"))
     degree = checked.where("links is not null").groupBy("a").agg(F.sum("links").alias("links"))
     named = (classes.join(degree, F.col("a") == F.col("c"), "left").join(comp, F.col("node") == F.col("c"), "left")
              .select("c", "w", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "c").alias("root"), "no", "key"))
-    return seen, graph.saved(named, "ngram-named")
+    named = graph.saved(named, "ngram-named")
+    graph.dropped(classes, checked, comp)
+    return seen, named
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -427,7 +427,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The first document (smallest id) of every component, all columns kept; documents without words all stay."""
-    _, named = _solved(docs, id_col, text_col, percent)
+    seen, named = _solved(docs, id_col, text_col, percent)
+    graph.dropped(seen)
     first = named.groupBy("root").agg(F.min(F.struct("no", "key", "c")).alias("x")).select("x.no", "x.key", "x.c")
     rows = _with_sets(docs, id_col, text_col, F.struct("*"))
     found = rows.join(first.withColumn("first", F.lit(True)), ["no", "key", "c"], "left").where("n = 0 or first")
