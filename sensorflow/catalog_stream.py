@@ -20,7 +20,7 @@ from sensorflow import catalog as C
 from sensorflow.catalog import register
 from sensorflow.functions.fold import count_fold, min_by_fold
 from sensorflow.operators import rolling
-from sensorflow.session import prepare, scratch_path
+from sensorflow.session import prepare, scratch_path, tidy
 from sensorflow.sinks import tables
 from sensorflow.sinks.writers import file_count, path_exists, read_batches, run_to_end, run_until, stream_to_table
 from sensorflow.sources.readers import read_table_stream
@@ -71,7 +71,7 @@ def _replay(slices: Slices, name: str, start: Callable[[DataFrame, str], object]
 
     A slice is ``FILES`` files (empty ones where it has fewer rows), written after the slice before, and a file stream
     takes files by age, ``FILES`` at a time. ``end`` names the time column of a last row, in the last slice, that ends
-    the stream (see above). Returns the run's folder.
+    the stream (see above). Returns the run's folder; the slices' files are gone by then.
     """
     spark = prepare(slices.rows.sparkSession)
     base, schema = scratch_path(spark, name), slices.rows.schema
@@ -85,9 +85,14 @@ def _replay(slices: Slices, name: str, start: Callable[[DataFrame, str], object]
         for _ in range(FILES * (k + 1) - file_count(spark, source)):
             spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(source)
     run_to_end(start(read_table_stream(spark, source, schema, max_files_per_trigger=FILES), base))
+    tables._remove(spark, source)  # a copy of the table
     return base
 
 
+#: Of a stream's result: keys come in runs and counts go up by one, which differences pack well.
+COMPACT = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+
+
 def _run(slices: Slices, name: str, build: Callable[[DataFrame], DataFrame], mode: str = "append", keys: list[str] | None = None,
          end: str | None = None) -> DataFrame:
     """The result of a replayed stream: every row it gave, or with ``keys`` the last one of each key."""
@@ -96,8 +101,9 @@ def _run(slices: Slices, name: str, build: Callable[[DataFrame], DataFrame], mod
     def start(stream, base):
         out = build(stream)
         shape["schema"] = out.schema
-        return (out.writeStream.foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{base}/out/_batch={k}")).outputMode(mode)
-                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        with tidy(slices.rows.sparkSession):  # a query keeps the settings it starts with
+            return (out.writeStream.foreachBatch(lambda batch, k: batch.write.options(**COMPACT).mode("overwrite").parquet(f"{base}/out/_batch={k}"))
+                    .outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     base = _replay(slices, name, start, end)
     return read_batches(slices.rows.sparkSession, f"{base}/out", shape["schema"].names, mode, keys, shape["schema"])
 

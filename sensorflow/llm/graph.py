@@ -10,35 +10,21 @@ few rounds are left. Null nodes are ignored; loops vanish.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.session import scratch_path
+from sensorflow.session import TIDY, scratch_path, tidy  # noqa: F401
 
-#: Whether Spark (from 4.1 on) removes a query's shuffle files as soon as the query ends.
-TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Edges that a task joins at once, about.
 EDGES = 1 << 19
 #: The folder of each table of the scratch folder.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-@contextmanager
-def tidy(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is written in here go when it is written, not when the driver collects its garbage."""
-    before = spark.conf.get(TIDY, None)
-    spark.conf.set(TIDY, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)

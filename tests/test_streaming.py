@@ -239,3 +239,29 @@ def test_over_rows_event_time_stream(spark, readings, sliced, tmp_path):
     out = _run(spark, s, tmp_path).where("id <> '__end__'")
     assert out.where("late").count() == 0
     assert {q: (c, round(a, 6)) for q, c, a in collect(out, "seq", "cnt", "avg_value")} == OVER
+
+
+def test_a_replayed_stream_leaves_no_copy_of_its_table_and_no_shuffle_files(spark, monkeypatch):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from sensorflow import catalog_stream as CS
+    from sensorflow.session import TIDY, checkpoint_root
+    from sensorflow.streaming import ops
+
+    seen = []
+
+    def count(d):
+        out = ops.running_count_stream(d, "user_id", "event_id")
+        seen.append(spark.conf.get(TIDY))
+        return out
+
+    started = CS.tidy
+    monkeypatch.setattr(CS, "tidy", lambda s: seen.append("tidy") or started(s))
+    rows = spark.range(300).selectExpr("id as event_id", "id % 7 as user_id")
+    out = CS._run(CS.Slices(rows, F.floor(F.col("event_id") / 100), 3), "leaves-nothing", count)
+    base = next(Path(checkpoint_root(spark).removeprefix("file:")).glob("leaves-nothing-*"))
+    assert sorted((r["event_id"], r["cnt"]) for r in out.collect()) == [(k, k // 7 + 1) for k in range(300)]
+    assert not (base / "source").exists()
+    assert seen == ["false", "tidy"] and spark.conf.get(TIDY) == "false"
