@@ -104,3 +104,16 @@ def test_several_texts_of_one_id(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == want
     kept = ngram_join.one_per_component(documents(spark, rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b)])
+
+
+def test_finished_tables_leave_the_disk(spark):
+    from pathlib import Path
+
+    from sensorflow.session import checkpoint_root
+
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    texts = [" ".join(prose(k // 2, 60) + [f"end{k}"]) for k in range(40)]
+    got = ngram_join.one_per_component(documents(spark, list(enumerate(texts))))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(0, 40, 2))
+    assert sorted(p.name.rpartition("-")[0] for p in set(root.iterdir()) - before) == ["ngram-named"]
